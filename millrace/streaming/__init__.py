@@ -1,0 +1 @@
+"""Empty on purpose: every input of the operators is a bounded file or table."""
