@@ -158,9 +158,12 @@ def contributor_maps_per_year(revisions: DataFrame, size: int = LIST_SIZE) -> Da
     return parts.select("year", "part", F.map_from_entries("items").alias("counts"))
 
 
-def by_contributor(revisions: DataFrame, n: int, split: int = 1) -> DataFrame:
-    """Hash-partition by contributor into ``n``. ``split`` > 1 spreads each contributor over that
-    many salts, for histories in which one contributor made a large share of the revisions."""
+def by_contributor(revisions: DataFrame, n: int, split: int = 8) -> DataFrame:
+    """Hash-partition by contributor into ``n``, each contributor over at most ``split`` partitions.
+
+    ``split=1`` keeps a contributor in one partition, which suits a later grouping by contributor
+    but puts a contributor who made a third of all revisions into one task.
+    """
     if split == 1:
         return revisions.repartition(n, "contributor")
     salt = F.pmod(F.xxhash64(*revisions.columns), F.lit(split))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -72,8 +73,13 @@ def split_rows(df: DataFrame, share: float, seed: int, keys: Sequence[str] | Non
 
 
 def train_tree(training: DataFrame, columns: Sequence[str], label: str) -> PipelineModel:
-    check_categories(training, [*columns, label])
-    return tree_pipeline(columns, label).fit(training)
+    """Fit the pipeline. The needed columns are kept (spilling to disk) while the passes over them run."""
+    rows = training.select(*columns, label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        check_categories(rows, [*columns, label])
+        return tree_pipeline(columns, label).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def accuracy(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import length_part, nonblank_lines, tokens
@@ -17,6 +17,11 @@ STOP_WORDS = (
 ).split()
 
 
+def stop_word_table(spark: SparkSession) -> DataFrame:
+    """The default stop words as a table ``word``, small enough by its plan to be broadcast."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(word) for word in STOP_WORDS])).alias("word"))
+
+
 def word_positions(
     documents: DataFrame, stop_words: Iterable[str] = (), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:

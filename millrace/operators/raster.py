@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.pixels import (
@@ -102,54 +102,51 @@ def merge_mask(mask: DataFrame, other: DataFrame, colour: int = WHITE) -> DataFr
 # Neighbourhoods.
 
 
-def _places(position: Column, size: Column, margin: int, tile: int) -> Column:
+def _places(position: str, size: str, margin: int, tile: int) -> Column:
     """Where a coordinate is needed along one axis, as ``array<struct<pos, tile>>``.
 
     A pixel stands at its own place and, near the edge of the image, at its mirrored places up to
     ``margin`` outside. Each place belongs to its tile and to neighbours whose margin covers it.
     """
-    place = "array<struct<pos:int,tile:int>>"
-    inside = position % tile
+    place = "named_struct('pos', cast({} AS int), 'tile', cast({} AS int))"
     plain = (
-        (position >= margin) & (position < size - margin) & (inside >= margin) & (inside < tile - margin)
+        f"{position} BETWEEN {margin} AND {size} - {margin + 1} "
+        f"AND {position} % {tile} BETWEEN {margin} AND {tile - margin - 1}"
     )
-    own = F.array(F.struct(position.alias("pos"), F.floor(position / tile).alias("tile"))).cast(place)
-
-    turns = F.ceil(F.lit(margin) / (2 * size)) + 1  # one, unless the image is narrower than the margin
-    period = F.transform(F.sequence(-turns, turns), lambda k: 2 * size * k)
-    mirrored = F.flatten(F.transform(period, lambda shift: F.array(position + shift, shift - 1 - position)))
-    near = F.filter(mirrored, lambda p: (p >= -margin) & (p < size + margin))
-
-    def in_tiles(p: Column) -> Column:
-        first = F.greatest(F.floor((p - margin) / tile), F.lit(0))
-        last = F.least(F.floor((p + margin) / tile), F.floor((size - 1) / tile))
-        return F.transform(F.sequence(first, last), lambda t: F.struct(p.alias("pos"), t.alias("tile")))
-
-    return F.when(plain, own).otherwise(F.flatten(F.transform(near, in_tiles)).cast(place))
+    own = f"array({place.format(position, f'{position} DIV {tile}')})"
+    # One period to each side is enough, unless the image is narrower than the margin.
+    turns = f"cast(ceil({margin} / (2 * {size})) AS int) + 1"
+    mirrored = (
+        f"flatten(transform(sequence(-({turns}), {turns}), "
+        f"k -> array({position} + 2 * {size} * k, 2 * {size} * k - 1 - {position})))"
+    )
+    near = f"filter({mirrored}, p -> p BETWEEN -{margin} AND {size} + {margin - 1})"
+    first = f"greatest(p - {margin}, 0) DIV {tile}"
+    last = f"least(p + {margin}, {size} - 1) DIV {tile}"
+    shared = f"flatten(transform({near}, p -> transform(sequence({first}, {last}), t -> {place.format('p', 't')})))"
+    return F.expr(f"CASE WHEN {plain} THEN {own} ELSE {shared} END")
 
 
 def _tiles(pixels: DataFrame, margin: int, tile: int) -> DataFrame:
     """Pixels with their mirrored copies at ``px, py``, placed together by tile ``tx, ty``."""
     if tile <= 2 * margin:
         raise ValueError(f"tile {tile} is too small for a margin of {margin}")
-    across = pixels.select(*PIXEL, F.inline(_places(F.col("x"), F.col("width"), margin, tile)).alias("px", "tx"))
+    across = pixels.select(*PIXEL, F.inline(_places("x", "width", margin, tile)).alias("px", "tx"))
     down = across.select(
         "image_id", "width", "height", "rgb", "px", "tx",
-        F.inline(_places(F.col("y"), F.col("height"), margin, tile)).alias("py", "ty"),
+        F.inline(_places("y", "height", margin, tile)).alias("py", "ty"),
     )
     return down.repartition("image_id", "tx", "ty")
 
 
 def _trim(tiled: DataFrame, margin: int, tile: int) -> DataFrame:
     """Keep the places of a tile and ``margin`` around it, and around the image."""
-    for place, t, size in (("px", "tx", "width"), ("py", "ty", "height")):
-        start = F.col(t) * tile
-        tiled = tiled.filter(
-            (F.col(place) >= start - margin)
-            & (F.col(place) < start + tile + margin)
-            & (F.col(place) < F.col(size) + margin)
+    return tiled.filter(
+        " AND ".join(
+            f"{p} >= {t} * {tile} - {margin} AND {p} < least(({t} + 1) * {tile}, {size}) + {margin}"
+            for p, t, size in (("px", "tx", "width"), ("py", "ty", "height"))
         )
-    return tiled
+    )
 
 
 def _side(weights: Sequence[int]) -> int:
@@ -159,74 +156,51 @@ def _side(weights: Sequence[int]) -> int:
     return side
 
 
-def _shifted(column: Column | str, by: int, window) -> Column:
-    if by == 0:
-        return F.col(column) if isinstance(column, str) else column
-    return F.lag(column, -by).over(window) if by < 0 else F.lead(column, by).over(window)
-
-
 def _weighted_sums(tiled: DataFrame, filters: Mapping[str, Sequence[int]], keep: Sequence[str] = ()) -> DataFrame:
     """Add ``<filter>_<channel>``: each filter's weighted sum around each place of the tiles.
 
     First each different row of weights along x, then those sums along y. Both windows partition by
     tile and more, so they run on the tiles' shuffle. Sums are null where the tile does not hold
-    the whole neighbourhood.
+    the whole neighbourhood. Written as SQL text: one string per column in place of hundreds of
+    nested calls.
     """
     side = _side(next(iter(filters.values())))
     if any(_side(weights) != side for weights in filters.values()):
         raise ValueError("filters of different sizes")
     offsets = [i - side // 2 for i in range(side)]
     rows = {name: [tuple(w[i * side : (i + 1) * side]) for i in range(side)] for name, w in filters.items()}
-    distinct_rows = [r for r in dict.fromkeys(r for each in rows.values() for r in each) if any(r)]
+    row_no = {r: n for n, r in enumerate(dict.fromkeys(r for each in rows.values() for r in each)) if any(r)}
+    base = ["image_id", "width", "height", "px", "tx", "py", "ty", *keep]
+    place = {"px": "(PARTITION BY image_id, tx, ty, py ORDER BY px)", "py": "(PARTITION BY image_id, tx, ty, px ORDER BY py)"}
 
-    place = ["image_id", "tx", "ty"]
-    along_x = Window.partitionBy(*place, "py").orderBy("px")
-    along_y = Window.partitionBy(*place, "px").orderBy("py")
+    def at(column: str, by: int, axis: str) -> str:
+        if by == 0:
+            return column
+        return f"{'lag' if by < 0 else 'lead'}({column}, {abs(by)}) OVER {place[axis]}"
 
-    def unbroken(position: str, window) -> Column:
-        return _shifted(position, offsets[-1], window) - _shifted(position, offsets[0], window) == side - 1
+    def unbroken(axis: str) -> str:
+        return f"{at(axis, offsets[-1], axis)} - {at(axis, offsets[0], axis)} = {side - 1} AS whole"
 
-    taps = tiled.withColumns(
-        {f"_tap{i}": _shifted("rgb", by, along_x) for i, by in enumerate(offsets)}
-        | {"_unbroken": unbroken("px", along_x)}
+    taps = tiled.selectExpr(
+        *base, unbroken("px"), *[f"{at('rgb', by, 'px')} AS tap{i}" for i, by in enumerate(offsets)]
     )
-
-    def weighted(terms: list[tuple[int, Column]]) -> Column:
-        total = None
-        for weight, value in terms:
-            term = value if weight == 1 else value * weight
-            total = term if total is None else total + term
-        return F.lit(0) if total is None else total
-
-    row_sum = {(row, name): f"_row{i}_{name}" for i, row in enumerate(distinct_rows) for name in CHANNELS}
-    base = ["image_id", "width", "height", "px", "tx", "py", "ty", *keep]
-    summed = taps.select(
+    row_sums = [
+        f"CASE WHEN whole THEN {' + '.join(f'{w} * (shiftright(tap{i}, {bits}) & 255)' for i, w in enumerate(row) if w)} END AS row{n}_{name}"
+        for row, n in row_no.items()
+        for name, bits in CHANNEL_SHIFT.items()
+    ]
+    used = {(row_no[row], i) for each in rows.values() for i, row in enumerate(each) if row in row_no}
+    shifted = taps.selectExpr(*base, *row_sums).selectExpr(
         *base,
-        *[
-            F.when(
-                F.col("_unbroken"),
-                weighted([(w, channel(F.col(f"_tap{i}"), name)) for i, w in enumerate(row) if w]),
-            ).alias(alias)
-            for (row, name), alias in row_sum.items()
-        ],
-    )
-    needed = {
-        (row_sum[row, name], by): f"_at{n}_{row_sum[row, name]}"
-        for each in rows.values()
-        for n, (row, by) in enumerate(zip(each, offsets))
-        if any(row)
-        for name in CHANNELS
-    }
-    shifted = summed.withColumns(
-        {alias: _shifted(source, by, along_y) for (source, by), alias in needed.items()}
-        | {"_unbroken": unbroken("py", along_y)}
+        unbroken("py"),
+        *[f"{at(f'row{n}_{name}', offsets[i], 'py')} AS row{n}_{name}_at{i}" for n, i in sorted(used) for name in CHANNELS],
     )
-    sums = {}
+    totals = []
     for filter_name, each in rows.items():
         for name in CHANNELS:
-            terms = [(1, F.col(needed[row_sum[row, name], by])) for row, by in zip(each, offsets) if any(row)]
-            sums[f"{filter_name}_{name}"] = F.when(F.col("_unbroken"), weighted(terms))
-    return shifted.select(*base, *[total.alias(alias) for alias, total in sums.items()])
+            terms = [f"row{row_no[row]}_{name}_at{i}" for i, row in enumerate(each) if row in row_no]
+            totals.append(f"CASE WHEN whole THEN {' + '.join(terms) or '0'} END AS {filter_name}_{name}")
+    return shifted.selectExpr(*base, *totals)
 
 
 def _whole(total: Column) -> Column:

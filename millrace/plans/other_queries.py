@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import categories, cohort, points, raster
 from millrace.plans.registry import query
-from millrace.plans.views import oracle, scratch, table, view
+from millrace.plans.views import oracle, scratch, spread, table, view
 from millrace.sources import files
 
 # People.
@@ -136,9 +136,13 @@ GROUP BY feature, value
 """
 
 
+def _cars(spark, folder):
+    return spread(view(spark, folder, "cars"), "row_order")
+
+
 @query("label_index", oracle(INDEX, "cars"))
 def label_index(spark, folder):
-    return categories.category_indices(view(spark, folder, "cars"), [*FEATURES, "label"])
+    return categories.category_indices(_cars(spark, folder), [*FEATURES, "label"])
 
 
 def _slots(feature: str) -> str:
@@ -159,7 +163,7 @@ def _slots(feature: str) -> str:
 )
 def one_hot(spark, folder):
     """For every row the slot that is set in each feature's vector, none for the last category."""
-    coded = categories.one_hot(view(spark, folder, "cars"), FEATURES)
+    coded = categories.one_hot(_cars(spark, folder), FEATURES)
 
     def slot(feature):
         place = F.array_position(vector_to_array(f"{feature}_vec"), 1.0) - 1
@@ -172,7 +176,7 @@ ROW = ["row_order", "row_part", "row_supplier", "doors"]
 
 
 def _scored(spark, folder):
-    training, test = categories.split_rows(view(spark, folder, "cars"), 0.7, seed=7, keys=ROW)
+    training, test = categories.split_rows(_cars(spark, folder), 0.7, seed=7, keys=ROW)
     return categories.train_tree(training, FEATURES, "label").transform(test)
 
 

@@ -124,8 +124,8 @@ def line_index_counts(spark, folder):
     oracle(f"SELECT word, count(*) AS n FROM words WHERE word NOT IN ({STOP_SQL}) GROUP BY word", "words"),
 )
 def stopword_antijoin(spark, folder):
-    stop = spark.createDataFrame([(word,) for word in STOP_WORDS], "word string")
-    return words.without_words(words.word_counts(words.words(documents(spark, folder))), stop)
+    counts = words.word_counts(words.words(documents(spark, folder)))
+    return words.without_words(counts, index.stop_word_table(spark))
 
 
 HITS = f"SELECT * FROM words WHERE word NOT IN ({STOP_SQL})"

@@ -8,8 +8,10 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 REVISIONS = """
 SELECT o_custkey AS aid, c_name AS title, o_orderkey AS rid,
@@ -111,19 +113,29 @@ def table_names(sql: str) -> list[str]:
     return [field for _, field, _, _ in string.Formatter().parse(sql) if field]
 
 
+@cache
+def _schema(path: str) -> StructType:
+    """Schema of a table; kept, because finding it takes a job."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc_id, text``, on at least as many partitions as there are cores.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """At least as many partitions as there are cores, for work that is heavy per row.
 
     A file of one row group is one task, whatever its size. Only a scan with fewer splits than
     cores is spread, so it is small by definition; a large one is left as it is.
     """
-    texts = table(spark, folder, "documents").select("doc_id", "text")
-    cores = spark.sparkContext.defaultParallelism
-    return texts if texts.rdd.getNumPartitions() >= cores else texts.repartition(cores, "doc_id")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
