@@ -212,10 +212,12 @@ def cogroup_where_in_year(spark, folder):
     return pairs.select("contributor", rids("revs1"), rids("revs2"))
 
 
-def _page_files(spark, folder):
+def _page_files(spark, folder, history=None):
     """Revisions as files of page markup: user names in the first history, ips in the second. An
     article of a very long history takes more than one page."""
     rows = _revisions(spark, folder).select("aid", "title", "rid", "contributor", "ts", "history")
+    if history:
+        rows = rows.filter(F.col("history") == history)
     pages = bounded_lists(
         rows, ["aid", "title"], ["rid", "contributor", "ts", "history"], size=1000, unique=True, spread=["rid"]
     )
@@ -280,3 +282,10 @@ def article_text(spark, folder):
     path = scratch(spark)
     sinks.write_articles(files.read_articles(spark, _page_files(spark, folder)), path)
     return files.read_lines(spark, path).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("contributors_both_files", _sql(f"SELECT contributor FROM ({BOTH.format('true')})"))
+def contributors_both_files(spark, folder):
+    """The two histories as two data sets of page files, read and compared."""
+    first, second = (articles.flatten(files.read_articles(spark, _page_files(spark, folder, h))) for h in (1, 2))
+    return articles.shared_contributors(first, second)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import films
 from millrace.plans.registry import query
 from millrace.plans.views import oracle, scratch, view
-from millrace.sources import files
+from millrace.sources import files, sinks
 
 CLEAN = """
 SELECT * REPLACE (trim(title, ' ') AS title), try_cast(release_year AS int) AS year FROM films
@@ -40,6 +40,19 @@ def film_records(spark, folder):
     return films.record_count(view(spark, folder, "films"))
 
 
+COLUMNS = ", ".join(files.FILM_COLUMNS.values())
+
+
+@query(
+    "film_preview",
+    oracle(f"SELECT {COLUMNS} FROM films ORDER BY ({COLUMNS.replace(', ', ' IS NOT NULL, ')} IS NOT NULL), {COLUMNS} LIMIT 10", "films"),
+)
+def film_preview(spark, folder):
+    table = view(spark, folder, "films")
+    known = F.struct(*[F.col(c).isNotNull() for c in table.columns])
+    return sinks.preview(table.orderBy(known, *table.columns))
+
+
 @query("films_2000s", _sql("SELECT DISTINCT title, year FROM clean WHERE year BETWEEN 2000 AND 2009"))
 def films_2000s(spark, folder):
     return films.released_between(_clean(spark, folder), 2000, 2009)

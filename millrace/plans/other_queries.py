@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from millrace.functions import pixels as px
 from millrace.operators import categories, cohort, points, raster
 from millrace.plans.registry import query
 from millrace.plans.views import oracle, scratch, spread, table, view
@@ -280,6 +281,48 @@ def _quantize_sql(source: str, levels: int) -> str:
     )
 
 
+@query(
+    "px_channels",
+    oracle(
+        "SELECT image_id, cast(sum(r) AS bigint) AS red, cast(sum(g) AS bigint) AS green, cast(sum(b) AS bigint) AS blue, "
+        f"count(*) FILTER (WHERE r * 65536 + g * 256 + b = rgb) AS same FROM ({CHANNELS_SQL.format('pixels')}) GROUP BY image_id",
+        "pixels",
+    ),
+)
+def px_channels(spark, folder):
+    """Channels taken apart, added up, and put together again."""
+    parts = [px.channel(F.col("rgb"), name) for name in raster.CHANNELS]
+    sums = [F.sum(part).alias(name) for part, name in zip(parts, raster.CHANNELS)]
+    same = F.count_if(px.pack(*parts) == F.col("rgb")).alias("same")
+    return _pixels(spark, folder).groupBy("image_id").agg(*sums, same)
+
+
+@query(
+    "px_scalars",
+    oracle(
+        "SELECT image_id, x, y, cast(CASE WHEN x - 5 < 0 THEN 4 - x ELSE x - 5 END AS int) AS low, "
+        "cast(CASE WHEN x + 5 >= width THEN 2 * width - 6 - x ELSE x + 5 END AS int) AS high, "
+        "cast(least(255, greatest(0, floor(r * 1.5::DOUBLE - 60 + 0.5))) AS int) AS rounded, "
+        "cast(floor(least(255, greatest(0, r * 1.5::DOUBLE - 60))) AS int) AS truncated, "
+        "cast(abs(r - g) AS int) AS difference "
+        f"FROM ({CHANNELS_SQL.format('pixels')})",
+        "pixels",
+    ),
+)
+def px_scalars(spark, folder):
+    """Reflected coordinates, both clamps and a channel difference for every pixel."""
+    red, green = (px.channel(F.col("rgb"), name) for name in ("red", "green"))
+    brighter = red * F.lit(1.5) - 60
+    return _pixels(spark, folder).select(
+        "image_id", "x", "y",
+        px.reflect(F.col("x") - 5, F.col("width")).alias("low"),
+        px.reflect(F.col("x") + 5, F.col("width")).alias("high"),
+        px.clamp_rounded(brighter).alias("rounded"),
+        px.clamp_truncated(brighter).alias("truncated"),
+        F.abs(red - green).alias("difference"),
+    )
+
+
 @query(
     "px_gray",
     oracle(

@@ -128,6 +128,20 @@ def stopword_antijoin(spark, folder):
     return words.without_words(counts, index.stop_word_table(spark))
 
 
+@query(
+    "stopword_file_antijoin",
+    oracle(f"SELECT word, count(*) AS n FROM words WHERE word NOT IN ({STOP_SQL}) GROUP BY word", "words"),
+)
+def stopword_file_antijoin(spark, folder):
+    """The same with the stop words from a file that has a comment and a repeat."""
+    path = scratch(spark)
+    stop = index.stop_word_table(spark)
+    comment = spark.range(1).select(F.lit("# stop words").alias("word"))
+    comment.unionAll(stop).unionAll(stop).write.text(path)
+    counts = words.word_counts(words.words(documents(spark, folder)))
+    return words.without_words(counts, files.read_stop_words(spark, path))
+
+
 HITS = f"SELECT * FROM words WHERE word NOT IN ({STOP_SQL})"
 
 

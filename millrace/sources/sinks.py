@@ -77,7 +77,8 @@ def write_articles(articles: DataFrame, path: str) -> None:
     articles.select(F.regexp_replace(render(), r"\n\z", "").alias("value")).write.text(path)
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """Print the schema and return the first ``n`` rows."""
-    df.printSchema()
+def preview(df: DataFrame, n: int = 10, schema: bool = False) -> DataFrame:
+    """The first ``n`` rows; ``schema`` prints the schema too."""
+    if schema:
+        df.printSchema()
     return df.limit(n)
