@@ -139,13 +139,44 @@ def _tiles(pixels: DataFrame, margin: int, tile: int) -> DataFrame:
     return down.repartition("image_id", "tx", "ty")
 
 
-def _trim(tiled: DataFrame, margin: int, tile: int) -> DataFrame:
-    """Keep the places of a tile and ``margin`` around it, and around the image."""
-    return tiled.filter(
-        " AND ".join(
-            f"{p} >= {t} * {tile} - {margin} AND {p} < least(({t} + 1) * {tile}, {size}) + {margin}"
-            for p, t, size in (("px", "tx", "width"), ("py", "ty", "height"))
-        )
+# Three channels in one bigint, 21 bits each. A weighted sum of packed pixels is the packed weighted
+# sums of the channels, so a filter runs once and not three times. A lane holds sums below 2**20 in
+# size; ``_BIAS`` makes all three positive, so that they can be cut out again.
+_LANES = {"red": 42, "green": 21, "blue": 0}
+_LIMIT = 1 << 20
+_BIAS = sum(_LIMIT << place for place in _LANES.values())
+_BROKEN = "raise_error('the pixel table must hold every pixel of an image exactly once')"
+
+
+def _packed(**values: str) -> str:
+    return " + ".join(f"shiftleft(cast({value} AS bigint), {_LANES[name]})" for name, value in values.items())
+
+
+def _lane(packed: str, name: str) -> str:
+    return f"((shiftright({packed} + {_BIAS}L, {_LANES[name]}) & {2 * _LIMIT - 1}) - {_LIMIT})"
+
+
+def _channel(rgb: str, name: str) -> str:
+    return f"(shiftright({rgb}, {CHANNEL_SHIFT[name]}) & 255)"
+
+
+_LINE = ["image_id", "width", "height", "tx", "ty", "py"]
+
+
+def _lines(pixels: DataFrame, margin: int, tile: int, **planes: str) -> DataFrame:
+    """The lines of all tiles, margins included, with ``rgb`` and each of ``planes`` (SQL of ``rgb``)
+    as arrays along x. Grouping runs on the tiles' shuffle; a line is no longer than a tile."""
+    cell = "".join(f", '{name}', {sql}" for name, sql in planes.items())
+    lines = (
+        _tiles(pixels, margin, tile)
+        .groupBy(*_LINE)
+        .agg(F.expr(f"sort_array(collect_list(named_struct('px', px, 'rgb', rgb{cell})))").alias("cells"))
+    )
+    complete = f"cells.px = sequence(tx * {tile} - {margin}, least((tx + 1) * {tile}, width) + {margin - 1})"
+    return lines.selectExpr(
+        *_LINE,
+        f"CASE WHEN {complete} THEN cells.rgb ELSE {_BROKEN} END AS rgb",
+        *[f"CASE WHEN {complete} THEN cells.{name} ELSE {_BROKEN} END AS {name}" for name in planes],
     )
 
 
@@ -156,81 +187,93 @@ def _side(weights: Sequence[int]) -> int:
     return side
 
 
-def _weighted_sums(tiled: DataFrame, filters: Mapping[str, Sequence[int]], keep: Sequence[str] = ()) -> DataFrame:
-    """Add ``<filter>_<channel>``: each filter's weighted sum around each place of the tiles.
+def _weighted_sums(
+    lines: DataFrame,
+    filters: Mapping[str, Sequence[int]],
+    tile: int,
+    left: int = 0,
+    planes: Sequence[str] = ("packed",),
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Each filter's weighted sums over each of ``planes``, as arrays named ``<filter>_<plane>``.
 
-    First each different row of weights along x, then those sums along y. Both windows partition by
-    tile and more, so they run on the tiles' shuffle. Sums are null where the tile does not hold
-    the whole neighbourhood. Written as SQL text: one string per column in place of hundreds of
-    nested calls.
+    First each different row of weights along the line, then those sums over the lines above and
+    below. Lines and arrays shrink to the tile and ``left`` around it. Written as SQL text: one
+    string per column in place of hundreds of nested calls.
     """
     side = _side(next(iter(filters.values())))
-    if any(_side(weights) != side for weights in filters.values()):
-        raise ValueError("filters of different sizes")
-    offsets = [i - side // 2 for i in range(side)]
     rows = {name: [tuple(w[i * side : (i + 1) * side]) for i in range(side)] for name, w in filters.items()}
-    row_no = {r: n for n, r in enumerate(dict.fromkeys(r for each in rows.values() for r in each)) if any(r)}
-    base = ["image_id", "width", "height", "px", "tx", "py", "ty", *keep]
-    place = {"px": "(PARTITION BY image_id, tx, ty, py ORDER BY px)", "py": "(PARTITION BY image_id, tx, ty, px ORDER BY py)"}
+    row_no = {row: n for n, row in enumerate(dict.fromkeys(r for each in rows.values() for r in each))}
+    offsets = [i - side // 2 for i in range(side)]
 
-    def at(column: str, by: int, axis: str) -> str:
+    def along(row: Sequence[int], plane: str) -> str:
+        terms = [f"{w} * get({plane}, i + {k})" for k, w in enumerate(row) if w]
+        return f"transform(sequence(0, size({plane}) - {side}), i -> {' + '.join(terms) or '0L'})"
+
+    def at(column: str, by: int) -> str:
         if by == 0:
             return column
-        return f"{'lag' if by < 0 else 'lead'}({column}, {abs(by)}) OVER {place[axis]}"
-
-    def unbroken(axis: str) -> str:
-        return f"{at(axis, offsets[-1], axis)} - {at(axis, offsets[0], axis)} = {side - 1} AS whole"
+        step = f"{'lag' if by < 0 else 'lead'}({column}, {abs(by)})"
+        return f"{step} OVER (PARTITION BY image_id, tx, ty ORDER BY py)"
 
-    taps = tiled.selectExpr(
-        *base, unbroken("px"), *[f"{at('rgb', by, 'px')} AS tap{i}" for i, by in enumerate(offsets)]
+    summed = lines.selectExpr(
+        *_LINE, *keep, *[f"{along(row, plane)} AS {plane}{n}" for row, n in row_no.items() for plane in planes]
     )
-    row_sums = [
-        f"CASE WHEN whole THEN {' + '.join(f'{w} * (shiftright(tap{i}, {bits}) & 255)' for i, w in enumerate(row) if w)} END AS row{n}_{name}"
-        for row, n in row_no.items()
-        for name, bits in CHANNEL_SHIFT.items()
-    ]
-    used = {(row_no[row], i) for each in rows.values() for i, row in enumerate(each) if row in row_no}
-    shifted = taps.selectExpr(*base, *row_sums).selectExpr(
-        *base,
-        unbroken("py"),
-        *[f"{at(f'row{n}_{name}', offsets[i], 'py')} AS row{n}_{name}_at{i}" for n, i in sorted(used) for name in CHANNELS],
+    used = sorted({(row_no[row], k) for each in rows.values() for k, row in enumerate(each)})
+    stacked = summed.selectExpr(
+        *_LINE,
+        *keep,
+        f"{at('py', offsets[-1])} - {at('py', offsets[0])} = {side - 1} AS whole",
+        *[f"{at(f'{plane}{n}', offsets[k])} AS {plane}{n}_at{k}" for n, k in used for plane in planes],
+    )
+    inside = f"py BETWEEN ty * {tile} - {left} AND least((ty + 1) * {tile}, height) + {left - 1}"
+
+    def over_lines(each: list[tuple[int, ...]], plane: str) -> str:
+        terms = [f"{plane}{row_no[row]}_at{k}" for k, row in enumerate(each) if any(row)]
+        added = " + ".join(f"get({term}, i)" for term in terms) or "0L"
+        last = f"least({tile}, width - tx * {tile}) + {2 * left - 1}"
+        total = f"transform(sequence(0, {last}), i -> {added})"
+        # Said again here: the optimizer may evaluate a column before the filter below.
+        return f"CASE WHEN NOT ({inside}) THEN NULL WHEN whole THEN {total} ELSE {_BROKEN} END"
+
+    return stacked.filter(inside).selectExpr(
+        *_LINE, *keep, *[f"{over_lines(each, plane)} AS {name}_{plane}" for name, each in rows.items() for plane in planes]
     )
-    totals = []
-    for filter_name, each in rows.items():
-        for name in CHANNELS:
-            terms = [f"row{row_no[row]}_{name}_at{i}" for i, row in enumerate(each) if row in row_no]
-            totals.append(f"CASE WHEN whole THEN {' + '.join(terms) or '0'} END AS {filter_name}_{name}")
-    return shifted.selectExpr(*base, *totals)
-
-
-def _whole(total: Column) -> Column:
-    """A sum that must be there: null means that pixels of the image are missing or repeated."""
-    broken = F.raise_error("the pixel table must hold every pixel of an image exactly once")
-    return F.coalesce(total, broken.cast("int"))
 
 
-def _pixels(tiled: DataFrame, tile: int, **columns: Column) -> DataFrame:
-    """Back to one row per pixel of the image."""
-    return _trim(tiled, 0, tile).select(
-        "image_id", "width", "height", F.col("px").alias("x"), F.col("py").alias("y"),
-        *[column.alias(name) for name, column in columns.items()],
-    )
+def _pixels(lines: DataFrame, tile: int, cells: str, *columns: str) -> DataFrame:
+    """Back to one row per pixel of the image, with ``columns`` as SQL of ``cell``, an element of ``cells``."""
+    spots = lines.selectExpr(*_LINE, f"posexplode({cells}) AS (i, cell)")
+    return spots.selectExpr(
+        "image_id", "width", "height", f"cast(tx * {tile} + i AS int) AS x", "cast(py AS int) AS y", *columns
+    )
 
 
 def convolve(pixels: DataFrame, weights: Sequence[int], tile: int = TILE) -> DataFrame:
     """``red, green, blue``: weighted sums of an N by N filter around each pixel, edges reflected."""
     margin = _side(weights) // 2
-    sums = _weighted_sums(_tiles(pixels, margin, tile), {"sum": weights})
-    return _pixels(sums, tile, **{name: _whole(F.col(f"sum_{name}")) for name in CHANNELS})
+    if 255 * sum(map(abs, weights)) < _LIMIT:
+        packed = _packed(**{name: _channel("rgb", name) for name in CHANNELS})
+        sums = _weighted_sums(_lines(pixels, margin, tile, packed=packed), {"sum": weights}, tile)
+        channels = [f"cast({_lane('cell', name)} AS int) AS {name}" for name in CHANNELS]
+        return _pixels(sums, tile, "sum_packed", *channels)
+    # Sums too large for a lane: each channel by itself.
+    planes = {name: f"cast({_channel('rgb', name)} AS bigint)" for name in CHANNELS}
+    sums = _weighted_sums(_lines(pixels, margin, tile, **planes), {"sum": weights}, tile, planes=CHANNELS)
+    channels = [f"cast(cell.sum_{name} AS int) AS {name}" for name in CHANNELS]
+    return _pixels(sums, tile, "arrays_zip(sum_red, sum_green, sum_blue)", *channels)
 
 
-def _blurred() -> Column:
-    return pack(*[clamp_rounded(_whole(F.col(f"blur_{name}")) / GAUSSIAN_SUM) for name in CHANNELS])
+def _smooth(sums: str) -> str:
+    """Packed sums of the blur as packed pixels."""
+    levels = {name: f"least(255, greatest(0, cast({_lane('v', name)} / {GAUSSIAN_SUM}D + 0.5D AS int)))" for name in CHANNELS}
+    return f"transform({sums}, v -> {_packed(**levels)})"
 
 
-def _edges(threshold: int) -> Column:
-    strength = sum(F.abs(_whole(F.col(f"{way}_{name}"))) for way in ("down", "across") for name in CHANNELS)
-    return F.when(strength >= threshold, BLACK).otherwise(WHITE)
+def _outline(threshold: int) -> str:
+    """Packed sums of both Sobel filters as black and white pixels."""
+    strength = " + ".join(f"abs({_lane(way, name)})" for way in ("d", "a") for name in CHANNELS)
+    return f"zip_with(down_packed, across_packed, (d, a) -> CASE WHEN {strength} >= {threshold} THEN {BLACK} ELSE {WHITE} END)"
 
 
 def _check_threshold(threshold: int) -> None:
@@ -239,32 +282,39 @@ def _check_threshold(threshold: int) -> None:
 
 
 SOBEL = {"down": SOBEL_VERTICAL, "across": SOBEL_HORIZONTAL}
+_PACKED_RGB = _packed(**{name: _channel("rgb", name) for name in CHANNELS})
 
 
 def gaussian_blur(pixels: DataFrame, tile: int = TILE) -> DataFrame:
-    return _pixels(_weighted_sums(_tiles(pixels, 2, tile), {"blur": GAUSSIAN}), tile, rgb=_blurred())
+    sums = _weighted_sums(_lines(pixels, 2, tile, packed=_PACKED_RGB), {"blur": GAUSSIAN}, tile)
+    rgb = " + ".join(f"shiftleft({_lane('cell', name)}, {CHANNEL_SHIFT[name]})" for name in CHANNELS)
+    return _pixels(sums, tile, _smooth("blur_packed"), f"cast({rgb} AS int) AS rgb")
 
 
 def sobel_edges(pixels: DataFrame, threshold: int = 128, tile: int = TILE) -> DataFrame:
     """Black where the colour changes by ``threshold`` or more, else white."""
     _check_threshold(threshold)
-    return _pixels(_weighted_sums(_tiles(pixels, 1, tile), SOBEL), tile, rgb=_edges(threshold))
+    sums = _weighted_sums(_lines(pixels, 1, tile, packed=_PACKED_RGB), SOBEL, tile)
+    return _pixels(sums, tile, _outline(threshold), "cell AS rgb")
 
 
 def cartoon(pixels: DataFrame, threshold: int = 128, levels: int = 3, tile: int = TILE) -> DataFrame:
     """The edges of the blurred image over the image in few colours.
 
     One shuffle and no join: tiles have a margin wide enough for blur and edges, and carry the
-    original pixel along. Blurring mirrored pixels gives mirrored blurred pixels, because the
+    original pixels along. Blurring mirrored pixels gives mirrored blurred pixels, because the
     filter is symmetric.
     """
     _check_threshold(threshold)
-    tiled = _tiles(pixels, 3, tile).withColumn("original", F.col("rgb"))
-    blurred = _trim(_weighted_sums(tiled, {"blur": GAUSSIAN}, keep=["original"]), 1, tile)
-    smooth = blurred.withColumn("rgb", _blurred())
-    outlined = _weighted_sums(smooth, SOBEL, keep=["original"])
-    few = _quantized(F.col("original"), levels)
-    return _pixels(outlined, tile, rgb=F.when(_edges(threshold) == BLACK, BLACK).otherwise(few))
+    lines = _lines(pixels, 3, tile, packed=_PACKED_RGB)
+    blurred = _weighted_sums(lines, {"blur": GAUSSIAN}, tile, left=1, keep=["rgb"])
+    smooth = blurred.selectExpr(*_LINE, "rgb", f"{_smooth('blur_packed')} AS packed")
+    outlined = _weighted_sums(smooth, SOBEL, tile, keep=["rgb"])
+    originals = f"slice(rgb, 4, least({tile}, width - tx * {tile}))"  # without the margin of three
+    both = outlined.selectExpr(*_LINE, f"{_outline(threshold)} AS edge", f"{originals} AS rgb")
+    both = _pixels(both, tile, "arrays_zip(edge, rgb)", "cell.edge", "cell.rgb")
+    few = _quantized(F.col("rgb"), levels)
+    return both.select(*PIXEL[:5], F.when(F.col("edge") == BLACK, F.col("edge")).otherwise(few).alias("rgb"))
 
 
 COMMANDS: dict[str, Callable[[DataFrame], DataFrame]] = {"half": half, "sepia": sepia, "grayscale": grayscale}
