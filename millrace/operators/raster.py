@@ -4,8 +4,8 @@ Columns: ``image_id, width, height, x, y, rgb`` with one row per pixel and ``rgb
 ``0x00RRGGBB``. ``with_size`` adds ``width`` and ``height`` where only the pixels are known.
 
 Operators that look at neighbours cut images into square tiles with a margin and shuffle once, by
-tile. A tile holds a few thousand rows however large its image, so one huge image spreads over the
-cluster like many small ones. Inside a tile, neighbours come from window functions.
+tile. A tile holds some thousands of rows however large its image, so one huge image spreads over the
+cluster like many small ones. Inside a tile, each line is an array.
 """
 
 from __future__ import annotations
@@ -102,41 +102,48 @@ def merge_mask(mask: DataFrame, other: DataFrame, colour: int = WHITE) -> DataFr
 # Neighbourhoods.
 
 
-def _places(position: str, size: str, margin: int, tile: int) -> Column:
-    """Where a coordinate is needed along one axis, as ``array<struct<pos, tile>>``.
+def _end(t: str, size: str, tile: int) -> str:
+    """Where a tile ends along one axis. The last tile takes the rest, so it is the widest and
+    never narrower than a margin."""
+    return f"(CASE WHEN {t} < {size} DIV {tile} - 1 THEN ({t} + 1) * {tile} ELSE {size} END)"
 
-    A pixel stands at its own place and, near the edge of the image, at its mirrored places up to
-    ``margin`` outside. Each place belongs to its tile and to neighbours whose margin covers it.
+
+def _place_along(pixels: DataFrame, axis: str, size: str, margin: int, tile: int) -> DataFrame:
+    """Add ``p<axis>, t<axis>``: the places a pixel is needed at along one axis, and their tiles.
+
+    A pixel is needed at its own place in its tile (use 0) and in the neighbour whose margin it is
+    in (1), and near the edge of the image at places mirrored once (2, 3) or twice (4, 5) outside.
+    Uses are plain numbers and there are no lambdas, so that this is compiled.
     """
-    place = "named_struct('pos', cast({} AS int), 'tile', cast({} AS int))"
-    plain = (
-        f"{position} BETWEEN {margin} AND {size} - {margin + 1} "
-        f"AND {position} % {tile} BETWEEN {margin} AND {tile - margin - 1}"
+    last = f"greatest({size} DIV {tile} - 1, 0)"
+    placed = pixels.selectExpr("*", f"least({axis} DIV {tile}, {last}) AS own")
+    below = f"own > 0 AND {axis} < own * {tile} + {margin}"
+    above = f"own < {last} AND {axis} >= (own + 1) * {tile} - {margin}"
+    inner = f"{axis} BETWEEN {margin} AND {size} - {margin + 1}"
+    narrow = f"raise_error('an image of {margin // 2} or less across is too narrow for this filter')"
+    uses = f"""CASE WHEN {inner} AND NOT ({below}) AND NOT ({above}) THEN array(0)
+        WHEN 2 * {size} < {margin} THEN {narrow}
+        ELSE array(0, CASE WHEN {below} OR {above} THEN 1 END,
+                   CASE WHEN {axis} < {margin} THEN 2 END, CASE WHEN {axis} >= {size} - {margin} THEN 3 END,
+                   CASE WHEN {axis} - 2 * {size} >= -{margin} THEN 4 END,
+                   CASE WHEN {axis} + {size} < {margin} THEN 5 END) END"""
+    position = f"""CASE use WHEN 2 THEN -1 - {axis} WHEN 3 THEN 2 * {size} - 1 - {axis}
+        WHEN 4 THEN {axis} - 2 * {size} WHEN 5 THEN {axis} + 2 * {size} ELSE {axis} END"""
+    # A mirrored place is in the pixel's own tile: that one is at the edge and wider than the margin.
+    home = f"CASE WHEN use <> 1 THEN own WHEN {below} THEN own - 1 ELSE own + 1 END"
+    used = placed.select("*", F.explode(F.expr(uses)).alias("use")).filter("use IS NOT NULL")
+    return used.selectExpr(
+        *pixels.columns, f"cast({position} AS int) AS p{axis}", f"cast({home} AS int) AS t{axis}"
     )
-    own = f"array({place.format(position, f'{position} DIV {tile}')})"
-    # One period to each side is enough, unless the image is narrower than the margin.
-    turns = f"cast(ceil({margin} / (2 * {size})) AS int) + 1"
-    mirrored = (
-        f"flatten(transform(sequence(-({turns}), {turns}), "
-        f"k -> array({position} + 2 * {size} * k, 2 * {size} * k - 1 - {position})))"
-    )
-    near = f"filter({mirrored}, p -> p BETWEEN -{margin} AND {size} + {margin - 1})"
-    first = f"greatest(p - {margin}, 0) DIV {tile}"
-    last = f"least(p + {margin}, {size} - 1) DIV {tile}"
-    shared = f"flatten(transform({near}, p -> transform(sequence({first}, {last}), t -> {place.format('p', 't')})))"
-    return F.expr(f"CASE WHEN {plain} THEN {own} ELSE {shared} END")
 
 
 def _tiles(pixels: DataFrame, margin: int, tile: int) -> DataFrame:
     """Pixels with their mirrored copies at ``px, py``, placed together by tile ``tx, ty``."""
     if tile <= 2 * margin:
         raise ValueError(f"tile {tile} is too small for a margin of {margin}")
-    across = pixels.select(*PIXEL, F.inline(_places("x", "width", margin, tile)).alias("px", "tx"))
-    down = across.select(
-        "image_id", "width", "height", "rgb", "px", "tx",
-        F.inline(_places("y", "height", margin, tile)).alias("py", "ty"),
-    )
-    return down.repartition("image_id", "tx", "ty")
+    across = _place_along(pixels.select(*PIXEL), "x", "width", margin, tile)
+    both = _place_along(across, "y", "height", margin, tile)
+    return both.select("image_id", "width", "height", "tx", "ty", "px", "py", "rgb").repartition("image_id", "tx", "ty")
 
 
 # Three channels in one bigint, 21 bits each. A weighted sum of packed pixels is the packed weighted
@@ -172,7 +179,7 @@ def _lines(pixels: DataFrame, margin: int, tile: int, **planes: str) -> DataFram
         .groupBy(*_LINE)
         .agg(F.expr(f"sort_array(collect_list(named_struct('px', px, 'rgb', rgb{cell})))").alias("cells"))
     )
-    complete = f"cells.px = sequence(tx * {tile} - {margin}, least((tx + 1) * {tile}, width) + {margin - 1})"
+    complete = f"cells.px = sequence(tx * {tile} - {margin}, {_end('tx', 'width', tile)} + {margin - 1})"
     return lines.selectExpr(
         *_LINE,
         f"CASE WHEN {complete} THEN cells.rgb ELSE {_BROKEN} END AS rgb",
@@ -226,12 +233,12 @@ def _weighted_sums(
         f"{at('py', offsets[-1])} - {at('py', offsets[0])} = {side - 1} AS whole",
         *[f"{at(f'{plane}{n}', offsets[k])} AS {plane}{n}_at{k}" for n, k in used for plane in planes],
     )
-    inside = f"py BETWEEN ty * {tile} - {left} AND least((ty + 1) * {tile}, height) + {left - 1}"
+    inside = f"py BETWEEN ty * {tile} - {left} AND {_end('ty', 'height', tile)} + {left - 1}"
 
     def over_lines(each: list[tuple[int, ...]], plane: str) -> str:
         terms = [f"{plane}{row_no[row]}_at{k}" for k, row in enumerate(each) if any(row)]
         added = " + ".join(f"get({term}, i)" for term in terms) or "0L"
-        last = f"least({tile}, width - tx * {tile}) + {2 * left - 1}"
+        last = f"{_end('tx', 'width', tile)} - tx * {tile} + {2 * left - 1}"
         total = f"transform(sequence(0, {last}), i -> {added})"
         # Said again here: the optimizer may evaluate a column before the filter below.
         return f"CASE WHEN NOT ({inside}) THEN NULL WHEN whole THEN {total} ELSE {_BROKEN} END"
@@ -310,7 +317,7 @@ def cartoon(pixels: DataFrame, threshold: int = 128, levels: int = 3, tile: int
     blurred = _weighted_sums(lines, {"blur": GAUSSIAN}, tile, left=1, keep=["rgb"])
     smooth = blurred.selectExpr(*_LINE, "rgb", f"{_smooth('blur_packed')} AS packed")
     outlined = _weighted_sums(smooth, SOBEL, tile, keep=["rgb"])
-    originals = f"slice(rgb, 4, least({tile}, width - tx * {tile}))"  # without the margin of three
+    originals = f"slice(rgb, 4, {_end('tx', 'width', tile)} - tx * {tile})"  # without the margin of three
     both = outlined.selectExpr(*_LINE, f"{_outline(threshold)} AS edge", f"{originals} AS rgb")
     both = _pixels(both, tile, "arrays_zip(edge, rgb)", "cell.edge", "cell.rgb")
     few = _quantized(F.col("rgb"), levels)
