@@ -52,11 +52,12 @@ def revision(xml: Column, strict: bool = True) -> Column:
 
 
 def instant_text(ts: Column) -> Column:
-    """ISO-8601 text of a UTC timestamp, with 0, 3 or 6 fraction digits as needed."""
-    micros = F.date_format(ts, "SSSSSS")
+    """ISO-8601 text of a zone-free UTC timestamp, with 0, 3 or 6 fraction digits as needed."""
+    text = ts.cast("timestamp_ntz").cast("string")  # no zone is looked up on the way
+    digits = F.substring(text, F.lit(21), F.lit(6))
     fraction = (
-        F.when(micros == "000000", F.lit(""))
-        .when(micros.endswith("000"), F.concat(F.lit("."), F.substring(micros, 1, 3)))
-        .otherwise(F.concat(F.lit("."), micros))
+        F.when(digits == "", F.lit(""))
+        .when(F.length(digits) <= 3, F.concat(F.lit("."), F.rpad(digits, 3, "0")))
+        .otherwise(F.concat(F.lit("."), F.rpad(digits, 6, "0")))
     )
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("Z"))
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), fraction, F.lit("Z"))

@@ -21,7 +21,8 @@ def nonblank_lines(text: Column) -> Column:
 
 def text_lines(text: Column) -> Column:
     """Array of all lines, ended by ``\\n``, ``\\r`` or both; nothing follows a closing line end."""
-    return F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
+    parts = F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
+    return F.when(text != "", parts).otherwise(F.array().cast("array<string>"))
 
 
 def is_letters(word: Column) -> Column:

@@ -7,28 +7,36 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_CATEGORIES = 100_000
 
 
-def check_categories(df: DataFrame, columns: Sequence[str], most: int = MAX_CATEGORIES) -> None:
-    """Fail if a column has clearly more than ``most`` values.
+def category_values(df: DataFrame, columns: Sequence[str], most: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """The values of each column, the most frequent first and ties alphabetical, in one pass.
 
-    Fitting an indexer brings every value of a column to the driver, so a column of free text or
-    ids must not get that far.
+    The values end up on the driver, as in any fitted indexer, so columns of free text or ids must
+    not get that far: with more than ``most`` values in all, this fails and brings no more than that.
     """
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    too_many = {c: counts[c] for c in columns if counts[c] > most * 1.1}
-    if too_many:
-        raise ValueError(f"not categorical, over {most} values: {too_many}")
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns])
+    counts = df.select(F.inline(cells)).filter("value IS NOT NULL").groupBy("feature", "value").count()
+    found = counts.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"not categorical, over {most} values in {', '.join(columns)}")
+    values: dict[str, list[str]] = {c: [] for c in columns}
+    for row in sorted(found, key=lambda r: (-r["count"], r["value"])):
+        values[row["feature"]].append(row["value"])
+    return values
 
 
-def indexer(columns: Sequence[str], invalid: str = "error") -> StringIndexer:
-    """Values to numbers, the most frequent 0 and ties alphabetical; outputs end in ``_idx``."""
-    return StringIndexer(inputCols=list(columns), outputCols=[f"{c}_idx" for c in columns], handleInvalid=invalid)
+def indexers(
+    values: dict[str, list[str]], columns: Sequence[str], invalid: str = "error"
+) -> list[StringIndexerModel]:
+    """Values to numbers, the first listed 0; outputs end in ``_idx``. One model per column: a
+    model of several pads their lists to one length."""
+    return [StringIndexerModel.from_labels(values[c], c, f"{c}_idx", handleInvalid=invalid) for c in columns]
 
 
 def encoder(columns: Sequence[str]) -> OneHotEncoder:
@@ -36,29 +44,33 @@ def encoder(columns: Sequence[str]) -> OneHotEncoder:
     return OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_vec" for c in columns])
 
 
-def feature_stages(columns: Sequence[str]) -> list:
-    assembler = VectorAssembler(inputCols=[f"{c}_vec" for c in columns], outputCol="features")
-    return [indexer(columns, invalid="keep"), encoder(columns), assembler]
-
-
 def category_indices(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``feature, value, idx`` for every value of the columns."""
-    check_categories(df, columns)
-    indexed = indexer(columns).fit(df).transform(df)
-    triples = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"{c}_idx").alias("idx")) for c in columns])
+    """``feature, value, idx`` for every value of the columns, as the fitted indexer gives them."""
+    indexed = PipelineModel(indexers(category_values(df, columns), columns)).transform(df)
+    triples = F.array(
+        *[
+            F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"{c}_idx").alias("idx"))
+            for c in columns
+        ]
+    )
     return indexed.select(F.inline(triples)).distinct()
 
 
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<column>_idx`` and ``<column>_vec`` for every column."""
-    check_categories(df, columns)
-    return Pipeline(stages=[indexer(columns), encoder(columns)]).fit(df).transform(df)
+    stages = [*indexers(category_values(df, columns), columns), encoder(columns)]
+    return Pipeline(stages=stages).fit(df).transform(df)
 
 
-def tree_pipeline(columns: Sequence[str], label: str) -> Pipeline:
-    """Index, encode and assemble the features, index the label, train a tree with default settings."""
+def tree_pipeline(values: dict[str, list[str]], columns: Sequence[str], label: str) -> Pipeline:
+    """Index, encode and assemble the features, index the label, train a tree with default settings.
+
+    A feature value that training never saw is no category at all; such a label fails.
+    """
+    assembler = VectorAssembler(inputCols=[f"{c}_vec" for c in columns], outputCol="features")
     tree = DecisionTreeClassifier(labelCol=f"{label}_idx", featuresCol="features")
-    return Pipeline(stages=[*feature_stages(columns), indexer([label]), tree])
+    features = [*indexers(values, columns, invalid="keep"), encoder(columns), assembler]
+    return Pipeline(stages=[*features, *indexers(values, [label]), tree])
 
 
 def split_rows(df: DataFrame, share: float, seed: int, keys: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -76,8 +88,8 @@ def train_tree(training: DataFrame, columns: Sequence[str], label: str) -> Pipel
     """Fit the pipeline. The needed columns are kept (spilling to disk) while the passes over them run."""
     rows = training.select(*columns, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        check_categories(rows, [*columns, label])
-        return tree_pipeline(columns, label).fit(rows)
+        values = category_values(rows, [*columns, label])
+        return tree_pipeline(values, columns, label).fit(rows)
     finally:
         rows.unpersist()
 

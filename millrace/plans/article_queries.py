@@ -11,7 +11,6 @@ from millrace.plans.registry import query
 from millrace.plans.views import oracle, scratch, view
 from millrace.sources import files, sinks
 
-DAY = "yyyy-MM-dd HH:mm:ss"
 DAY_SQL = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 ISO_SQL = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"
 YEAR = 1996
@@ -106,7 +105,7 @@ def revisions_by_year_list(spark, folder):
     """The lists of each year, in parts of about 500, and back to rows."""
     lists = articles.revisions_by_year(_revisions(spark, folder), size=500)
     rows = lists.select("year", F.inline("revisions"))
-    return rows.select("year", "aid", "rid", "contributor", F.date_format("ts", DAY).alias("ts"))
+    return rows.select("year", "aid", "rid", "contributor", F.col("ts").cast("string").alias("ts"))
 
 
 @query("revisions_per_year", _sql("SELECT cast(year(ts) AS int) AS year, count(*) AS n_revisions FROM revisions GROUP BY 1"))
@@ -244,7 +243,7 @@ def page_round_trip(spark, folder):
     """Pages written as markup, scanned by page and parsed."""
     parsed = files.read_articles(spark, _page_files(spark, folder))
     rows = articles.flatten(parsed)
-    return rows.select("aid", "title", "rid", "contributor", F.date_format("ts", DAY).alias("ts"))
+    return rows.select("aid", "title", "rid", "contributor", F.col("ts").cast("string").alias("ts"))
 
 
 @query(

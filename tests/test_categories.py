@@ -1,5 +1,6 @@
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -35,10 +36,29 @@ def test_one_hot_drops_the_last(spark):
     assert {r[0]: r[1] for r in coded.collect()} == {"c": [1.0, 0.0], "a": [0.0, 1.0], "b": [0.0, 0.0]}
 
 
+def test_one_hot_of_columns_of_different_sizes(cars):
+    coded = categories.one_hot(cars, FEATURES)
+    sizes = coded.select(*[F.size(vector_to_array(f"{f}_vec")) for f in FEATURES]).first()
+    assert list(sizes) == [3, 1, 2, 1, 1, 2]
+
+
 def test_too_many_values_fail(spark):
     frame = spark.range(3000).select(F.col("id").cast("string").alias("f"))
     with pytest.raises(ValueError, match="not categorical"):
-        categories.check_categories(frame, ["f"], most=1000)
+        categories.category_values(frame, ["f"], most=2999)
+    assert len(categories.category_values(frame, ["f"], most=3000)["f"]) == 3000
+
+
+def test_indices_are_those_of_a_fitted_indexer(cars):
+    fitted = StringIndexer(inputCols=FEATURES, outputCols=[f"{f}_i" for f in FEATURES]).fit(cars)
+    values = categories.category_values(cars, FEATURES)
+    assert [values[f] for f in FEATURES] == [list(labels) for labels in fitted.labelsArray]
+
+
+def test_value_unknown_to_the_training_side(spark, cars):
+    model = categories.train_tree(cars, FEATURES, "label")
+    odd = cars.limit(5).withColumn("buying", F.lit("free"))
+    assert model.transform(odd).count() == 5
 
 
 def test_split_is_disjoint_whole_and_stable(cars):

@@ -68,9 +68,9 @@ def test_stop_words_match_exactly(spark, rows):
 
 
 def test_lines(spark):
-    frame = texts(spark, "a\r\nb\rc\n\nd\n", "x")
+    frame = texts(spark, "a\r\nb\rc\n\nd\n", "x", "", "\n", None)
     got = frame.select(text_lines(F.col("text"))).collect()
-    assert [r[0] for r in got] == [["a", "b", "c", "", "d"], ["x"]]
+    assert [r[0] for r in got] == [["a", "b", "c", "", "d"], ["x"], [], [""], []]
 
 
 def test_best_lines_fill_up_with_misses(spark):
