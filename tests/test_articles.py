@@ -8,7 +8,7 @@ from millrace.functions import markup
 from millrace.operators import articles
 from millrace.sources import files, sinks
 
-DUMP = """<mediawiki>
+DUMP = """<dump>
 <page><title>One</title><id>1</id>
 <revision><id>10</id><timestamp>2013-05-01T10:00:00Z</timestamp><contributor><username>ann</username><id>77</id></contributor></revision>
 <revision><id>11</id><timestamp>2014-01-01T00:00:00.500Z</timestamp><contributor><ip>1.2.3.4</ip></contributor></revision>
@@ -18,7 +18,7 @@ lines</title>
 <revision minor="1"><timestamp>2013-12-31T23:59:59Z</timestamp><contributor><username>bob</username><ip>9.9.9.9</ip></contributor></revision>
 </page>
 <page><title>Empty</title><id>3</id></page>
-</mediawiki>
+</dump>
 """
 
 

@@ -56,10 +56,10 @@ def test_counts_per_group(frame):
 
 
 def test_crew_match_on_any_row(frame, rows):
-    data = frame(film("a"), film("a", "2004", "L", "C", "D", "Ann", "W", "Clint Eastwood"), film("b"))
-    assert rows(films.with_crew_member(data, "Clint Eastwood")) == [("a",)]
+    data = frame(film("a"), film("a", "2004", "L", "C", "D", "Ann", "W", "Cy Young"), film("b"))
+    assert rows(films.with_crew_member(data, "Cy Young")) == [("a",)]
     crews = data.select(films.crew()).collect()
-    assert crews[1][0] == "Clint Eastwood, Ann, D, W"
+    assert crews[1][0] == "Cy Young, Ann, D, W"
 
 
 def test_location_lists(frame):
