@@ -200,8 +200,8 @@ def _lines(docs: DataFrame, text: str) -> Column:
 def links(docs: DataFrame, text: str = "text") -> DataFrame:
     """Alike pairs of different lines, ``a, b`` by their keys, that connect all that were found alike."""
     sketched = written(docs.select(F.col(text)).mapInArrow(_sketch, "a binary, b binary, band bigint, short bigint"))
-    entries = sketched.where("a IS NULL").select("band", "short", F.xxhash64("band", "short").alias("rank"))
-    by_band = entries.repartition("band").sortWithinPartitions("band", "rank").select("band", "short")
+    entries = sketched.where("a IS NULL").select("band", "short")
+    by_band = entries.repartition("band").sortWithinPartitions("band", F.xxhash64("band", "short"))
     pairs = written(by_band.mapInArrow(_candidates, "a bigint, b bigint").distinct())
     # Texts of the lines that are in some pair. The filter before the shuffle lets a few more pass.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("short")).distinct()
