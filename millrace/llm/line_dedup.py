@@ -124,7 +124,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Verified links inside a batch (``a``, ``b``), and the entries that it sends on (``band``, ``short``)."""
     shape = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("band", pa.int64()), ("short", pa.int64())])
     for batch in batches:
-        for _, texts in slices(batch.column(0), 16 << 20):
+        for _, texts in slices(batch.column(0), 4 << 20):
             lines = list({line for t in texts.to_pylist() for line in t.split("\n") if line.strip(" \t\n\r\x0b\x0c")})
             if not lines:
                 continue
