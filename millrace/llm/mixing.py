@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import SPACE, WORD, words, written
+from millrace.llm.common import SPACE, WORD, let, words, written
 
 BLOCK = 64  # words
 SHARD = 4096  # slots
@@ -246,7 +246,8 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     joined = joined.withColumn("__mine", F.filter("__runs", lambda r: r["times"] >= F.col("__round")))
     count = F.aggregate("__mine", F.lit(0).cast("bigint"), lambda total, r: total + r["hi"] - r["lo"])
     pieces = F.regexp_extract_all(F.col(text), F.lit(f"{WORD}{SPACE}*"), F.lit(0))
-    joined = joined.withColumns({"__count": count, "__pieces": F.when(F.col("__size") > count, pieces)})
-    cut = F.flatten(F.transform("__mine", lambda r: F.slice("__pieces", (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int"))))
-    new = F.when(F.col("__count") == F.col("__size"), F.col(text)).otherwise(F.array_join(cut, ""))
+    def cut(words):
+        return F.flatten(F.transform("__mine", lambda r: F.slice(words, (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int"))))
+
+    new = F.when(count == F.col("__size"), F.col(text)).otherwise(F.array_join(let(pieces, cut), ""))
     return joined.select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns])

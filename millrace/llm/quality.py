@@ -15,16 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, words
+from millrace.llm.common import WORD, let, words
 
 SAMPLE_ROWS = 1000
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _windows(found: Column) -> Column:
     """The hash of the three words from each place; the last two places have no window."""
     return F.slice(
