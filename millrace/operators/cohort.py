@@ -29,28 +29,6 @@ def find_people(names: DataFrame, people: DataFrame, order: Sequence[str], missi
     return found.select("name", gender.alias("gender"), F.col("person.birth_year").alias("birth_year"))
 
 
-def draw_plans(people: DataFrame, seed: int) -> DataFrame:
-    """``name, start_age, retirement_age, contribution, strategy``, even draws fixed by name and seed.
-
-    Ages 25..40 and 60..70, contribution 5..20 percent, one of the four strategies. The draws are
-    slices of one digest, so a lost task that runs again draws the same.
-    """
-    digest = F.md5(F.concat_ws("|", F.col("name"), F.lit(str(seed))))
-    strategies = F.array(*[F.lit(name) for name in savings.YEARLY_RATE])
-
-    def draw(place: int, choices: int) -> Column:
-        bits = F.conv(F.substring("digest", 8 * place + 1, 8), 16, 10).cast("bigint")
-        return F.pmod(bits, F.lit(choices)).cast("int")
-
-    return people.select("name", digest.alias("digest")).select(
-        "name",
-        (25 + draw(0, 16)).alias("start_age"),
-        (60 + draw(1, 11)).alias("retirement_age"),
-        (5 + draw(2, 16)).alias("contribution"),
-        strategies[draw(3, len(savings.YEARLY_RATE))].alias("strategy"),
-    )
-
-
 def project(people: DataFrame, plans: DataFrame) -> DataFrame:
     """Join people with their plans and add every projected quantity, unrounded.
 

@@ -108,17 +108,15 @@ def with_crew_member(films: DataFrame, name: str) -> DataFrame:
     return films.filter(crew().contains(name)).select("title").distinct()
 
 
-def location_lists(films: DataFrame, size: int = LIST_SIZE) -> DataFrame:
-    """``title, part, locations, n_locations, n_rows``: the set of locations of a title, its size,
-    and the number of rows behind it, repeats included. Large sets have more than one part."""
-    parts = bounded_lists(films, ["title"], ["location"], size=size)
-    return parts.select(
-        "title",
-        "part",
-        F.col("items.location").alias("locations"),
-        F.size("items").alias("n_locations"),
-        F.aggregate("items", F.lit(0).cast("bigint"), lambda n, e: n + e["copies"]).alias("n_rows"),
-    )
+def title_locations(films: DataFrame) -> DataFrame:
+    """``title, location, copies, n_locations, n_rows``: each location of a title with its number of rows,
+    beside the size of the title's set and all its rows. Null locations are no member of the set.
+
+    One row per location, however many a title has.
+    """
+    pairs = films.groupBy("title", "location").agg(F.count(F.lit(1)).alias("copies"))
+    totals = pairs.groupBy("title").agg(F.count("location").alias("n_locations"), F.sum("copies").alias("n_rows"))
+    return pairs.where("location IS NOT NULL").join(totals, "title")
 
 
 def rows_at(films: DataFrame, locations: Sequence[str]) -> DataFrame:

@@ -139,13 +139,13 @@ def films_per_company_year(spark, folder):
 @query(
     "film_location_list",
     _sql(
-        "SELECT title, string_agg(DISTINCT location, ', ' ORDER BY location) AS locations, "
-        "cast(count(DISTINCT location) AS int) AS n_locations, count(*) AS n_rows FROM clean GROUP BY title"
+        "SELECT title, location, count(*) AS copies, any_value(n_locations) AS n_locations, any_value(n_rows) AS n_rows "
+        "FROM clean JOIN (SELECT title, count(DISTINCT location) AS n_locations, count(*) AS n_rows FROM clean "
+        "GROUP BY title) USING (title) WHERE location IS NOT NULL GROUP BY title, location"
     ),
 )
 def film_location_list(spark, folder):
-    lists = films.location_lists(_clean(spark, folder))
-    return lists.select("title", F.array_join("locations", ", ").alias("locations"), "n_locations", "n_rows")
+    return films.title_locations(_clean(spark, folder))
 
 
 @query(

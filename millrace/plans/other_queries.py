@@ -85,24 +85,6 @@ def person_file_lookup(spark, folder):
     return cohort.find_people(people, files.read_people(spark, path), order=["place"], missing="raise")
 
 
-def _draw(place: int, choices: int) -> str:
-    return f"(('0x' || substr(digest, {8 * place + 1}, 8))::BIGINT % {choices})"
-
-
-@query(
-    "plan_draws",
-    oracle(
-        f"SELECT name, cast(25 + {_draw(0, 16)} AS int) AS start_age, cast(60 + {_draw(1, 11)} AS int) AS retirement_age, "
-        f"cast(5 + {_draw(2, 16)} AS int) AS contribution, "
-        f"['growth', 'balanced', 'conservative', 'cash'][{_draw(3, 4)} + 1] AS strategy "
-        "FROM (SELECT name, md5(name || '|11') AS digest FROM people)",
-        "people",
-    ),
-)
-def plan_draws(spark, folder):
-    return cohort.draw_plans(view(spark, folder, "people"), seed=11)
-
-
 # Points.
 
 HITS = "SELECT grp, count(*) FILTER (WHERE x * x + y * y <= 1) AS hits, count(*) AS points FROM points GROUP BY grp"

@@ -6,12 +6,9 @@
 from __future__ import annotations
 
 import string
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 REVISIONS = """
 SELECT o_custkey AS aid, c_name AS title, o_orderkey AS rid,
@@ -113,41 +110,17 @@ def table_names(sql: str) -> list[str]:
     return [field for _, field, _, _ in string.Formatter().parse(sql) if field]
 
 
-@cache
-def _schema(path: str) -> StructType:
-    """Schema of a table; kept, because finding it takes a job."""
-    return SparkSession.active().read.parquet(path).schema
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    path = f"{folder}/{name}.parquet"
-    return spark.read.schema(_schema(path)).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan on at least as many partitions as there are cores, for work that is heavy per row.
-
-    A file of one row group is one task, whatever its size. Only a scan with fewer splits than
-    cores is spread, so it is small by definition; a large one is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
-
-
-# Views that do enough per row of their largest table to spread it.
-SPREAD = {"films": ("lineitem", "l_orderkey"), "cars": ("lineitem", "l_orderkey")}
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     sql = VIEWS[name]
     tables = {t: table(spark, folder, t) for t in table_names(sql)}
-    if name in SPREAD:
-        largest, key = SPREAD[name]
-        tables[largest] = spread(tables[largest], key)
     return spark.sql(sql, **tables)
 
 
@@ -165,13 +138,11 @@ def oracle(select: str, *names: str, **extra: str) -> str:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder name under the shared folder the session names in ``spark.checkpoint.dir``.
+    """A new folder name under the folder that all executors share.
 
-    Only a local session that names none gets a folder of this machine.
+    It is the one the session names in ``spark.checkpoint.dir``, else one inside its warehouse; never
+    a temporary folder of this machine.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="millrace-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

@@ -74,7 +74,7 @@ def read_films(spark: SparkSession, path: str | list[str], infer: bool = False)
     """Film records with the columns of ``operators.films``.
 
     All columns are text; ``films.clean`` makes the year a number. ``infer`` lets Spark look at the
-    values first, which gives the same result after one more pass.
+    values first, in one more pass, and changes those it takes for numbers: ``007`` becomes ``7``.
     """
     reader = spark.read.option("header", True).option("inferSchema", infer)
     table = reader.csv(path)
@@ -102,13 +102,17 @@ def read_people(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return table.select("*", place.alias("place"))
 
 
-def read_photos(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_photos(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
     """Photo files as a pixel table; ``image_id`` is the path and any alpha channel is dropped.
 
     Spark decodes the files on the executors. Bytes become numbers by way of Latin-1, in which
-    byte and code point are the same, one image line at a time.
+    byte and code point are the same, one image line at a time. A file that is no photo fails the
+    query; with ``strict=False`` it is left out.
     """
-    image = spark.read.format("image").option("dropInvalid", True).load(path).select("image.*")
+    image = spark.read.format("image").option("dropInvalid", not strict).load(path).select("image.*")
+    if strict:  # the reader marks a broken file with a height of -1
+        broken = F.raise_error(F.concat(F.lit("not a photo: "), F.col("origin"))).cast("int")
+        image = image.withColumn("height", F.when(F.col("height") < 0, broken).otherwise(F.col("height")))
     line_bytes = F.col("width") * F.col("nChannels")
     lines = image.select(
         F.col("origin").alias("image_id"), "width", "height", "nChannels", "data",

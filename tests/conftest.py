@@ -13,7 +13,7 @@ def spark():
     session = build_session(
         "tests",
         master="local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.checkpoint.dir": "/tmp/millrace-tests/checkpoints", "spark.sql.warehouse.dir": "/tmp/millrace-tests/warehouse"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -76,17 +76,6 @@ def test_malformed_person_fails(spark, tmp_path):
         files.read_people(spark, str(path)).collect()
 
 
-def test_draws(spark):
-    people = spark.range(4000).select(F.col("id").cast("string").alias("name"))
-    plans = cohort.draw_plans(people, seed=1)
-    spans = plans.agg(*[f(c) for c in ("start_age", "retirement_age", "contribution") for f in (F.min, F.max, F.count_distinct)]).first()
-    assert tuple(spans) == (25, 40, 16, 60, 70, 11, 5, 20, 16)
-    sizes = {r.strategy: r["count"] for r in plans.groupBy("strategy").count().collect()}
-    assert set(sizes) == set(savings.YEARLY_RATE) and min(sizes.values()) > 850
-    assert sorted(plans.collect()) == sorted(cohort.draw_plans(people.repartition(7), seed=1).collect())
-    assert plans.exceptAll(cohort.draw_plans(people, seed=2)).count() > 3000
-
-
 def test_summary(spark):
     row = cohort.summary(projected(spark)).first()
     assert row.n == 1 and row.band in {"poverty", "modest", "comfortable"}

@@ -62,10 +62,13 @@ def test_crew_match_on_any_row(frame, rows):
     assert crews[1][0] == "Cy Young, Ann, D, W"
 
 
-def test_location_lists(frame):
+def test_title_locations(frame, spark):
     data = frame(film("a", location="x"), film("a", location="x"), film("a", location="y"))
-    row = films.location_lists(data).first()
-    assert (row.part, row.locations, row.n_locations, row.n_rows) == (0, ["x", "y"], 2, 3)
+    got = {tuple(r) for r in films.title_locations(data).select("title", "location", "copies", "n_locations", "n_rows").collect()}
+    assert got == {("a", "x", 2, 2, 3), ("a", "y", 1, 2, 3)}
+    many = spark.range(15_000).selectExpr("'a' AS title", "cast(id AS string) AS location")
+    rows = films.title_locations(many)
+    assert rows.count() == 15_000 and rows.select("n_locations", "n_rows").distinct().collect() == [(15_000, 15_000)]
 
 
 def test_pivot(frame, rows):

@@ -259,7 +259,9 @@ def test_photo_files(spark, tmp_path, depth):
         data[..., 3] = 255
     (tmp_path / "p.png").write_bytes(png(data))
     (tmp_path / "broken.png").write_bytes(b"no image")
-    got = arrays(files.read_photos(spark, str(tmp_path)), "rgb")
+    with pytest.raises(Exception, match="not a photo"):
+        files.read_photos(spark, str(tmp_path)).collect()
+    got = arrays(files.read_photos(spark, str(tmp_path), strict=False), "rgb")
     assert len(got) == 1
     planes = [data[..., 0].astype(int)] * 3 if depth == 1 else [data[..., i].astype(int) for i in range(3)]
     assert (next(iter(got.values()))[0] == pack(*planes)).all()
