@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import markup
-from millrace.operators.grouping import LIST_SIZE, bounded_lists
+from millrace.operators.grouping import grouped, with_totals
 
 REVISION = ("aid", "title", "rid", "contributor", "ts")
 
@@ -140,10 +140,9 @@ def contributors_per_year(revisions: DataFrame) -> DataFrame:
     return pairs.groupBy("year").agg(F.count(F.lit(1)).alias("n_contributors"))
 
 
-def revisions_by_year(revisions: DataFrame, fields: Sequence[str] = ("aid", "rid", "contributor", "ts"), size: int = LIST_SIZE) -> DataFrame:
-    """``year, part, revisions``: the revisions of each year as lists of bounded size."""
-    dated = revisions.withColumn("year", F.year("ts"))
-    return bounded_lists(dated, ["year"], fields, size=size, name="revisions")
+def revisions_by_year(revisions: DataFrame, fields: Sequence[str] = ("aid", "rid", "contributor", "ts")) -> DataFrame:
+    """``year, fields..., copies, n_entries, n_rows``: the revisions of each year, beside the whole year's numbers."""
+    return grouped(revisions.withColumn("year", F.year("ts")), ["year"], fields)
 
 
 def contributor_counts_per_year(revisions: DataFrame) -> DataFrame:
@@ -151,11 +150,9 @@ def contributor_counts_per_year(revisions: DataFrame) -> DataFrame:
     return revisions.groupBy(F.year("ts").alias("year"), "contributor").agg(F.count(F.lit(1)).alias("n"))
 
 
-def contributor_maps_per_year(revisions: DataFrame, size: int = LIST_SIZE) -> DataFrame:
-    """``year, part, counts map<contributor, n>``; the maps of one year have no key in common."""
-    counts = contributor_counts_per_year(revisions)
-    parts = bounded_lists(counts, ["year"], ["contributor", "n"], size=size, unique=True, spread=["contributor"])
-    return parts.select("year", "part", F.map_from_entries("items").alias("counts"))
+def contributor_maps_per_year(revisions: DataFrame) -> DataFrame:
+    """``year, contributor, n, n_contributors``: the entries of each year's map, beside its size."""
+    return with_totals(contributor_counts_per_year(revisions), ["year"], n_contributors=F.count(F.lit(1)))
 
 
 def by_contributor(revisions: DataFrame, n: int, split: int = 8) -> DataFrame:
@@ -178,23 +175,28 @@ def _both(first: DataFrame, second: DataFrame, fields: Sequence[str]) -> DataFra
     return picked[0].unionByName(picked[1])
 
 
-def cogroup_by_contributor(
-    first: DataFrame, second: DataFrame, fields: Sequence[str] = ("aid", "rid", "ts"), size: int = LIST_SIZE
-) -> DataFrame:
-    """``contributor, part, revs1, revs2``: what each contributor of either history did in both.
+def _cogroup(both: DataFrame, fields: Sequence[str]) -> DataFrame:
+    entries = both.groupBy("contributor", "side", *fields).agg(F.count(F.lit(1)).alias("copies"))
+    sizes = {f"n_revs{side}": F.sum(F.when(F.col("side") == side, F.col("copies")).otherwise(0)) for side in (1, 2)}
+    return with_totals(entries, ["contributor"], **sizes)
+
+
+def cogroup_by_contributor(first: DataFrame, second: DataFrame, fields: Sequence[str] = ("aid", "rid", "ts")) -> DataFrame:
+    """``contributor, side, fields..., copies, n_revs1, n_revs2``: what each contributor of either history did.
 
-    One grouping of the union, not a join of two groupings. A side without revisions is an empty
-    list; contributors with more than about ``size`` revisions have more than one part.
+    One row per different revision and side (1 or 2). ``n_revs1`` and ``n_revs2`` are all the contributor's
+    revisions in either history, 0 where there are none. One grouping of the union, not a join of two.
     """
-    parts = bounded_lists(
-        _both(first, second, ["contributor", *fields]), ["contributor"], [*fields, "side"], size=size
-    )
+    return _cogroup(_both(first, second, ["contributor", *fields]), fields)
+
+
+def _kept_in_both(both: DataFrame, keep: Column) -> DataFrame:
+    sides = both.groupBy("contributor", "side").agg(keep.alias("_keep")).filter("_keep")
+    return sides.groupBy("contributor").agg(F.count(F.lit(1)).alias("_n")).filter("_n = 2").select("contributor")
 
-    def one_side(side: int) -> Column:
-        own = F.filter("items", lambda r: r["side"] == side)
-        return F.transform(own, lambda r: F.struct(*[r[f].alias(f) for f in [*fields, "copies"]]))
 
-    return parts.select("contributor", "part", one_side(1).alias("revs1"), one_side(2).alias("revs2"))
+def _common(first: DataFrame, second: DataFrame) -> DataFrame:
+    return _both(first, second, [c for c in first.columns if c in second.columns])
 
 
 def shared_contributors(first: DataFrame, second: DataFrame, keep: Column | None = None) -> DataFrame:
@@ -204,15 +206,12 @@ def shared_contributors(first: DataFrame, second: DataFrame, keep: Column | None
     ``F.bool_or(F.year("ts") == 2013)``; by default, having any revision. No list is built and each
     side is combined on the map side, so a contributor of any size is one row per task.
     """
-    keep = F.lit(True) if keep is None else keep
-    fields = [c for c in first.columns if c in second.columns]
-    sides = _both(first, second, fields).groupBy("contributor", "side").agg(keep.alias("_keep")).filter("_keep")
-    return sides.groupBy("contributor").agg(F.count(F.lit(1)).alias("_n")).filter("_n = 2").select("contributor")
+    return _kept_in_both(_common(first, second), F.lit(True) if keep is None else keep)
 
 
-def cogroup_where(first: DataFrame, second: DataFrame, keep: Column, **options) -> DataFrame:
+def cogroup_where(
+    first: DataFrame, second: DataFrame, keep: Column, fields: Sequence[str] = ("aid", "rid", "ts")
+) -> DataFrame:
     """The cogroup of only those contributors for whom ``keep`` holds in both histories."""
-    wanted = shared_contributors(first, second, keep)
-    return cogroup_by_contributor(
-        first.join(wanted, "contributor", "left_semi"), second.join(wanted, "contributor", "left_semi"), **options
-    )
+    both = _common(first, second)
+    return _cogroup(both.join(_kept_in_both(both, keep), "contributor", "left_semi"), fields)

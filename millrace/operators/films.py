@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import upper_after_first_space
-from millrace.operators.grouping import LIST_SIZE, bounded_lists
+from millrace.operators.grouping import grouped
 
 ACTORS = ("actor1", "actor2", "actor3")
 
@@ -147,14 +147,13 @@ def _cast(films: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, "slot.list_no", "slot.actor").filter("actor IS NOT NULL")
 
 
-def location_actors(films: DataFrame, distinct: bool = True, size: int = LIST_SIZE) -> DataFrame:
-    """``location, part, actors``: who played at a location, each once.
+def location_actors(films: DataFrame, distinct: bool = True) -> DataFrame:
+    """``location, actor, copies, n_entries, n_rows``: who played at a location, each once.
 
-    With ``distinct`` off a name comes once for each of the three actor columns it stands in.
+    ``copies`` counts the actor's rows there; ``n_entries`` and ``n_rows`` are those of the whole location.
+    With ``distinct`` off a name comes once for each of the three actor columns (``list_no``) it stands in.
     """
-    fields = ["actor"] if distinct else ["actor", "list_no"]
-    parts = bounded_lists(_cast(films, "location"), ["location"], fields, size=size)
-    return parts.select("location", "part", F.col("items.actor").alias("actors"))
+    return grouped(_cast(films, "location"), ["location"], ["actor"] if distinct else ["actor", "list_no"])
 
 
 def actor_names(films: DataFrame) -> DataFrame:

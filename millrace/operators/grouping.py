@@ -1,4 +1,4 @@
-"""Groups kept as lists, without ever holding a whole hot group in one task."""
+"""Groups in long form, so that no group, however hot, is ever held in one task."""
 
 from __future__ import annotations
 
@@ -8,55 +8,23 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LIST_SIZE = 10_000
 
+def with_totals(entries: DataFrame, keys: Sequence[str], **totals) -> DataFrame:
+    """``entries`` with ``totals``, aggregates over all entries under their ``keys``; null is a key.
+
+    The totals combine on the map side. Their join may be broadcast or have a hot key split.
+    """
+    sums = entries.groupBy(*[F.col(key).alias(f"_of_{key}") for key in keys]).agg(*[c.alias(name) for name, c in totals.items()])
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys])
+    return entries.join(sums, same).select(*entries.columns, *totals)
 
-def bounded_lists(
-    df: DataFrame,
-    keys: Sequence[str],
-    items: Sequence[str],
-    *,
-    size: int = LIST_SIZE,
-    name: str = "items",
-    unique: bool = False,
-    spread: Sequence[str] | None = None,
-) -> DataFrame:
-    """Collect ``items`` under ``keys`` as sorted arrays of about ``size`` entries at most.
 
-    Result: ``keys..., part, <name> array<struct<items..., copies>>``. A group of up to ``size``
-    distinct entries is one row with ``part`` 0; a larger one is spread over as many parts as it
-    needs, and the union of its parts is the group. Equal entries are one element that carries its
-    number of ``copies``, so neither a hot key nor a flood of copies makes a large array.
+def grouped(df: DataFrame, keys: Sequence[str], items: Sequence[str]) -> DataFrame:
+    """``keys..., items..., copies, n_entries, n_rows``: one row per different entry of each group.
 
-    ``unique`` says that no entry occurs twice under a key: nothing is combined and there is no
-    ``copies``. ``spread`` names the items whose hash picks the part, all of them by default.
+    ``copies`` says how often the entry occurs, ``n_entries`` and ``n_rows`` how many different entries
+    and how many rows the whole group has. Grouping by key and entry spreads hot keys and combines
+    copies before the shuffle.
     """
-    keys, items = list(keys), list(items)
-    if unique:
-        entries, fields, weight = df.select(*keys, *items), items, F.lit(1)
-    else:
-        # Grouping by key and entry spreads hot keys and combines copies on the map side.
-        entries = df.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("copies"))
-        fields, weight = [*items, "copies"], F.col("copies")
-    # Only groups that need more than one part; few, so adaptive execution may broadcast them.
-    # The first condition follows from the second; it keeps ``copies`` in this branch, so that
-    # the exchange under ``entries`` is the same one in both branches and is reused.
-    large = (
-        entries.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_entries"), F.sum(weight).alias("_rows"))
-        .filter((F.col("_rows") > size) & (F.col("_entries") > size))
-        .select(
-            *[F.col(key).alias(f"_large_{key}") for key in keys],
-            F.ceil(F.col("_entries") / size).alias("_parts"),
-        )
-    )
-    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_large_{key}")) for key in keys])
-    part = F.coalesce(F.pmod(F.xxhash64(*(spread or items)), F.col("_parts")), F.lit(0)).cast("int")
-    return (
-        entries.join(large, same, "left")
-        .withColumn("part", part)
-        # Without this exchange the grouping below would run on the join's partitioning, by key only.
-        .repartition(*keys, "part")
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(name))
-    )
+    entries = df.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("copies"))
+    return with_totals(entries, keys, n_entries=F.count(F.lit(1)), n_rows=F.sum("copies"))

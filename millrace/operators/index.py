@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import length_part, nonblank_lines, tokens
-from millrace.operators.grouping import LIST_SIZE, bounded_lists
+from millrace.operators.grouping import with_totals
 
 # The default stop words.
 STOP_WORDS = (
@@ -23,16 +23,19 @@ def stop_word_table(spark: SparkSession) -> DataFrame:
 
 
 def word_positions(
-    documents: DataFrame, stop_words: Iterable[str] = (), doc_id: str = "doc_id", text: str = "text"
+    documents: DataFrame, stop_words: Iterable[str] | DataFrame = (), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row ``doc_id, line_no, word_no, word`` per word, both numbers from zero.
 
-    Empty lines are not numbered. Words are numbered within their line before stop words go.
+    Empty lines are not numbered. Words are numbered within their line before stop words go. A table of
+    stop words (``word``) may be of any size; it is joined, and no list of it is made.
     """
     numbered = documents.select(
         F.col(doc_id).alias("doc_id"), F.posexplode(nonblank_lines(F.col(text))).alias("line_no", "line")
     )
     hits = numbered.select("doc_id", "line_no", F.posexplode(tokens(F.col("line"))).alias("word_no", "word"))
+    if isinstance(stop_words, DataFrame):
+        return hits.join(stop_words.select("word"), "word", "left_anti").select(*hits.columns)
     stop_words = list(stop_words)
     return hits.filter(~F.col("word").isin(stop_words)) if stop_words else hits
 
@@ -79,14 +82,12 @@ def postings(hits: DataFrame) -> DataFrame:
     return grouped.select("word", "doc_id", "n", unpacked.alias("positions"))
 
 
-def posting_lists(index: DataFrame, size: int = LIST_SIZE) -> DataFrame:
-    """The index nested by word: ``word, part, docs array<struct<doc_id, n, positions>>``.
+def posting_lists(index: DataFrame) -> DataFrame:
+    """``word, doc_id, n, positions, n_docs``: the documents of each word, beside their number.
 
-    A word found in more than about ``size`` documents has more than one part. Reads ``index``
-    twice, so pass a written one.
+    Reads ``index`` twice, so pass a written one where that is dear.
     """
-    fields = ["doc_id", "n", "positions"]
-    return bounded_lists(index, ["word"], fields, size=size, name="docs", unique=True, spread=["doc_id"])
+    return with_totals(index, ["word"], n_docs=F.count(F.lit(1)))
 
 
 def corpus_counters(documents: DataFrame, stop_words: Iterable[str], text: str = "text") -> DataFrame:

@@ -56,7 +56,7 @@ def mean_word_length(stream: DataFrame) -> DataFrame:
 def words_by_first_letter(stream: DataFrame) -> DataFrame:
     """The set of words of each first letter in long form, ``letter, word``.
 
-    For arrays, feed this to ``bounded_lists``: the vocabulary of one letter has no size limit.
+    No arrays: the vocabulary of one letter has no size limit.
     """
     return stream.select(F.substring("word", 1, 1).alias("letter"), "word").distinct()
 

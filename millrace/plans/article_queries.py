@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.markup import instant_text
 from millrace.operators import articles
-from millrace.operators.grouping import bounded_lists
 from millrace.plans.registry import query
 from millrace.plans.views import oracle, scratch, view
 from millrace.sources import files, sinks
@@ -99,13 +98,14 @@ def contributors_top3(spark, folder):
 
 @query(
     "revisions_by_year_list",
-    _sql(f"SELECT cast(year(ts) AS int) AS year, aid, rid, contributor, {DAY_SQL} AS ts FROM revisions"),
+    _sql(
+        f"SELECT cast(year(ts) AS int) AS year, aid, rid, contributor, {DAY_SQL} AS ts, count(*) AS copies, "
+        "cast(sum(count(*)) OVER (PARTITION BY year(ts)) AS bigint) AS n_rows FROM revisions GROUP BY year(ts), aid, rid, contributor, ts"
+    ),
 )
 def revisions_by_year_list(spark, folder):
-    """The lists of each year, in parts of about 500, and back to rows."""
-    lists = articles.revisions_by_year(_revisions(spark, folder), size=500)
-    rows = lists.select("year", F.inline("revisions"))
-    return rows.select("year", "aid", "rid", "contributor", F.col("ts").cast("string").alias("ts"))
+    rows = articles.revisions_by_year(_revisions(spark, folder))
+    return rows.select("year", "aid", "rid", "contributor", F.col("ts").cast("string").alias("ts"), "copies", "n_rows")
 
 
 @query("revisions_per_year", _sql("SELECT cast(year(ts) AS int) AS year, count(*) AS n_revisions FROM revisions GROUP BY 1"))
@@ -138,11 +138,9 @@ def contributor_counts_per_year(spark, folder):
     return articles.contributor_counts_per_year(_revisions(spark, folder))
 
 
-@query("contributor_maps_per_year", _sql(COUNTS))
+@query("contributor_maps_per_year", _sql(f"SELECT *, count(*) OVER (PARTITION BY year) AS n_contributors FROM ({COUNTS})"))
 def contributor_maps_per_year(spark, folder):
-    """The maps of each year, in parts of about 500 contributors, and back to rows."""
-    maps = articles.contributor_maps_per_year(_revisions(spark, folder), size=500)
-    return maps.select("year", F.explode("counts").alias("contributor", "n"))
+    return articles.contributor_maps_per_year(_revisions(spark, folder))
 
 
 @query(
@@ -159,21 +157,13 @@ def partitioned_by_contributor(spark, folder):
     return articles.by_contributor(_revisions(spark, folder), 8, split=4).select("contributor", "rid")
 
 
-SIDE_LIST = "coalesce(string_agg(rid::VARCHAR, ' ' ORDER BY rid) FILTER (WHERE history = {0}), '') AS revs{0}"
+SIDE_SUM = "cast(sum(CASE WHEN history = {0} THEN count(*) ELSE 0 END) OVER (PARTITION BY contributor) AS bigint) AS n_revs{0}"
+COGROUP = f"SELECT contributor, cast(history AS int) AS side, rid, count(*) AS copies, {SIDE_SUM.format(1)}, {SIDE_SUM.format(2)} FROM revisions"
 
 
-@query(
-    "cogroup_contributors",
-    _sql(f"SELECT contributor, {SIDE_LIST.format(1)}, {SIDE_LIST.format(2)} FROM revisions GROUP BY contributor"),
-)
+@query("cogroup_contributors", _sql(f"{COGROUP} GROUP BY contributor, history, rid"))
 def cogroup_contributors(spark, folder):
-    first, second = _histories(spark, folder)
-    pairs = articles.cogroup_by_contributor(first, second, fields=["rid"])
-
-    def rids(side):
-        return F.array_join(F.col(side)["rid"].cast("array<string>"), " ").alias(side)
-
-    return pairs.select("contributor", rids("revs1"), rids("revs2"))
+    return articles.cogroup_by_contributor(*_histories(spark, folder), fields=["rid"])
 
 
 BOTH = """
@@ -196,30 +186,21 @@ def contributors_both_in_year(spark, folder):
 
 @query(
     "cogroup_where_in_year",
-    _sql(
-        f"SELECT contributor, {SIDE_LIST.format(1)}, {SIDE_LIST.format(2)} FROM revisions "
-        f"WHERE contributor IN ({BOTH.format(IN_YEAR)}) GROUP BY contributor"
-    ),
+    _sql(f"{COGROUP} WHERE contributor IN ({BOTH.format(IN_YEAR)}) GROUP BY contributor, history, rid"),
 )
 def cogroup_where_in_year(spark, folder):
     first, second = _histories(spark, folder)
-    pairs = articles.cogroup_where(first, second, F.bool_or(F.year("ts") == YEAR), fields=["rid"])
-
-    def rids(side):
-        return F.array_join(F.col(side)["rid"].cast("array<string>"), " ").alias(side)
-
-    return pairs.select("contributor", rids("revs1"), rids("revs2"))
+    return articles.cogroup_where(first, second, F.bool_or(F.year("ts") == YEAR), fields=["rid"])
 
 
 def _page_files(spark, folder, history=None):
-    """Revisions as files of page markup: user names in the first history, ips in the second. An
-    article of a very long history takes more than one page."""
+    """Revisions as files of page markup: user names in the first history, ips in the second. A
+    page is one record of the file, so an article's history must fit in one, as it must in the markup."""
     rows = _revisions(spark, folder).select("aid", "title", "rid", "contributor", "ts", "history")
     if history:
         rows = rows.filter(F.col("history") == history)
-    pages = bounded_lists(
-        rows, ["aid", "title"], ["rid", "contributor", "ts", "history"], size=1000, unique=True, spread=["rid"]
-    )
+    revisions = F.sort_array(F.collect_list(F.struct("rid", "contributor", "ts", "history")))
+    pages = rows.groupBy("aid", "title").agg(revisions.alias("items"))
 
     def tag(name, text):
         return F.concat(F.lit(f"<{name}>"), text.cast("string"), F.lit(f"</{name}>"))

@@ -185,13 +185,13 @@ def director_upper(spark, folder):
 @query(
     "location_actors",
     _sql(
-        "SELECT location, string_agg(DISTINCT actor, ', ' ORDER BY actor) AS actors FROM ("
-        "SELECT location, unnest([actor1, actor2, actor3]) AS actor FROM clean) WHERE actor IS NOT NULL GROUP BY location"
+        "SELECT location, actor, count(*) AS copies, count(*) OVER (PARTITION BY location) AS n_entries, "
+        "cast(sum(count(*)) OVER (PARTITION BY location) AS bigint) AS n_rows FROM ("
+        "SELECT location, unnest([actor1, actor2, actor3]) AS actor FROM clean) WHERE actor IS NOT NULL GROUP BY location, actor"
     ),
 )
 def location_actors(spark, folder):
-    lists = films.location_actors(_clean(spark, folder))
-    return lists.select("location", F.array_join("actors", ", ").alias("actors"))
+    return films.location_actors(_clean(spark, folder))
 
 
 @query("actor_union", _sql(ACTORS_SQL))

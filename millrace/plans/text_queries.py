@@ -182,17 +182,16 @@ def index_positions(spark, folder):
 @query(
     "posting_lists",
     oracle(
-        "SELECT word, doc_id, count(*) AS n, min(line_no) AS first_line FROM hits GROUP BY word, doc_id",
+        "SELECT word, doc_id, count(*) AS n, min(line_no) AS first_line, count(*) OVER (PARTITION BY word) AS n_docs "
+        "FROM hits GROUP BY word, doc_id",
         "words",
         hits=HITS,
     ),
 )
 def posting_lists(spark, folder):
-    """The nested index in parts of about 100 documents, and back to one row per word and document."""
-    nested = index.posting_lists(index.postings(_hits(spark, folder)), size=100)
-    return nested.select("word", F.inline("docs")).select(
-        "word", "doc_id", "n", F.col("positions")[0]["line_no"].cast("bigint").alias("first_line")
-    )
+    found = index.posting_lists(index.postings(_hits(spark, folder)))
+    first_line = F.col("positions")[0]["line_no"].cast("bigint")
+    return found.select("word", "doc_id", "n", first_line.alias("first_line"), "n_docs")
 
 
 @query(

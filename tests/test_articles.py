@@ -146,7 +146,9 @@ def test_years(history, rows):
     assert rows(counts) == [(2012, 1, 1), (2013, 2, 2), (2014, 2, 2)]
     assert rows(articles.in_year(history, 2013), "rid") == [(1,), (5,)]
     maps = articles.contributor_maps_per_year(history).collect()
-    assert {r.year: r.counts for r in maps} == {2012: {"cid": 1}, 2013: {"ann": 1, "": 1}, 2014: {"ann": 1, "bob": 1}}
+    assert sorted(map(tuple, maps)) == [(2012, "cid", 1, 1), (2013, "", 1, 2), (2013, "ann", 1, 2), (2014, "ann", 1, 2), (2014, "bob", 1, 2)]
+    by_year = articles.revisions_by_year(history, ["rid"])
+    assert rows(by_year) == [(2012, 9, 1, 1, 1), (2013, 1, 1, 2, 2), (2013, 5, 1, 2, 2), (2014, 6, 1, 2, 2), (2014, 7, 1, 2, 2)]
 
 
 def test_year_is_a_pushed_filter(spark, history, tmp_path):
@@ -155,21 +157,24 @@ def test_year_is_a_pushed_filter(spark, history, tmp_path):
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
 
 
-def test_cogroup(history, other):
-    got = {r.contributor: ([x.rid for x in r.revs1], [x.rid for x in r.revs2]) for r in articles.cogroup_by_contributor(history, other).collect()}
-    assert got == {"ann": ([5, 6], [50]), "bob": ([7], [51]), "": ([1], []), "cid": ([9], []), "dan": ([], [52])}
+def test_cogroup(history, other, rows):
+    got = articles.cogroup_by_contributor(history, other, ["rid"])
+    assert got.columns == ["contributor", "side", "rid", "copies", "n_revs1", "n_revs2"]
+    assert rows(got) == [
+        ("", 1, 1, 1, 1, 0), ("ann", 1, 5, 1, 2, 1), ("ann", 1, 6, 1, 2, 1), ("ann", 2, 50, 1, 2, 1),
+        ("bob", 1, 7, 1, 1, 1), ("bob", 2, 51, 1, 1, 1), ("cid", 1, 9, 1, 1, 0), ("dan", 2, 52, 1, 0, 1),
+    ]
 
 
-def test_hot_contributor_is_split(spark):
+def test_hot_contributor_is_whole(spark):
     rows_of = lambda start, n, who: spark.range(start, start + n).select(
         F.lit(1).cast("bigint").alias("aid"), F.col("id").alias("rid"), F.lit(who).alias("contributor"), F.lit(datetime(2013, 1, 1)).cast("timestamp_ntz").alias("ts")
     )
-    first, second = rows_of(0, 1000, "bot").union(rows_of(5000, 3, "ann")), rows_of(9000, 500, "bot")
-    groups = articles.cogroup_by_contributor(first, second, size=100).collect()
-    bot = [r for r in groups if r.contributor == "bot"]
-    assert len(bot) > 10 and max(len(r.revs1) + len(r.revs2) for r in bot) < 200
-    assert sorted(x.rid for r in bot for x in r.revs1) == list(range(1000))
-    assert sorted(x.rid for r in bot for x in r.revs2) == list(range(9000, 9500))
+    first, second = rows_of(0, 25_000, "bot").union(rows_of(50_000, 3, "ann")), rows_of(90_000, 15_000, "bot")
+    bot = [r for r in articles.cogroup_by_contributor(first, second).collect() if r.contributor == "bot"]
+    assert sorted(r.rid for r in bot if r.side == 1) == list(range(25_000))
+    assert sorted(r.rid for r in bot if r.side == 2) == list(range(90_000, 105_000))
+    assert {(r.n_revs1, r.n_revs2) for r in bot} == {(25_000, 15_000)}
 
 
 def test_shared_contributors(history, other, rows):
@@ -177,7 +182,7 @@ def test_shared_contributors(history, other, rows):
     in_2013 = F.bool_or(F.year("ts") == 2013)
     assert rows(articles.shared_contributors(history, other, in_2013)) == [("ann",)]
     kept = articles.cogroup_where(history, other, in_2013).collect()
-    assert [r.contributor for r in kept] == ["ann"] and [x.rid for x in kept[0].revs1] == [5, 6]
+    assert sorted((r.contributor, r.side, r.rid, r.n_revs1, r.n_revs2) for r in kept) == [("ann", 1, 5, 2, 1), ("ann", 1, 6, 2, 1), ("ann", 2, 50, 2, 1)]
 
 
 def test_partitioning_by_contributor(history):

@@ -79,8 +79,9 @@ def test_pivot(frame, rows):
 
 def test_location_actors(frame):
     data = frame(film("a", "1", "x", "C", "D", "Q", "W", "p", "q"), film("b", "1", "x", "C", "D", "Q", "W", "q", "p", "r"))
-    assert films.location_actors(data).first().actors == ["p", "q", "r"]
-    assert sorted(films.location_actors(data, distinct=False).first().actors) == ["p", "p", "q", "q", "r"]
+    found = films.location_actors(data).collect()
+    assert sorted((r.actor, r.copies, r.n_entries, r.n_rows) for r in found) == [("p", 2, 3, 5), ("q", 2, 3, 5), ("r", 1, 3, 5)]
+    assert sorted(r.actor for r in films.location_actors(data, distinct=False).collect()) == ["p", "p", "q", "q", "r"]
 
 
 def brute_contains(records):

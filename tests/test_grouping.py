@@ -3,46 +3,28 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.grouping import bounded_lists
+from millrace.operators.grouping import grouped
 
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """A key with a third of all rows, half of which are copies of one entry, and a null key."""
-    hot = spark.range(6000).select(F.lit("hot").alias("k"), F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("v"))
-    rest = spark.range(12000).select(F.concat(F.lit("k"), F.col("id") % 50).alias("k"), (F.col("id") % 240).alias("v"))
+    """A key with a third of all rows, most of them different, far above any list; copies; a null key."""
+    hot = spark.range(60_000).select(F.lit("hot").alias("k"), F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("v"))
+    rest = spark.range(120_000).select(F.concat(F.lit("k"), F.col("id") % 50).alias("k"), (F.col("id") % 240).alias("v"))
     none = spark.createDataFrame([(None, 1), (None, None), (None, 1)], "k string, v bigint")
     return hot.union(rest).union(none)
 
 
-def test_lists_are_whole(skewed):
-    lists = bounded_lists(skewed, ["k"], ["v"], size=100).collect()
-    found = Counter()
-    for row in lists:
-        for item in row["items"]:
-            found[row["k"], item["v"]] += item["copies"]
-    assert found == Counter((r.k, r.v) for r in skewed.collect())
+def test_groups_are_whole(skewed):
+    want = Counter((r.k, r.v) for r in skewed.collect())
+    entries, rows = Counter(k for k, _ in want), Counter()
+    for (k, _), n in want.items():
+        rows[k] += n
+    got = grouped(skewed, ["k"], ["v"]).collect()
+    assert {(r.k, r.v): r.copies for r in got} == want and len(got) == len(want)
+    assert all((r.n_entries, r.n_rows) == (entries[r.k], rows[r.k]) for r in got)
+    assert entries["hot"] == 57_001 and rows["hot"] == 60_000
 
 
-def test_lists_are_bounded_and_sorted(skewed):
-    lists = bounded_lists(skewed, ["k"], ["v"], size=100).collect()
-    assert max(len(r["items"]) for r in lists) < 200
-    hot = [r for r in lists if r["k"] == "hot"]
-    assert {r["part"] for r in hot} == set(range(31))
-    assert all([i["v"] for i in r["items"]] == sorted(i["v"] for i in r["items"]) for r in hot)
-    assert {r["part"] for r in lists if r["k"] != "hot"} == {0}
-
-
-def test_unique_entries_have_no_copies(spark):
-    df = spark.range(1000).select(F.lit(1).alias("k"), F.col("id"))
-    lists = bounded_lists(df, ["k"], ["id"], size=50, unique=True)
-    assert "copies" not in lists.schema["items"].dataType.elementType.names
-    assert sorted(lists.select(F.inline("items")).collect()) == sorted(df.select("id").collect())
-
-
-def test_entries_are_shuffled_once(skewed):
-    """Counting the groups reuses the exchange that combines the entries."""
-    lists = bounded_lists(skewed, ["k"], ["v"], size=100)
-    lists.collect()
-    plan = lists._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in plan
+def test_empty(skewed):
+    assert grouped(skewed.limit(0), ["k"], ["v"]).count() == 0

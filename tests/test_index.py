@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,12 +67,18 @@ def test_postings(documents, corpus):
     assert got == {key: (len(places), places) for key, places in want.items()}
 
 
-def test_posting_lists_split_common_words(documents):
+def test_posting_lists_say_in_how_many_documents(documents):
     long_form = index.postings(index.word_positions(documents, STOP))
-    nested = index.posting_lists(long_form, size=10).collect()
-    assert max(r.part for r in nested) > 0 and max(len(r.docs) for r in nested) < 30
-    flat = [(r.word, d.doc_id, d.n, [tuple(p) for p in d.positions]) for r in nested for d in r.docs]
-    assert sorted(flat) == sorted((r.word, r.doc_id, r.n, [tuple(p) for p in r.positions]) for r in long_form.collect())
+    found, want = index.posting_lists(long_form).collect(), long_form.collect()
+    n_docs = Counter(r.word for r in want)
+    assert sorted((r.word, r.doc_id, r.n, r.n_docs) for r in found) == sorted((r.word, r.doc_id, r.n, n_docs[r.word]) for r in want)
+
+
+def test_stop_words_as_a_table(spark, documents):
+    table = spark.createDataFrame([(w,) for w in [*STOP, *STOP]], "word string")
+    listed = index.word_positions(documents, STOP)
+    joined = index.word_positions(documents, table)
+    assert joined.columns == listed.columns and sorted(joined.collect()) == sorted(listed.collect())
 
 
 def test_counters(documents, corpus):

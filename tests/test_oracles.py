@@ -52,8 +52,3 @@ def test_entry_has_rows(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
-
-
-def test_tree_accuracy(spark):
-    row = entry_point.queries()["tree_accuracy"](spark, FOLDER).first()
-    assert 0 <= row.accuracy <= 1 and row.accuracy + row.test_error == pytest.approx(1) and row.n > 0
