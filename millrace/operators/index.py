@@ -90,8 +90,20 @@ def posting_lists(index: DataFrame) -> DataFrame:
     return with_totals(index, ["word"], n_docs=F.count(F.lit(1)))
 
 
-def corpus_counters(documents: DataFrame, stop_words: Iterable[str], text: str = "text") -> DataFrame:
-    """Kept words, kept words starting with ``A``, and non-empty lines, in one pass over the texts."""
+def corpus_counters(documents: DataFrame, stop_words: Iterable[str] | DataFrame, text: str = "text") -> DataFrame:
+    """Kept words, kept words starting with ``A``, and non-empty lines.
+
+    One pass over the texts with a list of stop words; a table of them is joined to the words' counts.
+    """
+    if isinstance(stop_words, DataFrame):
+        counts = documents.select(F.explode(tokens(F.col(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        kept = counts.join(stop_words.select("word"), "word", "left_anti")
+        a_words = F.when(F.col("word").startswith("A"), F.col("n")).otherwise(0)
+        none = F.lit(0).cast("bigint")
+        words = kept.select(F.col("n").alias("n_words"), a_words.alias("n_a_words"), none.alias("n_lines"))
+        lines = documents.select(none, none, F.size(nonblank_lines(F.col(text))).cast("bigint"))
+        both = words.union(lines)
+        return both.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in both.columns])
     stop_words = list(stop_words)
     found = tokens(F.col(text))
     kept = F.filter(found, lambda word: ~word.isin(stop_words)) if stop_words else found

@@ -87,6 +87,9 @@ def test_counters(documents, corpus):
     lines = sum(1 for _, text in corpus for line in text.split("\n") if line)
     assert tuple(got) == (len(hits), sum(h[3].startswith("A") for h in hits), lines)
     assert tuple(index.corpus_counters(documents.limit(0), STOP).first()) == (0, 0, 0)
+    table = documents.sparkSession.createDataFrame([(w,) for w in STOP], "word string")
+    assert tuple(index.corpus_counters(documents, table).first()) == tuple(got)
+    assert tuple(index.corpus_counters(documents.limit(0), table).first()) == (0, 0, 0)
 
 
 def test_layout_by_length(documents):
