@@ -12,12 +12,16 @@ most ``VOCABULARY`` features for each category; every document is scored, on its
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial, reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import written
@@ -27,6 +31,7 @@ VOCABULARY = 4096
 CHI_SQUARE = 25.0
 LEAST_DOCS = 3  # training documents in which a feature must occur
 FOLDS = 3
+PARTITIONS = 4  # of the sample, which ``rows`` bounds; so few that the sums of an iteration are one stage
 BEGINNINGS = (4, 5)  # letters
 
 
@@ -104,6 +109,12 @@ def _fit(df: DataFrame, category: str, earlier: tuple[str, ...]) -> Link:
     return Link(category, model.fit(labelled), constant.constant, earlier)
 
 
+def _together(session: SparkSession, tasks: list[Callable]) -> list:
+    """Results of fits that do not need each other: their many short jobs run side by side."""
+    with ThreadPool(len(tasks)) as pool:
+        return pool.map(lambda task: task(), [inheritable_thread_target(session)(task) for task in tasks])
+
+
 def fit(labelled: DataFrame, categories: tuple[str, ...], id: str = "doc_id", text: str = "text", rows: int = TRAIN_ROWS) -> Chain:
     """Fit the chain on ``labelled``: an id, a text, and a 0/1 column per category.
 
@@ -122,19 +133,16 @@ def fit(labelled: DataFrame, categories: tuple[str, ...], id: str = "doc_id", te
     if not told:
         return Chain(None, [_constant(sample, c, categories[:i]) for i, c in enumerate(categories)])
     vocabulary = CountVectorizerModel.from_vocabulary(told, "__features", "__vector").setBinary(True)
-    vectors = vocabulary.transform(sample).drop("__features").repartition(sample.sparkSession.sparkContext.defaultParallelism)
-    vectors = vectors.persist()
-    links, current = [], vectors
+    links, current = [], vocabulary.transform(sample).drop("__features").repartition(PARTITIONS).persist()
     for i, category in enumerate(categories):
         earlier = tuple(f"__p{k}" for k in range(i))
-        links.append(_fit(current, category, earlier))
-        if i + 1 < len(categories):
-            parts = None
-            for fold in range(FOLDS):
-                rest, held = current.where(F.col("__fold") != fold), current.where(F.col("__fold") == fold)
-                scored = _fit(rest, category, earlier).score(held, f"__p{i}")
-                parts = scored if parts is None else parts.union(scored)
-            current = parts.persist()
+        folds = FOLDS if i + 1 < len(categories) else 0
+        parts = [current, *(current.where(F.col("__fold") != fold) for fold in range(folds))]
+        whole, *rest = _together(sample.sparkSession, [partial(_fit, part, category, earlier) for part in parts])
+        links.append(whole)
+        if rest:
+            held = [link.score(current.where(F.col("__fold") == fold), f"__p{i}") for fold, link in enumerate(rest)]
+            current = reduce(DataFrame.union, held).coalesce(PARTITIONS).persist()
     return Chain(vocabulary, links)
 
 
