@@ -38,6 +38,19 @@ def flatten(articles: DataFrame) -> DataFrame:
     return rows.select("aid", "title", "seq", "r.rid", "r.contributor", "r.ts")
 
 
+def parse_revisions(pages: DataFrame, page: str = "value", strict: bool = True) -> DataFrame:
+    """Page markup to revisions, as ``flatten(parse_pages(...))`` gives them, without the nested form:
+    revisions become rows first, so that their columns are compiled."""
+    xml = F.col(page)
+    rows = pages.select(
+        markup.element_id(xml).alias("aid"),
+        markup.element_text(xml, "title").alias("title"),
+        F.posexplode(markup.elements(xml, "revision")).alias("seq", "markup"),
+    )
+    parsed = rows.select("aid", "title", "seq", markup.revision(F.col("markup"), strict).alias("r"))
+    return parsed.select("aid", "title", "seq", "r.rid", "r.contributor", "r.ts")
+
+
 # Columns of an articles table.
 
 

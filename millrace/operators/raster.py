@@ -113,22 +113,25 @@ def _place_along(pixels: DataFrame, axis: str, size: str, margin: int, tile: int
 
     A pixel is needed at its own place in its tile (use 0) and in the neighbour whose margin it is
     in (1), and near the edge of the image at places mirrored once (2, 3) or twice (4, 5) outside.
-    Uses are plain numbers and there are no lambdas, so that this is compiled.
+    An image narrower than half the margin is mirrored over and over; from 6 on a use is such a place.
+    Uses are plain numbers and only such narrow images need lambdas, so that this is compiled.
     """
     last = f"greatest({size} DIV {tile} - 1, 0)"
     placed = pixels.selectExpr("*", f"least({axis} DIV {tile}, {last}) AS own")
     below = f"own > 0 AND {axis} < own * {tile} + {margin}"
     above = f"own < {last} AND {axis} >= (own + 1) * {tile} - {margin}"
     inner = f"{axis} BETWEEN {margin} AND {size} - {margin + 1}"
-    narrow = f"raise_error('an image of {margin // 2} or less across is too narrow for this filter')"
+    there = f"sequence({-margin}, cast({size} AS int) + {margin - 1})"
+    narrow = f"""transform(filter({there}, q -> pmod(q, 2 * {size}) IN ({axis}, 2 * {size} - 1 - {axis})),
+        q -> q + {margin + 6})"""
     uses = f"""CASE WHEN {inner} AND NOT ({below}) AND NOT ({above}) THEN array(0)
         WHEN 2 * {size} < {margin} THEN {narrow}
         ELSE array(0, CASE WHEN {below} OR {above} THEN 1 END,
                    CASE WHEN {axis} < {margin} THEN 2 END, CASE WHEN {axis} >= {size} - {margin} THEN 3 END,
                    CASE WHEN {axis} - 2 * {size} >= -{margin} THEN 4 END,
                    CASE WHEN {axis} + {size} < {margin} THEN 5 END) END"""
-    position = f"""CASE use WHEN 2 THEN -1 - {axis} WHEN 3 THEN 2 * {size} - 1 - {axis}
-        WHEN 4 THEN {axis} - 2 * {size} WHEN 5 THEN {axis} + 2 * {size} ELSE {axis} END"""
+    position = f"""CASE WHEN use >= 6 THEN use - {margin + 6} ELSE CASE use WHEN 2 THEN -1 - {axis} WHEN 3 THEN 2 * {size} - 1 - {axis}
+        WHEN 4 THEN {axis} - 2 * {size} WHEN 5 THEN {axis} + 2 * {size} ELSE {axis} END END"""
     # A mirrored place is in the pixel's own tile: that one is at the edge and wider than the margin.
     home = f"CASE WHEN use <> 1 THEN own WHEN {below} THEN own - 1 ELSE own + 1 END"
     used = placed.select("*", F.explode(F.expr(uses)).alias("use")).filter("use IS NOT NULL")

@@ -222,8 +222,7 @@ def _page_files(spark, folder, history=None):
 @query("page_round_trip", _sql(f"SELECT aid, title, rid, contributor, {DAY_SQL} AS ts FROM revisions"))
 def page_round_trip(spark, folder):
     """Pages written as markup, scanned by page and parsed."""
-    parsed = files.read_articles(spark, _page_files(spark, folder))
-    rows = articles.flatten(parsed)
+    rows = files.read_revisions(spark, _page_files(spark, folder))
     return rows.select("aid", "title", "rid", "contributor", F.col("ts").cast("string").alias("ts"))
 
 
@@ -267,5 +266,5 @@ def article_text(spark, folder):
 @query("contributors_both_files", _sql(f"SELECT contributor FROM ({BOTH.format('true')})"))
 def contributors_both_files(spark, folder):
     """The two histories as two data sets of page files, read and compared."""
-    first, second = (articles.flatten(files.read_articles(spark, _page_files(spark, folder, h))) for h in (1, 2))
+    first, second = (files.read_revisions(spark, _page_files(spark, folder, h)) for h in (1, 2))
     return articles.shared_contributors(first, second)

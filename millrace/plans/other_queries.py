@@ -429,6 +429,27 @@ def px_cartoon(spark, folder):
     return raster.cartoon(_pixels(spark, folder))
 
 
+# The same filters in tiles of 8, so that the margins between tiles count.
+
+
+@query("px_blur_tiles", oracle(_blur_sql("pixels"), "pixels"))
+def px_blur_tiles(spark, folder):
+    return raster.gaussian_blur(_pixels(spark, folder), tile=8)
+
+
+@query("px_sobel_tiles", oracle(_edge_sql("pixels", 128), "pixels"))
+def px_sobel_tiles(spark, folder):
+    return raster.sobel_edges(_pixels(spark, folder), 128, tile=8)
+
+
+@query(
+    "px_cartoon_tiles",
+    oracle(MERGE, "pixels", blurred=_blur_sql("pixels"), mask=_edge_sql("blurred", 128), other=_quantize_sql("pixels", 3)),
+)
+def px_cartoon_tiles(spark, folder):
+    return raster.cartoon(_pixels(spark, folder), tile=8)
+
+
 @query("px_size", oracle("SELECT image_id, width, height, count(*) AS n FROM pixels GROUP BY ALL", "pixels"))
 def px_size(spark, folder):
     """Image sizes found from the pixels alone."""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.articles import parse_pages
+from millrace.operators.articles import parse_pages, parse_revisions
 from millrace.operators.index import document_records
 
 PERSON_SCHEMA = "name string, gender string, birth_year int"
@@ -43,6 +43,11 @@ def read_articles(spark: SparkSession, path: str | list[str], strict: bool = Tru
     return parse_pages(read_page_records(spark, path), strict=strict)
 
 
+def read_revisions(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
+    """Revisions from page markup, a row each, when the articles as such are not needed."""
+    return parse_revisions(read_page_records(spark, path), strict=strict)
+
+
 def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``doc_id, text`` from files of ``<Document id="...">`` records."""
     return document_records(read_records(spark, path, "</Document>"))

@@ -16,60 +16,45 @@ def write_key_values(df: DataFrame, path: str, key: str, value: str, n: int) ->
     placed.select(F.concat(F.col(key), F.lit("\t"), F.col(value).cast("string")).alias("value")).write.text(path)
 
 
-# Where a line stands in a word's entry, after the word itself.
-ENTRY_ORDER = ("section", "doc_id", "line_no", "word_no")
+def posting_pieces(index: DataFrame) -> DataFrame:
+    """The index's entries in pieces: ``word, section, doc_id, n, positions``.
 
-
-def posting_lines(index: DataFrame) -> DataFrame:
-    """The long-form index as text lines, ``word, section, doc_id, line_no, word_no, text``.
-
-    An entry is a line with the word and its total, then for each document a line with its count
-    and one line per hit, then an empty line. Sections 0, 1 and 2 are head, documents and end; the
-    numbers are null where a line has none, and nulls sort first.
+    Section 0 is a word with its total, 1 a document with its count and its places, 2 the end of an
+    entry. What a piece does not have is null.
     """
-    no_doc = F.lit(None).cast("bigint").alias("doc_id")
-    no_line, no_word = F.lit(None).cast("int").alias("line_no"), F.lit(None).cast("int").alias("word_no")
+    totals = index.groupBy("word").agg(F.sum("n").alias("n"))
+    frame = totals.select("word", F.explode(F.array(F.lit(0), F.lit(2))).alias("section"), "n")
+    body = index.select("word", F.lit(1).alias("section"), F.col("doc_id").cast("bigint").alias("doc_id"), "n", "positions")
+    return body.unionByName(frame, allowMissingColumns=True)
 
-    totals = index.groupBy("word").agg(F.sum("n").alias("total"))
-    head = F.struct(
-        F.lit(0).alias("section"), F.concat("word", F.lit("\t"), F.col("total").cast("string")).alias("text")
-    )
-    end = F.struct(F.lit(2).alias("section"), F.lit("").alias("text"))
-    frame = totals.select("word", F.inline(F.array(head, end))).select(
-        "word", "section", no_doc, no_line, no_word, "text"
-    )
+
+def posting_text() -> Column:
+    """A piece as text: the word and its total, or a document and its count with a line per place, or
+    an empty line. The last line end is the writer's."""
 
     def line(indent: str, number: Column, second: Column) -> Column:
-        return F.concat(F.lit(indent), number.cast("string"), F.lit(" "), second.cast("string")).alias("text")
-
-    document = F.array(F.struct(no_line, no_word, line("\t", F.col("doc_id"), F.col("n"))))
-    hits = F.transform(
-        "positions",
-        lambda p: F.struct(
-            p["line_no"].alias("line_no"), p["word_no"].alias("word_no"), line("\t\t", p["line_no"], p["word_no"])
-        ),
-    )
-    body = index.select(
-        "word", F.lit(1).alias("section"), F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.inline(F.concat(document, hits)),
-    )
-    return frame.unionByName(body)
+        return F.concat(F.lit(indent), number.cast("string"), F.lit(" "), second.cast("string"))
+
+    head = F.concat("word", F.lit("\t"), F.col("n").cast("string"))
+    places = F.transform("positions", lambda p: line("\t\t", p["line_no"], p["word_no"]))
+    document = F.array_join(F.concat(F.array(line("\t", F.col("doc_id"), F.col("n"))), places), "\n")
+    return F.when(F.col("section") == 0, head).when(F.col("section") == 1, document).otherwise("")
 
 
 def write_postings(index: DataFrame, path: str, n: int = 10) -> None:
     """The index as text in directories ``part=0 .. part=n-1``, split by the byte length of the word.
 
     Within a part, longer words come first, then byte order; the files of a part continue each
-    other in name order. Rows are split by range down to the single hit, so neither a crowded
-    length nor a word found everywhere ends up in one task. Reads ``index`` more than once, so pass
-    a written one.
+    other in name order. Rows are split by range down to the document, so neither a crowded length
+    nor a word found everywhere ends up in one task, and become text after the sort. Reads
+    ``index`` more than once, so pass a written one.
     """
-    order = ["part", F.desc("n_bytes"), "word", *ENTRY_ORDER]
-    placed = posting_lines(index).withColumns(
+    order = ["part", F.desc("n_bytes"), "word", "section", "doc_id"]
+    placed = posting_pieces(index).withColumns(
         {"part": length_part(F.col("word"), n), "n_bytes": F.octet_length("word")}
     )
     ranged = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.select("part", "text").write.partitionBy("part").text(path)
+    ranged.select("part", posting_text().alias("text")).write.partitionBy("part").text(path)
 
 
 def write_articles(articles: DataFrame, path: str) -> None:

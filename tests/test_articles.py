@@ -190,3 +190,12 @@ def test_partitioning_by_contributor(history):
     homes = together.select("contributor", F.spark_partition_id()).distinct().groupBy("contributor").count().collect()
     assert together.rdd.getNumPartitions() == 4 and all(r["count"] == 1 for r in homes)
     assert sorted(articles.by_contributor(history, 4).collect()) == sorted(history.collect())
+
+
+def test_revisions_without_the_nested_form(spark):
+    revision = "<revision><id>{0}</id><timestamp>2008-01-0{0}T00:00:00Z</timestamp><ip>1.1.1.{0}</ip></revision>"
+    texts = [(f"<page><title>t</title><id>7</id>{revision.format(1)}{revision.format(2)}</page>",), ("<page><id>8</id></page>",), (None,)]
+    pages = spark.createDataFrame(texts, "value string")
+    flat = articles.parse_revisions(pages)
+    assert flat.columns == articles.flatten(articles.parse_pages(pages)).columns
+    assert sorted(flat.collect()) == sorted(articles.flatten(articles.parse_pages(pages)).collect()) and flat.count() == 2

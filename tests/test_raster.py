@@ -107,15 +107,10 @@ def test_edges(pixels, images, tile):
         assert (got[name][0] == edges(image, 700)).all(), name
 
 
-@pytest.fixture(scope="module")
-def wider(pixels):
-    return pixels.filter("width > 1 AND height > 1")
-
-
 @pytest.mark.parametrize("tile", [8, 64])
-def test_cartoon(wider, images, tile):
-    got = arrays(raster.cartoon(wider, 300, 4, tile), "rgb")
-    assert len(got) == 5
+def test_cartoon(pixels, images, tile):
+    got = arrays(raster.cartoon(pixels, 300, 4, tile), "rgb")
+    assert len(got) == len(images)
     for name in got:
         image = images[name]
         mask = edges(blur(image), 300)
@@ -130,15 +125,11 @@ def test_convolve(pixels, images, weights):
             assert (plane == weighted(c, weights)).all(), name
 
 
-def test_cartoon_by_steps(wider):
-    mask = raster.sobel_edges(raster.gaussian_blur(wider), 300)
-    steps = raster.merge_mask(mask, raster.reduce_colours(wider, 4))
-    assert sorted(steps.collect()) == sorted(raster.cartoon(wider, 300, 4).collect())
-
-
-def test_too_narrow_for_the_filter(pixels):
-    with pytest.raises(Exception, match="too narrow"):
-        raster.cartoon(pixels.filter("width = 1")).collect()
+def test_cartoon_by_steps(pixels):
+    assert pixels.filter("width = 1").count() > 0  # mirrored over and over
+    mask = raster.sobel_edges(raster.gaussian_blur(pixels), 300)
+    steps = raster.merge_mask(mask, raster.reduce_colours(pixels, 4))
+    assert sorted(steps.collect()) == sorted(raster.cartoon(pixels, 300, 4).collect())
 
 
 def test_cartoon_shuffles_once(pixels):
