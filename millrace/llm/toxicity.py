@@ -115,15 +115,17 @@ def _together(session: SparkSession, tasks: list[Callable]) -> list:
         return pool.map(lambda task: task(), [inheritable_thread_target(session)(task) for task in tasks])
 
 
-def fit(labelled: DataFrame, categories: tuple[str, ...], id: str = "doc_id", text: str = "text", rows: int = TRAIN_ROWS) -> Chain:
-    """Fit the chain on ``labelled``: an id, a text, and a 0/1 column per category.
+def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], id: str = "doc_id", text: str = "text", rows: int = TRAIN_ROWS) -> Chain:
+    """Fit the chain on documents with an id and a text, and ``labels``: the id and a 0/1 column per category.
 
-    Rows with a null label are left out. Without any row each category is constant 0.
+    Labels with a null, or of an unknown document, are left out. Without any, each category is constant 0.
+    Only ids are shuffled: the labels of ``rows`` documents, each different one once, are broadcast.
     """
-    known = labelled.dropna(subset=list(categories))
-    chosen = known.select(id).distinct().orderBy(F.xxhash64(id), id).limit(rows)
-    sample = known.join(chosen, id).select(
-        *[F.col(c).cast("double").alias(c) for c in categories], features(F.col(text)).alias("__features"),
+    known = labels.select(id, *categories).dropna().distinct()
+    there = known.select(id).distinct().join(docs.select(id), id, "left_semi")
+    chosen = written(known.join(there.orderBy(F.xxhash64(id), id).limit(rows), id))
+    sample = docs.select(id, F.col(text).alias("__text")).join(F.broadcast(chosen), id).select(
+        *[F.col(c).cast("double").alias(c) for c in categories], features(F.col("__text")).alias("__features"),
         F.pmod(F.xxhash64(F.col(id), F.lit("fold")), F.lit(FOLDS)).alias("__fold"),
     )
     sample = written(sample)
@@ -164,8 +166,8 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     A null text has no words. Labels of unknown documents, and null ones, are left out; without
     labels nothing is toxic. Rows that repeat an id are scored each.
     """
-    known = labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic").distinct()
-    chain = fit(docs.select("doc_id", "text").join(known, "doc_id"), ("junk", "toxic"))
+    known = labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    chain = fit(docs, known, ("junk", "toxic"))
     scored = score(docs, chain)
     return scored.select(
         "doc_id", F.round("p_junk", 4).alias("p_junk"), F.round("p_toxic", 4).alias("p_toxic"), (F.col("p_toxic") >= 0.5).alias("toxic")
