@@ -5,10 +5,12 @@ are the connected components. Candidates come from signatures of one-permutation
 a similarity of 0.8 a pair shares a band with a chance of 0.998, at 0.85 of 0.9999. All candidates
 are verified on the lines themselves. Equal lines need no signature; they meet by their digest.
 
-A band's lines are linked to its first and to the one before, in a pseudorandom order of each band, so
-candidates grow with the lines and not with the pairs. A scan task verifies the lines it has
-itself, and of a band that many of its lines share it sends on a few: so no band, however hot, brings
-more to one task than a few lines from each scan batch and those that are unlike their band's.
+All pairs that share a band are settled: verified, or known to be in one group. First a band's lines are
+compared with its first and with the one before, in a pseudorandom order of each band; a scan task does
+so for the lines it has itself, and holds back what a band needs no more of. Most bands are one
+group then. In the others every two lines of different groups are compared, in blocks of ``BLOCK`` lines
+a side, so no band is one task. That is linear in a band's largest group, and grows with the square of
+its other lines, divided by ``BLOCK`` for rows and not divided for comparisons.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from millrace.llm.packing import slices
 ALIKE = 0.8
 SHINGLE = 9  # characters; about two words, so unrelated lines of a language have few in common
 BANDS, ROWS = 16, 5
-SENT = 4  # lines of a band that a batch sends on although they are verified
+SENT = 4  # lines of a band that a batch sends to the first comparison although they are verified
+BLOCK = 512  # lines of a band on one side of a block of comparisons
 PREFIX_BITS = 20  # bound of the broadcast that tells which lines' texts are wanted: 2^20 numbers
 
 _EMPTY = np.uint32(0xFFFFFFFF)
@@ -121,8 +124,9 @@ def _first_of_bands(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verified links inside a batch (``a``, ``b``), and the entries that it sends on (``band``, ``short``)."""
-    shape = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("band", pa.int64()), ("short", pa.int64())])
+    """Verified links inside a batch (``a``, ``b``), and the entries of its lines (``band``, ``short``), ``held``
+    where the band's first line is linked and enough others go to the first comparison."""
+    shape = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("band", pa.int64()), ("short", pa.int64()), ("held", pa.bool_())])
     for batch in batches:
         for _, texts in slices(batch.column(0), 4 << 20):
             lines = list({line for t in texts.to_pylist() for line in t.split("\n") if line.strip(" \t\n\r\x0b\x0c")})
@@ -134,7 +138,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             line = order // BANDS
             alike: dict[tuple[int, int], bool] = {}
             sets: dict[int, set] = {}
-            send = np.ones(len(order), bool)
+            held = np.zeros(len(order), bool)
             for i in np.flatnonzero(place > 0).tolist():
                 pair = (int(first[i]), int(line[i]))
                 if pair not in alike:
@@ -142,16 +146,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         sets.clear()
                     a, b = (sets.get(x) or sets.setdefault(x, shingles(lines[x])) for x in pair)
                     alike[pair] = similarity(a, b) >= ALIKE
-                send[i] = place[i] < SENT or not alike[pair]
+                held[i] = place[i] >= SENT and alike[pair]
             links = [pair for pair, yes in alike.items() if yes]
-            sent = order[send]
             short = np.array([_short(k) for k in keys], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([keys[a] for a, _ in links] + [None] * len(sent), pa.binary()),
-                    pa.array([keys[b] for _, b in links] + [None] * len(sent), pa.binary()),
-                    pa.array(np.concatenate([np.zeros(len(links), np.int64), band.ravel()[sent].view(np.int64)])),
-                    pa.array(np.concatenate([np.zeros(len(links), np.int64), short[sent // BANDS]])),
+                    pa.array([keys[a] for a, _ in links] + [None] * len(order), pa.binary()),
+                    pa.array([keys[b] for _, b in links] + [None] * len(order), pa.binary()),
+                    pa.array(np.concatenate([np.zeros(len(links), np.int64), band.ravel()[order].view(np.int64)])),
+                    pa.array(np.concatenate([np.zeros(len(links), np.int64), short[line]])),
+                    pa.array(np.concatenate([np.zeros(len(links), bool), held])),
                 ],
                 schema=shape,
             )
@@ -173,8 +177,9 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band_before, short_before, first = band[-1], short[-1], firsts[-1]
         a, b = np.concatenate([firsts[same], before[same]]), np.concatenate([short[same], short[same]])
         low, high = np.minimum(a, b), np.maximum(a, b)
-        pairs = np.unique(np.stack([low, high], axis=1)[low != high], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, i])) for i in (0, 1)], names=["a", "b"])
+        rows = np.stack([np.concatenate([band[same], band[same]]), low, high], axis=1)[low != high]
+        rows = np.unique(rows, axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in (0, 1, 2)], names=["band", "a", "b"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,6 +194,52 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (list(zip(*out, strict=True)) or [(), ()])], names=["a", "b"])
 
 
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Alike pairs of different groups; rows ``band, i, j, chunk, root, key, line`` come by block ``(band, i, j)``.
+
+    A block compares its lines of chunk ``i`` with those of chunk ``j``, or all of them where these are one.
+    """
+    block, rows = None, []
+    for batch in batches:
+        out = []
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[:3] != block:
+                out += _compared(rows)
+                block, rows = row[:3], []
+            rows.append(row)
+        yield _edges(out)
+    yield _edges(_compared(rows))
+
+
+def _edges(pairs: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (list(zip(*pairs, strict=True)) or [(), ()])], names=["a", "b"])
+
+
+def _compared(rows: list) -> list[tuple[bytes, bytes]]:
+    if len({row[4] for row in rows}) < 2:
+        return []
+    _, i, j, *_ = rows[0]
+    above = {row[4]: row[4] for row in rows}  # groups that were joined here
+    sets = [shingles(row[6]) for row in rows]
+
+    def top(x):
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    out = []
+    left = [n for n, row in enumerate(rows) if row[3] == i]
+    for n in left:
+        for m in range(n + 1, len(rows)) if i == j else range(len(rows)):
+            if i != j and rows[m][3] != j:
+                continue
+            a, b = top(rows[n][4]), top(rows[m][4])
+            if a != b and similarity(sets[n], sets[m]) >= ALIKE:
+                above[a] = b
+                out.append((rows[n][5], rows[m][5]))
+    return out
+
+
 def line_key(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
@@ -197,14 +248,14 @@ def _lines(docs: DataFrame, text: str) -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n")
 
 
-def links(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Alike pairs of different lines, ``a, b`` by their keys, that connect all that were found alike."""
-    sketched = written(docs.select(F.col(text)).mapInArrow(_sketch, "a binary, b binary, band bigint, short bigint"))
-    entries = sketched.where("a IS NULL").select("band", "short")
-    by_band = entries.repartition("band").sortWithinPartitions("band", F.xxhash64("band", "short"))
-    pairs = written(by_band.mapInArrow(_candidates, "a bigint, b bigint").distinct())
-    # Texts of the lines that are in some pair. The filter before the shuffle lets a few more pass.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("short")).distinct()
+def _first_comparison(sketched: DataFrame, docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``a, b`` found alike, the compared ``band, a, b``, and the texts ``short, key, line`` of bands of several lines."""
+    entries = sketched.where("a IS NULL").select("band", "short", "held")
+    by_band = entries.where("NOT held").select("band", "short").repartition("band").sortWithinPartitions("band", F.xxhash64("band", "short"))
+    compared = written(by_band.mapInArrow(_candidates, "band bigint, a bigint, b bigint"))
+    pairs = compared.select("a", "b").distinct()
+    # Texts of the lines that are in some pair or held back. The filter before the shuffle lets a few more pass.
+    wanted = compared.select(F.explode(F.array("a", "b")).alias("short")).union(entries.where("held").select("short")).distinct()
     prefix = lambda c: F.shiftrightunsigned(c, 64 - PREFIX_BITS)
     prefixes = wanted.select(prefix("short").alias("prefix")).distinct()
     lines = docs.select(F.explode(_lines(docs, text)).alias("line")).where(F.col("line").rlike(WORD))
@@ -215,7 +266,51 @@ def links(docs: DataFrame, text: str = "text") -> DataFrame:
     left = lines.select(F.col("short").alias("a"), F.col("key").alias("key_a"), F.col("line").alias("line_a"))
     right = lines.select(F.col("short").alias("b"), F.col("key").alias("key_b"), F.col("line").alias("line_b"))
     both = pairs.join(left, "a").join(right, "b").select("key_a", "line_a", "key_b", "line_b")
-    return sketched.where("a IS NOT NULL").select("a", "b").union(both.mapInArrow(_verify, "a binary, b binary"))
+    alike = sketched.where("a IS NOT NULL").select("a", "b").union(both.mapInArrow(_verify, "a binary, b binary"))
+    return alike, compared, lines
+
+
+def _blocks(sketched: DataFrame, compared: DataFrame, lines: DataFrame, roots: DataFrame) -> DataFrame:
+    """Blocks of the bands that hold several groups of ``roots``: ``band, i, j, chunk, root, key, line``."""
+    group = roots.select(F.xxhash64("node").alias("short"), F.xxhash64("root").alias("root"))
+
+    def grouped(rows):
+        return rows.join(group, "short", "left").select("band", "short", F.coalesce("root", "short").alias("root"))
+
+    # What is held back is in the group of a line that is not, so these tell which bands hold several groups.
+    # Two lines have been compared already.
+    seen = grouped(compared.select("band", F.explode(F.array("a", "b")).alias("short")).distinct())
+    mixed = seen.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = written(mixed.where("n > 2 AND low <> high").select("band"))
+    held = sketched.where("held").select("band", "short").join(mixed, "band", "left_semi")
+    members = written(seen.join(mixed, "band", "left_semi").union(grouped(held.distinct())).distinct())
+    sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most"))
+    # The largest group's lines are in the last chunks and not compared with each other.
+    chunks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    sizes = sizes.select(
+        "band", F.col("most.root").alias("main"), (F.col("n") <= BLOCK).alias("small"),
+        chunks(F.col("n") - F.col("most.n")).alias("others"), chunks(F.col("most.n")).alias("mains"),
+    )
+    place = lambda n: F.pmod(F.xxhash64("short", "band"), n).cast("int")
+    chunk = F.when(F.col("small"), 0).when(F.col("root") == F.col("main"), F.col("others") + place("mains")).otherwise(place("others"))
+    dealt = members.join(sizes, "band").withColumn("chunk", chunk)
+    is_main = ~F.col("small") & (F.col("root") == F.col("main"))
+    others = F.sequence(F.lit(0), F.when(F.col("small"), 0).when(is_main, F.col("others") - 1).otherwise(F.col("others") + F.col("mains") - 1))
+    dealt = dealt.select("band", "short", "root", "chunk", F.explode(others).alias("other"))
+    dealt = dealt.select("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "root", "short")
+    return dealt.join(lines, "short").select("band", "i", "j", "chunk", "root", "key", "line")
+
+
+def links(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Alike pairs of different lines, ``a, b`` by their keys, that connect all that were found alike."""
+    shape = "a binary, b binary, band bigint, short bigint, held boolean"
+    sketched = written(docs.select(F.col(text)).mapInArrow(_sketch, shape))
+    alike, compared, lines = _first_comparison(sketched, docs, text)
+    stars = components(alike)
+    blocks = _blocks(sketched, compared, lines, stars)
+    blocks = blocks.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(blocks.mapInArrow(_across, "a binary, b binary"))
 
 
 def occurrences(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -132,6 +132,20 @@ def test_lines_against_brute_force(real):
     assert line_dedup.remove(real).columns == real.columns and line_dedup.remove(real).count() == len(docs)
 
 
+@pytest.mark.parametrize("block", [512, 16])  # the small one cuts bands into several blocks
+def test_lines_of_a_hot_template_meet_their_partners(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    rng = np.random.default_rng(11)
+    template = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 260))
+    ends = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 42)) for _ in range(150)]
+    lines = [template + e for e in ends] + [template + e[:14] + "".join(rng.choice(list("0123456789"), 28)) for e in ends]
+    sets = [line_dedup.shingles(x) for x in lines]
+    assert all(line_dedup.similarity(sets[i], sets[i + 150]) >= line_dedup.ALIKE for i in range(150))
+    assert max(line_dedup.similarity(sets[0], s) for s in sets[1:150]) < line_dedup.ALIKE
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").repartition(3)
+    assert sorted(r.doc_id for r in line_dedup.digest(df).where("n_dropped > 0").collect()) == list(range(150, 300))
+
+
 def test_toxicity_held_out(spark):
     rows = [(i, f"plain words number {i % 7} here " + ("vilestuff" if i % 3 == 0 else "daisy"), 1, int(i % 3 == 0)) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, quality int, toxic int")
