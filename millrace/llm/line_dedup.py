@@ -1,7 +1,8 @@
 """Fuzzy line dedup by MinHash: of each group of alike lines one stays in the corpus.
 
-Lines are alike if the sets of their character shingles have a Jaccard similarity of ``ALIKE``; groups
-are the connected components. Candidates come from signatures of one-permutation MinHash in bands: at
+Lines are alike if the sets of their character shingles have a Jaccard similarity of ``ALIKE``: of
+``SHINGLE`` characters for all lines, or of ``SHORT_SHINGLE`` for two lines of up to ``SHORT`` characters, where
+one edit spoils too many of the longer ones. Groups are the connected components. Candidates come from signatures of one-permutation MinHash in bands: at
 a similarity of 0.8 a pair shares a band with a chance of 0.998, at 0.85 of 0.9999. All candidates
 are verified on the lines themselves. Equal lines need no signature; they meet by their digest.
 
@@ -29,6 +30,7 @@ from millrace.llm.packing import slices
 
 ALIKE = 0.8
 SHINGLE = 9  # characters; about two words, so unrelated lines of a language have few in common
+SHORT, SHORT_SHINGLE = 128, 5  # short lines have few shingles of a language anyway; longer ones have an edited word at 9
 BANDS, ROWS = 16, 5
 SENT = 4  # lines of a band that a batch sends to the first comparison although they are verified
 BLOCK = 512  # lines of a band on one side of a block of comparisons
@@ -44,16 +46,34 @@ def normal(line: str) -> str:
     return line.strip().lower().ljust(SHINGLE, "\0")
 
 
-def shingles(line: str) -> set[str]:
-    text = normal(line)
-    return {text[i : i + SHINGLE] for i in range(len(text) - SHINGLE + 1)}
+class Shingles:
+    """The shingles of a line: ``long`` ones, and ``short`` ones if it is short."""
 
+    __slots__ = ("long", "short")
 
-def similarity(a: set[str], b: set[str]) -> float:
+    def __init__(self, text: str) -> None:
+        self.long = {text[i : i + SHINGLE] for i in range(len(text) - SHINGLE + 1)}
+        self.short = {text[i : i + SHORT_SHINGLE] for i in range(len(text) - SHORT_SHINGLE + 1)} if len(text) <= SHORT else None
+
+    def __iter__(self) -> Iterator[str]:
+        yield from self.long
+        yield from self.short or ()
+
+
+def shingles(line: str) -> Shingles:
+    return Shingles(normal(line))
+
+
+def _jaccard(a: set[str], b: set[str]) -> float:
     common = len(a & b)
     return common / (len(a) + len(b) - common)
 
 
+def similarity(a: Shingles, b: Shingles) -> float:
+    """The larger of both kinds' similarities, where both lines have both kinds."""
+    return max(_jaccard(a.long, b.long), _jaccard(a.short, b.short) if a.short and b.short else 0.0)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
@@ -61,23 +81,33 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def bands(lines: list[str], chars: int = 100_000) -> np.ndarray:
-    """Band keys, one row per line: each a hash of ``ROWS`` minima and the band's number."""
+def bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys, ``BANDS`` a line and as many again for a short one, and the number of each key's line."""
     texts = [normal(line) for line in lines]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    short = np.flatnonzero(sizes <= SHORT)
+    keys = [_in_runs(texts, sizes, SHINGLE, 1)]
+    if len(short):
+        keys.append(_in_runs([texts[i] for i in short.tolist()], sizes[short], SHORT_SHINGLE, 1 + BANDS))
+    return np.concatenate([k.ravel() for k in keys]), np.repeat(np.concatenate([np.arange(len(texts)), short]), BANDS)
+
+
+def _in_runs(texts: list[str], sizes: np.ndarray, size: int, number: int, chars: int = 100_000) -> np.ndarray:
+    """Band keys, one row per text: each a hash of ``ROWS`` minima and the band's number, from ``number`` on."""
     run = np.cumsum(sizes) // chars  # runs of lines that stay in the processor's cache
     edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
-    return np.concatenate([_bands(texts[a:b], sizes[a:b]) for a, b in zip(edges, edges[1:], strict=False)])
+    return np.concatenate([_bands(texts[a:b], sizes[a:b], size, number) for a, b in zip(edges, edges[1:], strict=False)])
 
 
-def _bands(texts: list[str], sizes: np.ndarray) -> np.ndarray:
+def _bands(texts: list[str], sizes: np.ndarray, size: int, number: int) -> np.ndarray:
     c = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     h2 = c[:-1] * _P + c[1:]
-    h4 = h2[:-2] * _P2 + h2[2:]
-    h8 = h4[:-4] * _P4 + h4[4:]
-    h = _mixed(h8[:-1] * _P + c[8:])
+    h = h2[:-2] * _P2 + h2[2:]
+    if size == SHINGLE:
+        h = h[:-4] * _P4 + h[4:]
+    h = _mixed(h[:-1] * _P + c[size - 1 :])
     # Shingles that run over into the next line are left out.
-    n = sizes - SHINGLE + 1
+    n = sizes - size + 1
     first = np.cumsum(sizes) - sizes
     places = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     h = h[places]
@@ -99,7 +129,7 @@ def _bands(texts: list[str], sizes: np.ndarray) -> np.ndarray:
         open_rows = open_rows[(part == _EMPTY).any(axis=1)]
         step += 1
     grouped = least.reshape(-1, BANDS, ROWS).astype(np.uint64)
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _P, grouped.shape[:2]).copy()
+    key = np.broadcast_to(np.arange(number, number + BANDS, dtype=np.uint64) * _P, grouped.shape[:2]).copy()
     for r in range(ROWS):
         key = _mixed((key ^ grouped[:, :, r]) * _P)
     return key
@@ -110,10 +140,8 @@ def _short(key: bytes) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _first_of_bands(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(line, place in its band, the band's first line) of all entries of bands with two lines or more."""
-    flat = key.ravel()
-    line = np.repeat(np.arange(len(key)), key.shape[1])
+def _first_of_bands(flat: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of the entries by band, each one's place in its band, and the band's first line."""
     rank = _mixed((flat ^ (line.astype(np.uint64) + np.uint64(1)) * _P) * _P)
     order = np.lexsort((rank, flat))
     starts = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
@@ -133,11 +161,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not lines:
                 continue
             keys = [hashlib.md5(line.encode(), usedforsecurity=False).digest() for line in lines]
-            band = bands(lines)
-            order, place, first = _first_of_bands(band)
-            line = order // BANDS
+            band, line = bands(lines)
+            order, place, first = _first_of_bands(band, line)
+            line = line[order]
             alike: dict[tuple[int, int], bool] = {}
-            sets: dict[int, set] = {}
+            sets: dict[int, Shingles] = {}
             held = np.zeros(len(order), bool)
             for i in np.flatnonzero(place > 0).tolist():
                 pair = (int(first[i]), int(line[i]))
@@ -153,7 +181,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array([keys[a] for a, _ in links] + [None] * len(order), pa.binary()),
                     pa.array([keys[b] for _, b in links] + [None] * len(order), pa.binary()),
-                    pa.array(np.concatenate([np.zeros(len(links), np.int64), band.ravel()[order].view(np.int64)])),
+                    pa.array(np.concatenate([np.zeros(len(links), np.int64), band[order].view(np.int64)])),
                     pa.array(np.concatenate([np.zeros(len(links), np.int64), short[line]])),
                     pa.array(np.concatenate([np.zeros(len(links), bool), held])),
                 ],
@@ -183,7 +211,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, last_set = None, set()
+    last, last_set = None, None
     for batch in batches:
         out = []
         for ka, ta, kb, tb in zip(*(c.to_pylist() for c in batch.columns), strict=True):

@@ -146,6 +146,20 @@ def test_lines_of_a_hot_template_meet_their_partners(spark, monkeypatch, block):
     assert sorted(r.doc_id for r in line_dedup.digest(df).where("n_dropped > 0").collect()) == list(range(150, 300))
 
 
+def test_short_lines_with_one_edit_are_alike(spark):
+    pairs = [
+        ("Copyright 2023 Example Corporation. All rights reserved worldwide.", "Copyright 2024 Example Corporation. All rights reserved worldwide."),
+        ("Subscribe to our newsletter for weekly updates and offers", "Subscribe to our newsletter for weakly updates and offers"),
+        ("Last updated on Monday the 12th of January by the web team, call 555-0100 with questions, thank you.",
+         "Last updated on Friday the 12th of January by the web team, call 555-0100 with questions, thank you."),
+    ]
+    rows = [x for pair in pairs for x in pair] + ["A line of its own that has nothing in common with the other lines"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in line_dedup.digest(df).where("n_dropped > 0").collect()) == [1, 3, 5]
+    long = "".join(chr(97 + i * i % 26) + chr(97 + i % 25) for i in range(64)) + "z"  # a border of lengths parts no alike lines
+    assert line_dedup.similarity(line_dedup.shingles(long), line_dedup.shingles(long[:-1])) > 0.9
+
+
 def test_toxicity_held_out(spark):
     rows = [(i, f"plain words number {i % 7} here " + ("vilestuff" if i % 3 == 0 else "daisy"), 1, int(i % 3 == 0)) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, quality int, toxic int")
