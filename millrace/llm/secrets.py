@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and literals that flow to names of secrets.
 
 The second part lexes assignments of source and configuration files into names and values, follows
-constants from name to name, and scores a literal by the name it ends up under and by its looks.
+constants from name to name, and scores a literal by the name it ends up under and by its looks. A value
+may span lines: triple quotes, backticks, YAML block scalars, XML elements. It hides no assignment inside it.
 """
 
 from __future__ import annotations
@@ -34,17 +35,24 @@ THRESHOLD = 4.0
 
 _STEMS = re.compile(r"pass|pwd|secret|token|api|key|credential|auth|bearer|jwt|dsn", re.I)
 _NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|-)[A-Za-z_$][\w$]*|\[[ \t]*[\"'][\w.\-]{1,64}[\"'][ \t]*\])*"
+_LONG = r"\"\"\"(?P<double>(?s:[^\"\\]|\\.|\"(?!\"\"))*+)\"\"\"|'''(?P<single>(?s:[^'\\]|\\.|'(?!''))*+)'''|`(?P<tick>[^`]*\n[^`]*)`"
 _STRING = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
 _OPERATOR = re.compile(r"(?<![=!<>:~]):=|(?<![=!<>:~])=>|(?<![=!<>:~])=(?![=~>])|(?<![:]):(?![:/=])")
 _TARGET = re.compile(
     rf"(?P<quote>[\"']?)(?P<name>{_NAME})(?P=quote)(?:[ \t]*:[ \t]*[A-Za-z_][\w.<>\[\]]*)?[ \t]*$", re.A
 )
 LONGEST_NAME = 256  # characters before an operator that are looked at for its name
-_TERM = re.compile(rf"(?P<string>{_STRING})|(?P<ref>{_NAME})(?![\w(])", re.A)
+_TERM = re.compile(rf"(?P<long>{_LONG})|(?P<string>{_STRING})|(?P<ref>{_NAME})(?![\w(])", re.A)
 _BLANKS = re.compile(r"[ \t]*")
 _PLUS = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*(?:\\?\n[ \t]*)?")
 _BARE = re.compile(r"[^\s\"'`#;,<>(){}\[\]]+(?=[ \t]*(?:$|[\r\n#;,<}]))")
-_ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.\-]*)>(?P<value>[^<>\n]{1,4096})</(?P=name)>", re.A)
+_ELEMENT = re.compile(
+    r"<(?P<name>[A-Za-z_][\w.\-]*+)(?:\s(?:[^<>\"']|\"[^\"<]*+\"|'[^'<]*+')*+)?>(?P<value>[^<>]++)</(?P=name)\s*+>", re.A
+)
+_BLOCK = re.compile(r"[|>][-+0-9]{0,2}[ \t]*(?:#[^\n]*)?\r?\n")
+_INDENT = re.compile(r"[ ]*(?:-[ ]+)*")
+_ARMOR = re.compile(r"-----(?:BEGIN|END) [A-Z0-9 ]+-----(?:\\r|\\n)*")  # lines around a PEM key
+_WRAP = re.compile(r"\s*\n\s*")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+", re.A)
 
 
@@ -77,6 +85,35 @@ def literal_score(value: str) -> float:
     return score - 2.0 * any(c.isspace() for c in value) - 1.0 * (kinds == 1 and value.isalpha())
 
 
+def _long_kind(term: re.Match) -> str:
+    return next(kind for kind in ("double", "single", "tick") if term[kind] is not None)
+
+
+def _inner(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span without white space at both ends."""
+    value = text[start:end]
+    return end - len(value.lstrip()), start + len(value.rstrip())
+
+
+def _block_scalar(text: str, key: int, start: int) -> tuple[int, int] | None:
+    """The value of a YAML block scalar whose mark is at ``start``: the lines indented more than the key's at ``key``."""
+    if not (mark := _BLOCK.match(text, start)):
+        return None
+    line = text.rfind("\n", 0, key) + 1
+    indent = _INDENT.match(text, line).end() - line
+    at = end = mark.end()
+    while at < len(text):
+        stop = text.find("\n", at) + 1 or len(text)
+        row = text[at:stop]
+        if row.strip():
+            if len(row) - len(row.lstrip(" ")) <= indent:
+                break
+            end = stop
+        at = stop
+    first, last = _inner(text, mark.end(), end)
+    return (first, last) if first < last else None
+
+
 def literals(text: str) -> list[tuple[int, int, str, float]]:
     """``(start, end, name, score)`` of the literals that flow to a name of a secret, in order.
 
@@ -93,7 +130,8 @@ def literals(text: str) -> list[tuple[int, int, str, float]]:
         weight = name_score(name)
         if weight <= 0 or not parts:
             return
-        score = weight + literal_score("".join(text[a:b] for a, b in parts))
+        value = _ARMOR.sub("", "".join(text[a:b] for a, b in parts))
+        score = weight + literal_score(_WRAP.sub("", value))
         if score >= THRESHOLD:
             for part in parts:
                 if part[0] < part[1] and score > found.get(part, ("", 0.0))[1]:
@@ -101,7 +139,7 @@ def literals(text: str) -> list[tuple[int, int, str, float]]:
 
     if "</" in text:
         for m in _ELEMENT.finditer(text):
-            settle(m["name"], [m.span("value")])
+            settle(m["name"], [_inner(text, *m.span("value")) if "\n" in m["value"] else m.span("value")])
     at = 0  # end of the last value read: operators inside it are text
     for operator in _OPERATOR.finditer(text):
         if operator.start() < at:
@@ -112,7 +150,18 @@ def literals(text: str) -> list[tuple[int, int, str, float]]:
             continue
         start = read = _BLANKS.match(text, operator.end()).end()
         parts: list[tuple[int, int]] = []
+        if operator[0] == ":" and (block := _block_scalar(text, operator.start(), start)):
+            settle(target["name"], [block])
+            continue
         while term := _TERM.match(text, read):
+            if term["long"]:
+                parts.append(_inner(text, *term.span(_long_kind(term))))
+                read = term.end()
+                at = max(at, term.start() + 1)
+                if not (plus := _PLUS.match(text, read)):
+                    break
+                read = plus.end()
+                continue
             if term["string"]:
                 parts.append((term.start() + 1, term.end() - 1))
             elif term["ref"] in known:
