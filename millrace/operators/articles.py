@@ -72,14 +72,13 @@ def revision_years() -> Column:
     return F.transform("revisions", lambda r: F.year(r["ts"]))
 
 
+def revision_line(r: Column) -> Column:
+    return F.concat(F.lit("\t"), r["rid"].cast("string"), F.lit(","), r["contributor"], F.lit(","), markup.instant_text(r["ts"]))
+
+
 def render() -> Column:
     """``aid,title`` and then one indented line ``rid,contributor,timestamp`` per revision."""
-    line = F.transform(
-        "revisions",
-        lambda r: F.concat(
-            F.lit("\t"), r["rid"].cast("string"), F.lit(","), r["contributor"], F.lit(","), markup.instant_text(r["ts"]), F.lit("\n")
-        ),
-    )
+    line = F.transform("revisions", lambda r: F.concat(revision_line(r), F.lit("\n")))
     return F.concat(F.col("aid").cast("string"), F.lit(","), F.col("title"), F.lit("\n"), F.array_join(line, ""))
 
 

@@ -13,6 +13,7 @@ from millrace.sources import files, sinks
 DAY_SQL = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 ISO_SQL = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"
 YEAR = 1996
+PAGE = 1000  # revisions in a page of markup, about
 
 
 def _revisions(spark, folder):
@@ -194,13 +195,15 @@ def cogroup_where_in_year(spark, folder):
 
 
 def _page_files(spark, folder, history=None):
-    """Revisions as files of page markup: user names in the first history, ips in the second. A
-    page is one record of the file, so an article's history must fit in one, as it must in the markup."""
+    """Revisions as files of page markup: user names in the first history, ips in the second. An
+    article of a long history takes several pages of one id, each with revisions by a hash of ``rid``."""
     rows = _revisions(spark, folder).select("aid", "title", "rid", "contributor", "ts", "history")
     if history:
         rows = rows.filter(F.col("history") == history)
     revisions = F.sort_array(F.collect_list(F.struct("rid", "contributor", "ts", "history")))
-    pages = rows.groupBy("aid", "title").agg(revisions.alias("items"))
+    counts = rows.groupBy("aid", "title").agg(F.ceil(F.count(F.lit(1)) / F.lit(PAGE)).alias("pages"))
+    paged = rows.join(counts, ["aid", "title"]).withColumn("page", F.pmod(F.xxhash64("rid"), F.col("pages")))
+    pages = paged.groupBy("aid", "title", "page").agg(revisions.alias("items"))
 
     def tag(name, text):
         return F.concat(F.lit(f"<{name}>"), text.cast("string"), F.lit(f"</{name}>"))
@@ -235,8 +238,10 @@ def page_round_trip(spark, folder):
     ),
 )
 def article_columns(spark, folder):
-    """The derived columns of parsed articles."""
-    parsed = files.read_articles(spark, _page_files(spark, folder))
+    """The derived columns of parsed articles. Each row of the answer holds all revisions of an article,
+    so they are collected here, from all its pages."""
+    pages = files.read_articles(spark, _page_files(spark, folder))
+    parsed = pages.groupBy("aid", "title").agg(F.sort_array(F.flatten(F.collect_list("revisions"))).alias("revisions"))
     pairs = F.transform(articles.contributor_revisions(), lambda p: F.concat_ws(":", p["contributor"], p["rid"].cast("string")))
     return parsed.select(
         "aid",
@@ -259,7 +264,7 @@ def article_columns(spark, folder):
 def article_text(spark, folder):
     """Articles written as plain text and read back as lines."""
     path = scratch(spark)
-    sinks.write_articles(files.read_articles(spark, _page_files(spark, folder)), path)
+    sinks.write_revisions(files.read_revisions(spark, _page_files(spark, folder)), path)
     return files.read_lines(spark, path).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
 
 

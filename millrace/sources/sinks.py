@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import length_part
-from millrace.operators.articles import render
+from millrace.operators.articles import render, revision_line
 
 
 def write_key_values(df: DataFrame, path: str, key: str, value: str, n: int) -> None:
@@ -62,6 +62,16 @@ def write_articles(articles: DataFrame, path: str) -> None:
     articles.select(F.regexp_replace(render(), r"\n\z", "").alias("value")).write.text(path)
 
 
+def write_revisions(revisions: DataFrame, path: str) -> None:
+    """The text of ``write_articles`` from a row per revision: sorted by article and ``rid``, no article as one record."""
+    line = revision_line(F.struct("rid", "contributor", "ts"))
+    heads = revisions.select("aid", "title").distinct()
+    heads = heads.select("aid", "title", F.lit(0).alias("section"), F.lit(0).cast("bigint").alias("rid"), F.concat_ws(",", "aid", "title").alias("value"))
+    body = revisions.select("aid", "title", F.lit(1).alias("section"), F.col("rid").cast("bigint").alias("rid"), line.alias("value"))
+    keys = ["aid", "title", "section", "rid"]
+    heads.union(body).repartitionByRange(*keys).sortWithinPartitions(*keys).select("value").write.text(path)
+
+
 def preview(df: DataFrame, n: int = 10, schema: bool = False) -> DataFrame:
     """The first ``n`` rows; ``schema`` prints the schema too."""
     if schema:

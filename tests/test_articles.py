@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import markup
 from millrace.operators import articles
+from millrace.plans import article_queries
 from millrace.sources import files, sinks
 
 DUMP = """<dump>
@@ -199,3 +200,15 @@ def test_revisions_without_the_nested_form(spark):
     flat = articles.parse_revisions(pages)
     assert flat.columns == articles.flatten(articles.parse_pages(pages)).columns
     assert sorted(flat.collect()) == sorted(articles.flatten(articles.parse_pages(pages)).collect()) and flat.count() == 2
+
+
+@pytest.mark.parametrize("name", ["page_round_trip", "article_columns", "article_text", "contributors_both_files"])
+def test_an_article_of_many_revisions_takes_several_pages(spark, monkeypatch, name):
+    folder = "/root/testdata/sf0.001"
+    run = getattr(article_queries, name)
+    whole = sorted(map(tuple, run(spark, folder).collect()))
+    monkeypatch.setattr(article_queries, "PAGE", 4, raising=False)
+    pages = files.read_articles(spark, article_queries._page_files(spark, folder))
+    per_article = pages.groupBy("aid").agg(F.count("*").alias("n"), F.sum(F.size("revisions")).alias("revisions"))
+    assert per_article.where("revisions > 20 AND n < 2").isEmpty() and not per_article.where("n > 2").isEmpty()
+    assert sorted(map(tuple, run(spark, folder).collect())) == whole
