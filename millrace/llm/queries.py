@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import covertree, licenses, line_dedup, mixing, packing, quality, secrets, simhash, token_counts, toxicity
+from millrace.llm import (
+    ball_codes, covertree, decontamination, hard_negatives, licenses, line_dedup, mixing, packing, quality, secrets, simhash, token_counts,
+    toxicity,
+)
 from millrace.plans.registry import query
 
 
@@ -135,3 +138,95 @@ def _licenses(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_simhash")
 def _simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.digest(_read(spark, folder, "documents"))
+
+
+_ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION_ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS} AS ws FROM documents),
+items AS (SELECT cast(item_id AS varchar) AS item, {_ITEM_WORDS} AS ws FROM benchmark),
+strings AS (
+  SELECT DISTINCT item, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS w
+  FROM (SELECT item, ws, least(len(ws), 10) AS k, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM items WHERE len(ws) > 0)),
+places AS (
+  SELECT r, k, i, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS w
+  FROM (SELECT r, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT k FROM strings))),
+hits AS (SELECT r, item, k, i FROM places JOIN strings USING (k, w)),
+hit AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT r, k, i FROM hits)) GROUP BY r),
+listed AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY r)
+SELECT doc_id, cast(len(ws) AS bigint) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(listed.n, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+"""
+
+
+@query("op11_decontamination", DECONTAMINATION_ORACLE)
+def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.digest(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * cast(x AS double)))"
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+HARD_NEGATIVES_ORACLE = f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_FINITE}),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, cast(list_inner_product(a.v, b.v) AS bigint) AS score
+  FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, cast(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS int) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10
+"""
+
+
+@query("op12_hard_negatives", HARD_NEGATIVES_ORACLE)
+def _hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.digest(_read(spark, folder, "embeddings"))
+
+
+def _codes_oracle() -> str:
+    def assigned(i: int) -> str:
+        # Least distance and then least entry, as one number.
+        return f"""
+a{i} AS MATERIALIZED (
+  SELECT rn, part, min(d * 64 + entry) AS best FROM (
+    SELECT rn, part, entry, cast(list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS bigint) AS d
+    FROM p JOIN c{i} USING (part)) GROUP BY rn, part)"""
+
+    def moved(i: int) -> str:
+        return f"""
+m{i} AS (
+  SELECT part, entry, i, floor(sum(y) / count(*)) AS y FROM (
+    SELECT part, best % 64 AS entry, unnest(range(len(x))) AS i, unnest(x) AS y FROM p JOIN a{i} USING (rn, part))
+  GROUP BY part, entry, i),
+c{i + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(n, c) AS c
+  FROM c{i} LEFT JOIN (SELECT part, entry, list(y ORDER BY i) AS n FROM m{i} GROUP BY part, entry) USING (part, entry))"""
+
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rn, vec_id, label, {_WHOLE} AS v FROM embeddings WHERE {_FINITE}),
+p AS MATERIALIZED (
+  SELECT rn, part, list_slice(v, part * len(v) // 16 + 1, (part + 1) * len(v) // 16) AS x
+  FROM (SELECT rn, v, unnest(range(16)) AS part FROM k)),
+c0 AS (SELECT part, rn - 1 AS entry, x AS c FROM p WHERE rn <= 64), {assigned(0)}, {moved(0)}, {assigned(1)}, {moved(1)}, {assigned(2)},
+coded AS (
+  SELECT rn, string_agg(lower(printf('%02x', best % 64)), '' ORDER BY part) AS code, cast(sum(best // 64) AS bigint) AS error
+  FROM a2 GROUP BY rn)
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda y: cast(cast(y AS bigint) AS varchar)), ','), ',' ORDER BY part, entry))
+        FROM c2) AS codebooks_sha256
+FROM k JOIN coded USING (rn)
+"""
+
+
+@query("op13_vector_codes", _codes_oracle())
+def _vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return ball_codes.digest(_read(spark, folder, "embeddings"))
