@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import markup
-from millrace.operators.grouping import grouped, with_totals
+from millrace.functions.maps import count_map
+from millrace.operators.grouping import grouped, in_maps, with_totals
 
 REVISION = ("aid", "title", "rid", "contributor", "ts")
 
@@ -72,6 +73,11 @@ def revision_years() -> Column:
     return F.transform("revisions", lambda r: F.year(r["ts"]))
 
 
+def revisions_per_year_map() -> Column:
+    """A map from year to number of revisions, of one article."""
+    return count_map(revision_years())
+
+
 def revision_line(r: Column) -> Column:
     return F.concat(F.lit("\t"), r["rid"].cast("string"), F.lit(","), r["contributor"], F.lit(","), markup.instant_text(r["ts"]))
 
@@ -167,6 +173,19 @@ def contributor_maps_per_year(revisions: DataFrame) -> DataFrame:
     return with_totals(contributor_counts_per_year(revisions), ["year"], n_contributors=F.count(F.lit(1)))
 
 
+def contributor_year_maps(revisions: DataFrame, size: int = 1000) -> DataFrame:
+    """``year, map_no, n_maps, entries``: each year's contributors with their revisions, as maps of about ``size`` entries."""
+    return in_maps(contributor_counts_per_year(revisions), ["year"], "contributor", "n", size)
+
+
+def revision_columns(revisions: DataFrame) -> DataFrame:
+    """``aid, title, rid, contributor, pair, year, n_revisions``: per revision what the columns of an articles table
+    list per article, beside the article's number of revisions. A history of any length is in no task as a whole."""
+    pair = F.concat_ws(":", "contributor", F.col("rid").cast("string"))
+    rows = revisions.select("aid", "title", "rid", "contributor", pair.alias("pair"), F.year("ts").alias("year"))
+    return with_totals(rows, ["aid", "title"], n_revisions=F.count(F.lit(1)))
+
+
 def by_contributor(revisions: DataFrame, n: int, split: int = 8) -> DataFrame:
     """Hash-partition by contributor into ``n``, each contributor over at most ``split`` partitions.
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.shared import kept, written
+
 PLACE_BITS = 33  # of a row's number inside its partition, as monotonically_increasing_id has them
 
 
@@ -20,12 +21,12 @@ def category_indices(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     The values stay in Spark and may be as many as the rows. They are sorted by range; a row's number is
     its place in its partition, plus the rows of the partitions before, less the feature's first place.
-    The sorted values are kept (spilling to disk), as both the places and the sizes are read from them.
+    The sorted values are written, as both the places and the sizes are read from them.
     """
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns])
     counts = df.select(F.inline(cells)).filter("value IS NOT NULL").groupBy("feature", "value").count()
     ordered = counts.orderBy("feature", F.desc("count"), "value").select("feature", "value", F.monotonically_increasing_id().alias("at"))
-    ordered = ordered.persist(StorageLevel.MEMORY_AND_DISK)
+    ordered = written(ordered)
     part = F.shiftright("at", PLACE_BITS)
     # One row per partition and one per feature: few enough for a running sum in one task.
     sizes = ordered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
@@ -81,11 +82,8 @@ def split_rows(df: DataFrame, share: float, seed: int, keys: Sequence[str] | Non
 
 def train_tree(training: DataFrame, columns: Sequence[str], label: str) -> PipelineModel:
     """Fit the pipeline. The needed columns are kept (spilling to disk) while the passes over them run."""
-    rows = training.select(*columns, label).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with kept(training.select(*columns, label)) as rows:
         return tree_pipeline(columns, label).fit(rows)
-    finally:
-        rows.unpersist()
 
 
 def accuracy(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 
 from millrace.functions.markup import instant_text
 from millrace.operators import articles
+from millrace.operators.grouping import looked_up, map_rows, with_totals
 from millrace.plans.registry import query
-from millrace.plans.views import oracle, scratch, view
+from millrace.plans.views import oracle, view
+from millrace.shared import new_folder
 from millrace.sources import files, sinks
 
 DAY_SQL = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 ISO_SQL = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"
 YEAR = 1996
 PAGE = 1000  # revisions in a page of markup, about
+MAP_SIZE = 100  # entries of a map, about
 
 
 def _revisions(spark, folder):
@@ -217,7 +220,7 @@ def _page_files(spark, folder, history=None):
     page = F.concat(
         F.lit("<page>\n"), tag("title", F.col("title")), tag("id", F.col("aid")), body, F.lit("\n</page>")
     )
-    path = scratch(spark)
+    path = new_folder(spark)
     pages.select(page.alias("value")).write.text(path)
     return path
 
@@ -232,25 +235,67 @@ def page_round_trip(spark, folder):
 @query(
     "article_columns",
     _sql(
-        "SELECT aid, title, cast(count(*) AS int) AS n_revisions, string_agg(contributor, ' ' ORDER BY rid) AS contributors, "
-        "string_agg(contributor || ':' || rid, ' ' ORDER BY rid) AS pairs, "
-        "string_agg(year(ts)::VARCHAR, ' ' ORDER BY rid) AS years FROM revisions GROUP BY aid, title"
+        "SELECT aid, title, rid, contributor, contributor || ':' || rid AS pair, cast(year(ts) AS int) AS year, "
+        "count(*) OVER (PARTITION BY aid, title) AS n_revisions FROM revisions"
     ),
 )
 def article_columns(spark, folder):
-    """The derived columns of parsed articles. Each row of the answer holds all revisions of an article,
-    so they are collected here, from all its pages."""
+    """The derived columns of parsed articles, a row per revision."""
+    return articles.revision_columns(files.read_revisions(spark, _page_files(spark, folder)))
+
+
+@query(
+    "article_record_columns",
+    _sql(
+        "SELECT aid, title, rid, contributor, contributor || ':' || rid AS pair, cast(year(ts) AS int) AS year, "
+        "count(*) OVER (PARTITION BY aid, title) AS n_revisions FROM revisions"
+    ),
+)
+def article_record_columns(spark, folder):
+    """The same from the list columns of each page record, which its markup bounds, zipped and made rows; an article's
+    number of revisions is the sum over its pages."""
     pages = files.read_articles(spark, _page_files(spark, folder))
-    parsed = pages.groupBy("aid", "title").agg(F.sort_array(F.flatten(F.collect_list("revisions"))).alias("revisions"))
-    pairs = F.transform(articles.contributor_revisions(), lambda p: F.concat_ws(":", p["contributor"], p["rid"].cast("string")))
-    return parsed.select(
-        "aid",
-        "title",
-        articles.revision_count().alias("n_revisions"),
-        F.array_join(articles.contributors(), " ").alias("contributors"),
-        F.array_join(pairs, " ").alias("pairs"),
-        F.array_join(articles.revision_years().cast("array<string>"), " ").alias("years"),
+    listed = F.arrays_zip(
+        articles.contributors().alias("contributor"), articles.contributor_revisions().alias("by"), articles.revision_years().alias("year")
     )
+    rows = pages.select("aid", "title", articles.revision_count().alias("n"), F.posexplode(listed).alias("place", "r"))
+    pair = F.concat_ws(":", "r.by.contributor", F.col("r.by.rid").cast("string"))
+    columns = rows.select("aid", "title", "n", "place", F.col("r.by.rid").alias("rid"), "r.contributor", pair.alias("pair"), "r.year")
+    first = F.when(F.col("place") == 0, F.col("n")).otherwise(0)
+    totals = with_totals(columns.withColumn("first", first), ["aid", "title"], n_revisions=F.sum("first"))
+    return totals.select("aid", "title", "rid", "contributor", "pair", "year", "n_revisions")
+
+
+@query("article_year_maps", _sql("SELECT aid, title, cast(year(ts) AS int) AS year, count(*) AS n FROM revisions GROUP BY ALL"))
+def article_year_maps(spark, folder):
+    """A map from year to revisions in each page record, read back by entries and summed over an article's pages."""
+    pages = files.read_articles(spark, _page_files(spark, folder))
+    maps = pages.select("aid", "title", articles.revisions_per_year_map().alias("entries"))
+    return map_rows(maps, ["aid", "title"], "year", "n").groupBy("aid", "title", "year").agg(F.sum("n").alias("n"))
+
+
+@query("contributor_map_entries", _sql(f"SELECT *, true AS bounded FROM ({COUNTS})"))
+def contributor_map_entries(spark, folder):
+    """Each year's contributors as maps, read back by entries, and whether no map is far above its size."""
+    maps = articles.contributor_year_maps(_revisions(spark, folder), size=MAP_SIZE)
+    sized = maps.withColumn("bounded", F.size("entries") <= 2 * MAP_SIZE)
+    return map_rows(sized, ["year", "bounded"], "contributor", "n").select("year", "contributor", "n", "bounded")
+
+
+@query(
+    "contributor_map_lookup",
+    _sql(
+        f"SELECT a.contributor, a.n AS n_before, b.n FROM ({COUNTS}) AS a LEFT JOIN ({COUNTS}) AS b "
+        f"ON b.year = a.year + 1 AND b.contributor = a.contributor WHERE a.year = {YEAR}"
+    ),
+)
+def contributor_map_lookup(spark, folder):
+    """The contributors of a year, looked up in the next year's maps."""
+    rows = _revisions(spark, folder)
+    maps = articles.contributor_year_maps(rows, size=MAP_SIZE)
+    before = articles.contributor_counts(articles.in_year(rows, YEAR)).withColumnRenamed("n", "n_before")
+    wanted = before.withColumn("year", F.lit(YEAR + 1))
+    return looked_up(wanted, maps, ["year"], "contributor", "n").select("contributor", "n_before", "n")
 
 
 @query(
@@ -263,7 +308,7 @@ def article_columns(spark, folder):
 )
 def article_text(spark, folder):
     """Articles written as plain text and read back as lines."""
-    path = scratch(spark)
+    path = new_folder(spark)
     sinks.write_revisions(files.read_revisions(spark, _page_files(spark, folder)), path)
     return files.read_lines(spark, path).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import films
 from millrace.plans.registry import query
-from millrace.plans.views import oracle, scratch, view
+from millrace.plans.views import oracle, view
+from millrace.shared import new_folder
 from millrace.sources import files, sinks
 
 CLEAN = """
@@ -221,7 +222,7 @@ def actor_director_equal(spark, folder):
 @query("film_csv_scan", _sql("SELECT director, year, count(*) AS n FROM clean GROUP BY director, year"))
 def film_csv_scan(spark, folder):
     """Films written as CSV with a header and read back with inferred types."""
-    path = scratch(spark)
+    path = new_folder(spark)
     table = view(spark, folder, "films")
     named = table.select(*[F.col(new).alias(old) for old, new in files.FILM_COLUMNS.items()])
     named.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(

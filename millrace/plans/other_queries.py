@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from millrace.functions import pixels as px
 from millrace.operators import categories, cohort, points, raster
 from millrace.plans.registry import query
-from millrace.plans.views import oracle, scratch, table, view
-from millrace.sources import files
+from millrace.plans.views import oracle, table, view
+from millrace.shared import new_folder, written
+from millrace.sources import files, sinks
 
 # People.
 
@@ -80,7 +81,7 @@ def person_lookup(spark, folder):
 )
 def person_file_lookup(spark, folder):
     """People written as CSV without a header, and each looked up in the file."""
-    path = scratch(spark)
+    path = new_folder(spark)
     people = view(spark, folder, "people")
     people.write.csv(path)
     return cohort.find_people(people, files.read_people(spark, path), order=["place"], missing="raise")
@@ -178,7 +179,7 @@ FROM cars WHERE {DRAW_SQL} < 700000 GROUP BY label
 )
 def tree_accuracy(spark, folder):
     """The held-out rows scored, and whether MLlib's evaluator finds the same accuracy in them."""
-    scored = _scored(spark, folder).select("label_idx", "prediction").persist()
+    scored = written(_scored(spark, folder).select("label_idx", "prediction"))
     known = MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy").evaluate(scored)
     return categories.accuracy(scored, "label_idx").select("n", (F.abs(F.col("accuracy") - known) < 1e-9).alias("evaluators_agree"))
 
@@ -200,6 +201,25 @@ def tree_predictions(spark, folder):
     return model.transform(test).select(*ROW, "label", "label_idx", known.alias("known"))
 
 
+@query(
+    "tree_single_feature",
+    oracle(
+        "SELECT row_order, row_part, row_supplier, doors, held.label, own.label_idx, said.label_idx AS prediction "
+        "FROM held JOIN labels AS own ON own.label = held.label JOIN most ON most.buying = held.buying JOIN labels AS said ON said.label = most.label",
+        "cars",
+        held=HELD,
+        labels=LABELS,
+        most=f"SELECT buying, label FROM cars JOIN labels USING (label) WHERE {DRAW_SQL} < 700000 GROUP BY buying, label, label_idx "
+        "QUALIFY row_number() OVER (PARTITION BY buying ORDER BY count(*) DESC, label_idx) = 1",
+    ),
+)
+def tree_single_feature(spark, folder):
+    """The predictions of a tree that sees one feature of three values: for each the label most frequent in training."""
+    training, test = _sides(spark, folder)
+    scored = categories.train_tree(training, ["buying"], "label").transform(test)
+    return scored.select(*ROW, "label", "label_idx", "prediction")
+
+
 @query(
     "prediction_accuracy",
     oracle(
@@ -227,7 +247,7 @@ def split_is_whole(spark, folder):
 @query("car_csv_scan", oracle("SELECT buying, persons, label, count(*) AS n FROM cars GROUP BY buying, persons, label", "cars"))
 def car_csv_scan(spark, folder):
     """Cars written as CSV without a header and read back with columns named by position."""
-    path = scratch(spark)
+    path = new_folder(spark)
     view(spark, folder, "cars").select(*files.CAR_COLUMNS).write.csv(path)
     return files.read_cars(spark, path).groupBy("buying", "persons", "label").agg(F.count(F.lit(1)).alias("n"))
 
@@ -242,6 +262,16 @@ def _pixels(spark, folder):
     return view(spark, folder, "pixels")
 
 
+@query("photo_pixels", oracle("SELECT image_id, width, height, x, y, rgb FROM pixels", "pixels"))
+def photo_pixels(spark, folder):
+    """Images written as bitmap files, and their pixels as the photo reader finds them."""
+    path = new_folder(spark)
+    sinks.write_photos(_pixels(spark, folder), path)
+    found = files.read_photos(spark, path)
+    image = F.regexp_extract("image_id", r"/image_id=(\d+)/[^/]*$", 1).cast("bigint")
+    return found.select(image.alias("image_id"), "width", "height", "x", "y", "rgb")
+
+
 def _neighbours(source: str, weights, name: str) -> str:
     """The weighted sums of a filter by joining each pixel with all its neighbours."""
     side = round(len(weights) ** 0.5)

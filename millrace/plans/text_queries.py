@@ -8,7 +8,8 @@ from millrace.functions.text import index_of
 from millrace.operators import index, words
 from millrace.operators.index import STOP_WORDS
 from millrace.plans.registry import query
-from millrace.plans.views import documents, oracle, scratch
+from millrace.plans.views import documents, oracle
+from millrace.shared import new_folder
 from millrace.sources import files, sinks
 
 STOP_SQL = ", ".join(f"'{word}'" for word in STOP_WORDS)
@@ -134,7 +135,7 @@ def stopword_antijoin(spark, folder):
 )
 def stopword_file_antijoin(spark, folder):
     """The same with the stop words from a file that has a comment and a repeat."""
-    path = scratch(spark)
+    path = new_folder(spark)
     stop = index.stop_word_table(spark)
     comment = spark.range(1).select(F.lit("# stop words").alias("word"))
     comment.unionAll(stop).unionAll(stop).write.text(path)
@@ -243,7 +244,7 @@ def length_partition_layout(spark, folder):
 @query("word_count_files", oracle("SELECT word, cast(count(*) AS bigint) AS n FROM words GROUP BY word", "words"))
 def word_count_files(spark, folder):
     """Word counts written as two tab-separated part files and read back."""
-    path = scratch(spark)
+    path = new_folder(spark)
     sinks.write_key_values(words.word_counts(words.words(documents(spark, folder))), path, "word", "n", 2)
     fields = F.split("line", "\t")
     lines = files.read_lines(spark, path)
@@ -256,7 +257,7 @@ def word_count_files(spark, folder):
 )
 def document_files_index(spark, folder):
     """Documents written as records of markup, scanned with the record delimiter and indexed."""
-    path = scratch(spark)
+    path = new_folder(spark)
     tag = F.concat(F.lit('<Document id="'), F.col("doc_id").cast("string"), F.lit('">\n'))
     documents(spark, folder).select(F.concat(tag, "text", F.lit("</Document>"))).write.text(path)
     return index.totals(index.word_positions(files.read_documents(spark, path), STOP_WORDS))
@@ -279,7 +280,7 @@ SELECT part, text, count(*) AS n FROM (
 )
 def posting_files(spark, folder):
     """The index written as text by word length and read back as lines."""
-    table, text = scratch(spark), scratch(spark)
+    table, text = new_folder(spark), new_folder(spark)
     index.postings(_hits(spark, folder)).write.parquet(table)
     sinks.write_postings(spark.read.parquet(table), text, 10)
     lines = spark.read.schema("value string, part int").text(text)

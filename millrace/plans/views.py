@@ -6,7 +6,6 @@
 from __future__ import annotations
 
 import string
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -135,14 +134,3 @@ def oracle(select: str, *names: str, **extra: str) -> str:
     parts = {n: {"words": WORDS, "letter_words": LETTER_WORDS}.get(n) or duck(VIEWS[n]) for n in names} | extra
     ctes = ",\n".join(f"{n} AS ({sql.strip()})" for n, sql in parts.items())
     return f"WITH {ctes}\n{select.strip()}" if ctes else select.strip()
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder name under the folder that all executors share.
-
-    It is the one the session names in ``spark.checkpoint.dir``, else one inside its warehouse; never
-    a temporary folder of this machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

@@ -72,6 +72,41 @@ def write_revisions(revisions: DataFrame, path: str) -> None:
     heads.union(body).repartitionByRange(*keys).sortWithinPartitions(*keys).select("value").write.text(path)
 
 
+def _little_endian(number: Column, size: int) -> Column:
+    """A number as hexadecimal digits of ``size`` bytes, the lowest first."""
+    digits = F.lpad(F.hex(F.pmod(number.cast("bigint"), F.lit(1 << 8 * size))), 2 * size, "0")
+    return F.concat(*[digits.substr(2 * i + 1, 2) for i in reversed(range(size))])
+
+
+def _bitmap_head(width: Column, height: Column, stride: Column) -> Column:
+    """The two headers of an uncompressed bitmap of three bytes a pixel whose first line is on top, in hexadecimal digits."""
+    fields = (
+        (14 + 40 + stride * height, 4), (F.lit(0), 4), (F.lit(14 + 40), 4),  # size, reserved, where the pixels begin
+        (F.lit(40), 4), (width, 4), (-height, 4), (F.lit(1), 2), (F.lit(24), 2), (F.lit(0), 4), (stride * height, 4),
+        (F.lit(2835), 4), (F.lit(2835), 4), (F.lit(0), 4), (F.lit(0), 4),
+    )
+    return F.concat(F.hex(F.lit("BM")), *[_little_endian(F.lit(0) + value, size) for value, size in fields])
+
+
+def write_photos(pixels: DataFrame, path: str) -> None:
+    """A pixel table (``image_id, width, height, x, y, rgb``) as bitmap files, in a directory ``image_id=...`` per image.
+
+    Pixels become lines and lines an image, which is one file and one record. Spark's text writer writes the bytes of a
+    value as they are; the line end it adds lies past the bitmap's size, where readers do not look.
+    """
+    digits = F.lpad(F.hex(F.pmod(F.col("rgb").cast("bigint"), F.lit(1 << 24))), 6, "0")
+    pixel = F.concat(digits.substr(5, 2), digits.substr(3, 2), digits.substr(1, 2))
+    padding = F.pmod(-3 * F.col("width"), F.lit(4))
+    image = ["image_id", "width", "height"]
+    cells = F.sort_array(F.collect_list(F.struct("x", pixel.alias("digits"))))
+    lines = pixels.groupBy(*image, "y").agg(cells.alias("cells"))
+    lines = lines.select(*image, "y", F.concat(F.array_join("cells.digits", ""), F.repeat(F.lit("00"), padding.cast("int"))).alias("line"))
+    whole = lines.groupBy(*image).agg(F.sort_array(F.collect_list(F.struct("y", "line"))).alias("lines"))
+    stride = 3 * F.col("width") + padding
+    bitmap = F.concat(_bitmap_head(F.col("width"), F.col("height"), stride), F.array_join("lines.line", ""))
+    whole.select("image_id", F.unhex(bitmap).cast("string").alias("value")).write.partitionBy("image_id").text(path)
+
+
 def preview(df: DataFrame, n: int = 10, schema: bool = False) -> DataFrame:
     """The first ``n`` rows; ``schema`` prints the schema too."""
     if schema:

@@ -212,3 +212,14 @@ def test_an_article_of_many_revisions_takes_several_pages(spark, monkeypatch, na
     per_article = pages.groupBy("aid").agg(F.count("*").alias("n"), F.sum(F.size("revisions")).alias("revisions"))
     assert per_article.where("revisions > 20 AND n < 2").isEmpty() and not per_article.where("n > 2").isEmpty()
     assert sorted(map(tuple, run(spark, folder).collect())) == whole
+
+
+def test_revision_columns_of_a_long_history(spark):
+    """An article with nearly all revisions: rows and a total, no list."""
+    hot = spark.range(50_000).selectExpr("1 AS aid", "'a' AS title", "id AS rid", "concat('u', id % 7) AS contributor", "timestamp_ntz'2001-05-01 00:00:00' AS ts")
+    other = spark.createDataFrame([(2, "b", 7, "x", None), (None, None, 8, "y", None)], "aid int, title string, rid bigint, contributor string, ts timestamp_ntz")
+    got = articles.revision_columns(hot.union(other))
+    assert got.columns == ["aid", "title", "rid", "contributor", "pair", "year", "n_revisions"]
+    assert got.filter("aid = 1 AND n_revisions = 50000 AND year = 2001 AND pair = concat(contributor, ':', rid)").count() == 50_000
+    assert {tuple(r) for r in got.filter("aid IS NULL OR aid = 2").collect()} == {(2, "b", 7, "x", "x:7", None, 1), (None, None, 8, "y", "y:8", None, 1)}
+    assert articles.revision_columns(hot.limit(0)).count() == 0

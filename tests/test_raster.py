@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import pixels as px
 from millrace.operators import raster
-from millrace.sources import files
+from millrace.sources import files, sinks
 
 SCHEMA = "image_id string, width int, height int, x int, y int, rgb int"
 
@@ -256,3 +256,15 @@ def test_photo_files(spark, tmp_path, depth):
     assert len(got) == 1
     planes = [data[..., 0].astype(int)] * 3 if depth == 1 else [data[..., i].astype(int) for i in range(3)]
     assert (next(iter(got.values()))[0] == pack(*planes)).all()
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4, 21])  # lines of a bitmap are padded to four bytes
+def test_photos_written_and_read(spark, tmp_path, width):
+    rng = np.random.default_rng(width)
+    images = {i: rng.integers(0, 1 << 24, (5 + i, width)) for i in range(3)}
+    rows = [(i, width, len(a), x, y, int(a[y, x])) for i, a in images.items() for y in range(len(a)) for x in range(width)]
+    table = spark.createDataFrame(rows, "image_id int, width int, height int, x int, y int, rgb int").repartition(4)
+    sinks.write_photos(table, str(tmp_path / "photos"))
+    found = files.read_photos(spark, str(tmp_path / "photos")).collect()
+    got = {(int(r.image_id.split("image_id=")[1].split("/")[0]), r.width, r.height, r.x, r.y, r.rgb) for r in found}
+    assert got == set(rows) and len(found) == len(rows)
