@@ -2,8 +2,8 @@
 
 A source's words, document after document in a pseudorandom order, are cut into blocks of a fixed
 length. The mix is a sequence of slots in shards. Each shard draws how many of its slots go to which
-source, a multinomial draw with one uniform number in each of its equal strata, which keeps the
-counts near their means. The k-th slot of a source takes the block to which a pseudorandom
+source: a multinomial draw with one uniform number in each of its equal strata. Independent numbers would put the
+slots of a source with mean m off by about the root of m; by strata a shard is off by one at most. The k-th slot of a source takes the block to which a pseudorandom
 permutation of the source's blocks sends k; past the last block a new permutation begins. Blocks and
 slots are joined by their number. Everything random is a hash, so reruns agree.
 """
@@ -22,7 +22,9 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2
 SEED = 42
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000  # documents of a bucket, on average
+STRETCH = 1024  # shards whose draws of one source are numbered in one task
+TASK_SLOTS = 100_000  # slots that one task makes
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT) -> DataFrame:
@@ -83,11 +85,12 @@ def permuted(k: Column, n: Column, *keys: Column) -> Column:
             right = (right + F.pmod(F.xxhash64(left, F.lit(2 * r + 1), *keys), b)) % b
         return (left * b + right).cast("bigint")
 
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(STEPS)),
-        rounds(k.cast("bigint")),
-        lambda x, _: F.when(x < n, x).otherwise(rounds(x)),
-    )
+    def home(x: Column) -> Column:
+        """``x``, or where the walk from it comes inside; few set out on it."""
+        steps = F.sequence(F.lit(1), F.lit(STEPS))
+        return F.when(x < n, x).otherwise(F.aggregate(steps, x, lambda y, _: F.when(y < n, y).otherwise(rounds(y))))
+
+    return let(rounds(k.cast("bigint")), home)
 
 
 def _sized(docs: DataFrame, id: str, text: str, source: str) -> DataFrame:
@@ -114,8 +117,7 @@ def plan(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
     spread = F.xxhash64(F.col("doc_id"), F.lit(seed))
     sized = sized.withColumns({"spread": spread, "bucket": F.pmod(spread, F.lit(buckets))})
     per_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select("source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    offsets = _summed_before(per_bucket, "bucket").select("source", "bucket", F.col("before").alias("first"))
     inside = (
         Window.partitionBy("source", "bucket")
         .orderBy("spread", "doc_id", "tie", "size")
@@ -147,12 +149,31 @@ def plan(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
     runs = runs.select("doc_id", "tie", "start", "source", "block", lo.alias("lo"), hi.alias("hi"))
     # Joined by source and number of the block: a hot source is spread over its blocks.
     hit = F.col("l.source").eqNullSafe(F.col("r.source")) & (F.col("l.block") == F.col("r.block"))
-    taken = runs.alias("l").join(taken.alias("r"), hit).select(
+    # Taken blocks grow with the table and look small before they are made, so they are not broadcast.
+    taken = runs.alias("l").join(taken.alias("r").hint("shuffle_merge"), hit).select(
         "l.doc_id", "l.source", "l.tie", "l.start", "l.lo", "l.hi", "r.times"
     )
     return placed, taken
 
 
+def _summed_before(counts: DataFrame, place: str) -> DataFrame:
+    """``counts`` with ``before``: the sum of ``n`` over its source's rows of a smaller ``place``.
+
+    Summed by stretches of places and then inside each, so no source is one task.
+    """
+    stretch = F.floor(F.col(place) / STRETCH)
+    dealt = counts.withColumn("stretch", stretch)
+    earlier = Window.partitionBy("source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy("source", "stretch").agg(F.sum("n").alias("n"))
+    sums = sums.select("source", "stretch", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    inside = Window.partitionBy("source", "stretch").orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    local = dealt.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    same = F.col("l.source").eqNullSafe(F.col("r.source")) & (F.col("l.stretch") == F.col("r.stretch"))
+    return local.alias("l").join(sums.alias("r"), same).select(
+        *[F.col(f"l.{c}") for c in counts.columns], (F.col("l.before") + F.col("r.first")).alias("before")
+    )
+
+
 def _slots(table: DataFrame, seed: int) -> DataFrame:
     """``source, block, times`` for every block that some slot takes.
 
@@ -167,12 +188,17 @@ def _slots(table: DataFrame, seed: int) -> DataFrame:
         F.sum("mean").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("high"),
     )
     shares = written(shares.select("source", "blocks", (F.col("low") / F.col("slots")).alias("low"), (F.col("high") / F.col("slots")).alias("high"), "slots"))
-    total = shares.agg(F.max("slots")).first()[0] or 0.0
-    shards = max(1, -(-round(total) // SHARD)) if total else 0
-    size = -(-round(total) // shards) if shards else 0
+    state = shares.agg(F.max("slots"), F.count("*")).first()
+    total, sources = state[0] or 0.0, state[1]
+    # With many sources shards are larger, so rows of source and shard stay far fewer than slots.
+    shards = max(1, -(-round(total) // max(SHARD, 16 * sources)))
+    size = -(-round(total) // shards)
     # Each source's strata in a shard are an interval, so its count in a shard is the number of
     # strata inside it plus at most one draw at each end: no row per slot is made for the draw.
-    drawn = shares.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards - 1, 0)))))
+    stretches = F.explode(F.sequence(F.lit(0), F.lit((shards - 1) // STRETCH)))
+    dealt = shares.withColumn("stretch", stretches).repartition(max(1, -(-shards * sources // TASK_SLOTS)), "source", "stretch")
+    last = F.least(F.col("stretch") * STRETCH + STRETCH - 1, F.lit(shards - 1))
+    drawn = dealt.withColumn("shard", F.explode(F.sequence(F.col("stretch") * STRETCH, last))).drop("stretch")
 
     def strata_below(edge: Column) -> Column:
         # How many of a shard's draws fall below an edge: all strata under it, and the draw of the
@@ -184,10 +210,11 @@ def _slots(table: DataFrame, seed: int) -> DataFrame:
 
     edge_high = F.when(F.col("high") > 1 - 1e-12, F.lit(float(1))).otherwise(F.col("high"))
     counts = drawn.select("source", "blocks", "shard", (strata_below(edge_high) - strata_below(F.col("low"))).alias("n"))
-    before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = counts.select("*", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")).where("n > 0")
-    slots = numbered.select(
-        "source", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("k")
+    numbered = _summed_before(counts, "shard").where("n > 0")
+    # Slots are dealt to tasks before they are made: their number, not that of the rows here, says to how many.
+    dealt = numbered.repartition(max(1, -(-round(total) // TASK_SLOTS)), "source", "shard")
+    slots = dealt.select(
+        "source", "blocks", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("k")
     ).where(F.col("k") < F.col("blocks") * LIMIT)  # no block more often than the limit
     epoch = F.floor(F.col("k") / F.col("blocks"))
     block = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.coalesce("source", F.lit("\u0000")), epoch, F.lit(seed))
@@ -222,7 +249,8 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
 
     A row's text is what that round takes of the document, its words with the white space after them;
     a document that is taken whole keeps its text as it is. Other columns stay. Rows of which nothing
-    is taken go, so null texts and those without words do.
+    is taken go, so null texts and those without words do. Rows alike in id, source and text take turns in
+    the order of their other columns, as JSON; an empty table stays empty.
     """
     placed, taken = plan(docs.select(F.col(id).alias(id), F.col(text).alias(text), F.col(source).alias(source)), id, text, source)
     runs = taken.groupBy("doc_id", "source", "tie", "start").agg(
@@ -236,7 +264,10 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         F.col("l.nth").alias("__nth"), F.col("l.size").alias("__size"), F.col("r.runs").alias("__runs"),
     )
     keyed = docs.withColumns({"__key": F.xxhash64(text)})
-    keyed = keyed.withColumn("__row", F.row_number().over(Window.partitionBy(id, source, "__key").orderBy(F.lit(0))))
+    # Rows alike in all three are put in order by their other columns, so that a rerun takes the same.
+    others = [c for c in docs.columns if c not in (id, text, source)]
+    place = F.to_json(F.struct(*others)) if others else F.lit(0)
+    keyed = keyed.withColumn("__row", F.row_number().over(Window.partitionBy(id, source, "__key").orderBy(place)))
     same = (
         keyed[id].eqNullSafe(F.col("__id")) & keyed[source].eqNullSafe(F.col("__source"))
         & (F.col("__key") == F.col("__tie")) & (F.col("__row") == F.col("__nth"))
