@@ -34,14 +34,17 @@ PLACEHOLDER = re.compile(r"change.?me|example|placeholder|dummy|your|todo|x{4,}|
 THRESHOLD = 4.0
 
 _STEMS = re.compile(r"pass|pwd|secret|token|api|key|credential|auth|bearer|jwt|dsn", re.I)
-_NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|-)[A-Za-z_$][\w$]*|\[[ \t]*[\"'][\w.\-]{1,64}[\"'][ \t]*\])*"
+_NAME = r"[A-Za-z_$][\w$]*(?:(?:\.|->|-)[A-Za-z_$][\w$]*|\[[ \t]*[\"'][\w.\-]++[\"'][ \t]*+\])*"
 _LONG = r"\"\"\"(?P<double>(?s:[^\"\\]|\\.|\"(?!\"\"))*+)\"\"\"|'''(?P<single>(?s:[^'\\]|\\.|'(?!''))*+)'''|`(?P<tick>[^`]*\n[^`]*)`"
 _STRING = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
 _OPERATOR = re.compile(r"(?<![=!<>:~]):=|(?<![=!<>:~])=>|(?<![=!<>:~])=(?![=~>])|(?<![:]):(?![:/=])")
-_TARGET = re.compile(
-    rf"(?P<quote>[\"']?)(?P<name>{_NAME})(?P=quote)(?:[ \t]*:[ \t]*[A-Za-z_][\w.<>\[\]]*)?[ \t]*$", re.A
+# What stands before an operator is read backwards from it, so a name may be of any length: the patterns below are of
+# reversed text. A name, in quotes or not, and perhaps a type after a colon.
+_IDENTIFIER = r"[\w$]*[A-Za-z_$]"
+_NAME_BACK = rf"(?:{_IDENTIFIER}(?:\.|>-|-)|\][ \t]*+[\"'][\w.\-]++[\"'][ \t]*+\[)*{_IDENTIFIER}"
+_TARGET_BACK = re.compile(
+    rf"\n?[ \t]*+(?:[\w.<>\[\]]*[A-Za-z_][ \t]*+:[ \t]*+)?(?P<quote>[\"']?)(?P<name>{_NAME_BACK})(?P=quote)", re.A
 )
-LONGEST_NAME = 256  # characters before an operator that are looked at for its name
 _TERM = re.compile(rf"(?P<long>{_LONG})|(?P<string>{_STRING})|(?P<ref>{_NAME})(?![\w(])", re.A)
 _BLANKS = re.compile(r"[ \t]*")
 _PLUS = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*(?:\\?\n[ \t]*)?")
@@ -141,17 +144,18 @@ def literals(text: str) -> list[tuple[int, int, str, float]]:
         for m in _ELEMENT.finditer(text):
             settle(m["name"], [_inner(text, *m.span("value")) if "\n" in m["value"] else m.span("value")])
     at = 0  # end of the last value read: operators inside it are text
+    back = text[::-1]
     for operator in _OPERATOR.finditer(text):
         if operator.start() < at:
             continue
-        left = max(at, operator.start() - LONGEST_NAME)
-        target = _TARGET.search(text[left : operator.start()])
+        target = _TARGET_BACK.match(back, len(text) - operator.start(), len(text) - at)
         if not target:
             continue
+        name, begin = target["name"][::-1], len(text) - target.end()
         start = read = _BLANKS.match(text, operator.end()).end()
         parts: list[tuple[int, int]] = []
         if operator[0] == ":" and (block := _block_scalar(text, operator.start(), start)):
-            settle(target["name"], [block])
+            settle(name, [block])
             continue
         while term := _TERM.match(text, read):
             if term["long"]:
@@ -172,11 +176,11 @@ def literals(text: str) -> list[tuple[int, int, str, float]]:
             if not (plus := _PLUS.match(text, read)):
                 break
             read = plus.end()
-        before = text[left + target.start() - 1 : left + target.start()] if left + target.start() else ""
+        before = text[begin - 1 : begin] if begin else ""
         if not parts and before in ("", "\n", " ", "\t", "{", ",", ";"):
             if (bare := _BARE.match(text, start)) and not bare[0].isalpha():
                 parts, at = [bare.span()], bare.end()
-        settle(target["name"], parts)
+        settle(name, parts)
     return [(a, b, name, score) for (a, b), (name, score) in sorted(found.items())]
 
 
