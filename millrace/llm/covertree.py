@@ -1,12 +1,13 @@
 """Embedding near-duplicates: exact threshold pairs by dual traversal of cover trees.
 
-Unit vectors lie on a sphere, where a cosine is a distance. The root covers all; its children are
-anchors, and each vector is under the nearest. Under an anchor vectors are dealt into tiles of at
-most ``TILE``, each with a tree of nested levels: a level's centres cover its points within a radius,
-the next level halves it, and a node's first child has its own centre. Pairs of nodes go down the
-levels together: a pair is left when its centres are farther apart than the threshold and both
-covering radii, and counted whole when they are nearer than the threshold less both. Spark deals out
-the pairs of tiles; inside one the traversal is numpy.
+Unit vectors lie on a sphere, where a cosine is a distance. The root covers all. A cell with more than ``TILE``
+vectors is cut by Spark, round after round: each vector goes to the nearest of a few new centres taken from the cell.
+With each round pairs of cells go down too: those that lie farther apart than the threshold and both covering
+radii are left. The last cells are tiles. Each tile's tree is built once and is kept with it: nested levels, where a level's
+centres cover its points within a radius, the next level halves it, and a node's first child has its own centre.
+Pairs of nodes go down the levels together: a pair is left when its centres are farther apart than the
+threshold and both covering radii, and counted whole when they are nearer than the threshold less both.
+Spark deals out the pairs of tiles; inside one the traversal is numpy.
 
 Vectors that are spread evenly over many dimensions leave no such bound to prune by: then all pairs of
 centres are compared, by matrix products, and work grows with the square of the table.
@@ -15,18 +16,23 @@ centres are compared, by matrix products, and work grows with the square of the
 from __future__ import annotations
 
 import math
+import pickle
+import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import components, written
 
 COSINE = 0.95
-ANCHORS = 16
-TILE = 4096
+FAN = 16  # centres at most into which a cell is cut
+TILE = 8192
+CHUNK = 8192  # vectors of a cell that one task deals to its centres
+ROUNDS = 16  # after which a cell that is still too large is dealt by hash
 RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
 SLACK = 1e-9  # of distances, for rounding; whatever it leaves open is decided on single vectors
 
@@ -42,6 +48,28 @@ def _apart(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
 
 
+def _covered(u: np.ndarray, rest: np.ndarray, r: float, block: int = 256) -> list[np.ndarray]:
+    """Groups of ``rest``, each within ``r`` of its first: the first left is a centre, and takes all left within ``r``."""
+    groups = []
+    while len(rest):
+        some = u[rest[:block]]
+        near = _apart(some @ some.T) <= r
+        np.fill_diagonal(near, True)
+        free, centres = np.ones(len(some), bool), []
+        for i in range(len(some)):
+            if free[i]:
+                centres.append(i)
+                free &= ~near[i]
+        near = _apart(u[rest] @ some[centres].T) <= r
+        near[centres, np.arange(len(centres))] = True
+        taken = near.any(axis=1)
+        which = near.argmax(axis=1)
+        order = np.flatnonzero(taken)[np.argsort(which[taken], kind="stable")]
+        groups += np.split(rest[order], np.cumsum(np.bincount(which[taken], minlength=len(centres)))[:-1])
+        rest = rest[~taken]
+    return groups
+
+
 class Tree:
     """Nested levels over the rows of ``u``. ``order`` sorts them so that each node is a run of rows.
 
@@ -55,11 +83,7 @@ class Tree:
             deeper, child = [], []
             for rest in groups:
                 child.append(len(deeper))
-                while len(rest):
-                    near = np.ones(1, bool) if len(rest) == 1 else _apart(u[rest] @ u[rest[0]]) <= r
-                    near[0] = True
-                    deeper.append(rest[near])
-                    rest = rest[~near]
+                deeper += [rest] if len(rest) == 1 else _covered(u, rest, r)
             levels.append((deeper, child))
             groups = deeper
         self.order = np.concatenate(groups) if groups else np.arange(0)
@@ -80,29 +104,80 @@ class Tree:
         self.high.append(rows + 1)
         self.radius.append(np.zeros(len(u)))
 
+    def levels(self) -> bytes:
+        """The tree without its vectors, which are kept in its order, and without the last level."""
+        kept = [(low.astype(np.int32), radius, child.astype(np.int32)) for low, radius, child in zip(self.low, self.radius, self.child, strict=False)]
+        return zlib.compress(pickle.dumps(kept), 1)
+
+    @classmethod
+    def from_levels(cls, levels: bytes, u: np.ndarray) -> Tree:
+        tree = cls.__new__(cls)
+        tree.order, tree.u = np.arange(len(u)), u
+        rows = np.arange(len(u))
+        kept = pickle.loads(zlib.decompress(levels))
+        tree.low = [low.astype(np.int64) for low, _, _ in kept] + [rows]
+        tree.high = [np.append(low[1:], len(u)) for low in tree.low]
+        tree.radius = [radius for _, radius, _ in kept] + [np.zeros(len(u))]
+        tree.child = [child.astype(np.int64) for _, _, child in kept]
+        return tree
+
 
 def _starting(a: Tree, b: Tree, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of nodes of the first level that are near enough, in blocks of rows."""
-    ci, cj = a.u[a.low[0]], b.u[b.low[0]]
-    i_all, j_all = [], []
-    for start in range(0, len(ci), 512):
-        apart = _apart(ci[start : start + 512] @ cj.T)
-        i, j = np.nonzero(apart <= reach + a.radius[0][start : start + 512, None] + b.radius[0][None, :] + SLACK)
-        i_all.append(i + start)
-        j_all.append(j)
-    return np.concatenate(i_all), np.concatenate(j_all)
-
-
-def _children(ptr: np.ndarray, ptr2: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of a child of i and a child of j."""
-    ni, nj = ptr[i + 1] - ptr[i], ptr2[j + 1] - ptr2[j]
-    n = ni * nj
-    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    width = np.repeat(nj, n)
-    return np.repeat(ptr[i], n) + at // width, np.repeat(ptr2[j], n) + at % width
-
-
-def linked(a: Tree, b: Tree, wa: np.ndarray, wb: np.ndarray, cosine: float = COSINE, block: int = 1 << 20):
+    """Pairs of nodes of the first level that are near enough.
+
+    Centres of like radii go together, so that a product in single precision and one limit leave out nearly all; the
+    limit is lower by what rounding may do. What it lets pass is decided in double precision.
+    """
+    i_all, j_all = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    rounding = (a.u.shape[1] + 4) * 2.0**-22
+    like_a, like_b = _like(a.radius[0]), _like(b.radius[0])
+    for rows in like_a:
+        for columns in like_b:
+            far = reach + a.radius[0][rows].max() + b.radius[0][columns].max() + SLACK
+            limit = np.float32(1.0 - far * far / 2.0 - rounding)
+            right = b.u[b.low[0][columns]].astype(np.float32).T
+            for start in range(0, len(rows), 512):
+                part = rows[start : start + 512]
+                i, j = np.nonzero(a.u[a.low[0][part]].astype(np.float32) @ right >= limit)
+                i_all.append(part[i])
+                j_all.append(columns[j])
+    i, j = np.concatenate(i_all), np.concatenate(j_all)
+    near = []
+    for start in range(0, len(i), 1 << 16):
+        x, y = i[start : start + (1 << 16)], j[start : start + (1 << 16)]
+        apart = _apart(np.einsum("ij,ij->i", a.u[a.low[0][x]], b.u[b.low[0][y]]))
+        near.append(apart <= reach + a.radius[0][x] + b.radius[0][y] + SLACK)
+    kept = np.concatenate(near) if near else np.empty(0, bool)
+    return i[kept], j[kept]
+
+
+def _like(radius: np.ndarray) -> list[np.ndarray]:
+    """The nodes without a radius, those with a small one, and so on."""
+    edges = (-1.0, 0.0, 0.125, 0.25, 0.5, 0.75, 4.0)
+    groups = [np.flatnonzero((radius > low) & (radius <= high)) for low, high in zip(edges, edges[1:], strict=False)]
+    return [g for g in groups if len(g)]
+
+
+def _children(ptr: np.ndarray, ptr2: np.ndarray, i: np.ndarray, j: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a child of i and a child of j, ``block`` or a little more at a time."""
+    for start in range(0, len(i), block):
+        x, y = i[start : start + block], j[start : start + block]
+        n = ptr[x + 1] - ptr[x]
+        # A row for each child of i, with the run of j's children.
+        rows = np.repeat(ptr[x] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        low, width = np.repeat(ptr2[y], n), np.repeat(ptr2[y + 1] - ptr2[y], n)
+        sums = np.cumsum(width)
+        first = 0
+        while first < len(rows):
+            before = sums[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(sums, before + block, side="right")))
+            some = width[first:last]
+            at = np.arange(int(some.sum())) - np.repeat(np.cumsum(some) - some, some)
+            yield np.repeat(rows[first:last], some), np.repeat(low[first:last], some) + at
+            first = last
+
+
+def linked(a: Tree, b: Tree, wa: np.ndarray, wb: np.ndarray, cosine: float = COSINE, block: int = 1 << 16):
     """Links between the rows of two trees, or of one with itself (``a is b``).
 
     Returns, for the rows of each tree, the weight of those of the other linked to them, and pairs of
@@ -114,12 +189,13 @@ def linked(a: Tree, b: Tree, wa: np.ndarray, wb: np.ndarray, cosine: float = COS
     sums_a, sums_b = np.concatenate([[0], np.cumsum(wa)]), np.concatenate([[0], np.cumsum(wb)])
     own = np.zeros(len(a.u) + 1)  # runs that are linked with themselves count their own weight too
     edges: list[tuple[np.ndarray, np.ndarray]] = []
-    todo = [(0, *_starting(a, b, reach))]
+    i, j = _starting(a, b, reach)
+    todo = [iter([(i[n : n + block], j[n : n + block]) for n in range(0, len(i), block)])]  # of each depth, what is left
     while todo:
-        depth, i, j = todo.pop()
-        if len(i) > block and depth < len(RADII):
-            half = len(i) // 2
-            todo += [(depth, i[:half], j[:half]), (depth, i[half:], j[half:])]
+        depth = len(todo) - 1
+        i, j = next(todo[-1], (None, None))
+        if i is None:
+            todo.pop()
             continue
         ai, bj = a.low[depth][i], b.low[depth][j]
         cos = np.einsum("ij,ij->i", a.u[ai], b.u[bj])
@@ -155,11 +231,7 @@ def linked(a: Tree, b: Tree, wa: np.ndarray, wb: np.ndarray, cosine: float = COS
                 centres = np.repeat(centre[first], n)
                 edges.append((centres, rows) if flip else (rows, centres))
             edges.append((la, lb))
-        i, j = i[near], j[near]
-        if len(i):
-            for start in range(0, len(i), block):
-                part = slice(start, start + block)
-                todo.append((depth + 1, *_children(a.child[depth], b.child[depth], i[part], j[part])))
+        todo.append(_children(a.child[depth], b.child[depth], i[near], j[near], block))
     count_a, count_b = np.cumsum(change_a)[:-1], np.cumsum(change_b)[:-1]
     if same:
         count_a = count_a - np.where(np.cumsum(own)[:-1] > 0, wa, 0)
@@ -179,97 +251,145 @@ def _lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def _tiles(vectors: DataFrame, anchors: int, tile: int) -> tuple[DataFrame, DataFrame]:
-    """Tiles, one row each with its vectors as bytes, and the pairs of tiles that are near enough."""
-    spark = vectors.sparkSession
-    reach = math.sqrt(2.0 - 2.0 * COSINE)
-    # A bounded sample, by hash; it decides how tiles are formed and no result.
-    picked = vectors.select("vec_id", "v", F.size("v").alias("dim")).orderBy(F.xxhash64("vec_id")).limit(anchors * 4).collect()
-    by_dim: dict[int, list] = {}
-    for row in picked:
-        if len(by_dim.setdefault(row.dim, [])) < anchors:
-            by_dim[row.dim].append(row.v)
-    centres = {dim: unit(np.array(vs)) for dim, vs in by_dim.items()}
-
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            anchor, apart = np.full(len(batch), -1, np.int64), np.full(len(batch), 2.0)
-            dims = batch.column(2).to_numpy()
-            for dim in np.unique(dims):
-                if int(dim) in centres:  # vectors of a length that the sample has none of are under the root
-                    mine = np.flatnonzero(dims == dim)
-                    u = unit(batch.column(1).take(pa.array(mine)).flatten().to_numpy(zero_copy_only=False).reshape(len(mine), dim))
-                    cos = u @ centres[int(dim)].T
-                    anchor[mine] = cos.argmax(axis=1)
-                    apart[mine] = _apart(cos.max(axis=1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(anchor), pa.array(apart)], names=[*batch.schema.names, "anchor", "apart"])
+def _matrix(table: pa.Table, dim: int) -> np.ndarray:
+    return unit(table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
 
-    kind = dict(vectors.dtypes)["v"]
-    placed = vectors.select("vec_id", "v", F.size("v").alias("dim"), "copies").mapInArrow(
-        nearest, f"vec_id bigint, v {kind}, dim int, copies bigint, anchor bigint, apart double"
+
+def _cut(rows: DataFrame, sizes: DataFrame, kind: str, fan: int, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of too large cells under the nearest of new centres, and those: ``parent, cell, centre``.
+
+    ``sizes`` has the cells and their ``n``. A cell gets half as many centres again as it has tiles, ``fan`` at most, those of
+    its vectors with the lowest hashes. Chunks of a cell meet its centres, so no cell is one task.
+    """
+    hashed = F.xxhash64("vec_id", F.lit("centre"))
+    lowest = Window.partitionBy("cell").orderBy("hash", "vec_id")
+    few = rows.select("cell", "vec_id", "v", hashed.alias("hash")).withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= fan)
+    wanted = F.greatest(F.lit(2), F.ceil(F.col("n") * 1.5 / tile))
+    few = few.join(sizes, "cell").where(F.col("nth") <= wanted)
+    centres = written(
+        few.select(F.col("cell").alias("parent"), F.concat_ws("/", "cell", F.col("nth").cast("string")).alias("cell"), F.col("v").alias("centre"))
+    )
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    salted = rows.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), chunks).cast("int"))
+    copied = centres.join(sizes.withColumnRenamed("cell", "parent"), "parent")
+    copied = copied.select("parent", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.col("cell").alias("child"), F.col("centre").alias("v"))
+
+    def deal(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left):
+            return shape.empty_table()
+        dim = left.column("dim")[0].as_py()
+        right = right.sort_by("child")
+        cos = _matrix(left, dim) @ _matrix(right, dim).T
+        which = cos.argmax(axis=1)
+        out = left.select(["vec_id", "v", "copies", "dim"]).append_column("parent", left.column("cell"))
+        out = out.append_column("cell", right.column("child").combine_chunks().take(pa.array(which)))
+        return out.append_column("apart", pa.array(_apart(cos.max(axis=1)))).cast(shape)
+
+    item = pa.float32() if "float" in kind else pa.float64()
+    shape = pa.schema(
+        [("vec_id", pa.int64()), ("v", pa.list_(item)), ("copies", pa.int64()), ("dim", pa.int32()), ("parent", pa.string()), ("cell", pa.string()), ("apart", pa.float64())]
     )
-    placed = written(placed)
-    sizes = placed.groupBy("dim", "anchor").count()
-    parts = F.ceil(F.col("count") / tile)
-    dealt = placed.join(sizes, ["dim", "anchor"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), parts))
-    dealt = dealt.withColumn("tile", F.struct("dim", "anchor", "part"))
+    dealt = salted.select("cell", "chunk", "vec_id", "v", "copies", "dim").groupBy("cell", "chunk").cogroup(
+        copied.groupBy("parent", "chunk")
+    ).applyInArrow(deal, f"vec_id bigint, v {kind}, copies bigint, dim int, parent string, cell string, apart double")
+    return written(dealt), centres
+
+
+def _distance(a: str, b: str) -> Column:
+    """Between the unit vectors of two columns."""
+    def length(v):
+        most = F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
+        scaled = F.transform(v, lambda x: x.cast("double") / most)
+        norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
+        return F.transform(scaled, lambda x: x / norm)
+
+    gaps = F.zip_with(length(F.col(a)), length(F.col(b)), lambda x, y: (x - y) * (x - y))
+    return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x))
+
+
+def _tiles(vectors: DataFrame, fan: int, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Tiles, one row each with its vectors as bytes and its tree, and the pairs of tiles that are near enough."""
+    kind = dict(vectors.dtypes)["v"]
+    reach = math.sqrt(2.0 - 2.0 * COSINE)
+    root = F.concat(F.lit("d"), F.size("v").cast("string"))
+    rows = written(vectors.select("vec_id", "v", "copies", F.size("v").alias("dim"), root.alias("cell")))
+    pairs = rows.select(F.col("cell").alias("a"), F.col("cell").alias("b")).distinct()
+    finished, spread = [], []  # rows whose cell is a tile; rows of cells that cannot be cut
+    level = None  # all cells but roots: their centres and radii
+    for _ in range(ROUNDS):
+        sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
+        large = written(sizes.where(F.col("n") > tile))
+        if large.isEmpty():
+            break
+        finished.append(rows.join(large, "cell", "left_anti").select("vec_id", "v", "copies", "dim", "cell"))
+        dealt, centres = _cut(rows.join(large, "cell", "left_semi"), large, kind, fan, tile)
+        cells = dealt.groupBy("parent", "cell").agg(F.count("*").alias("m"), F.max("apart").alias("radius"))
+        cells = written(cells.join(centres, ["parent", "cell"]).join(large.withColumnRenamed("cell", "parent"), "parent"))
+        # Down to the children of both cells; a cell that was not cut is its own child.
+        below = cells.select("parent", "cell", "radius", "centre")
+        if level is not None:
+            uncut = level.join(large, "cell", "left_anti")
+            below = below.union(uncut.select(F.col("cell").alias("parent"), "cell", "radius", "centre"))
+        level = below = written(below)
+        left = below.toDF("a", "ca", "ra", "va")
+        right = below.toDF("b", "cb", "rb", "vb")
+        both = pairs.join(left, "a", "left").join(right, "b", "left")
+        one, two = F.coalesce("ca", "a"), F.coalesce("cb", "b")
+        near = F.col("va").isNull() | F.col("vb").isNull() | (_distance("va", "vb") <= F.col("ra") + F.col("rb") + reach + SLACK)
+        once = (F.col("a") != F.col("b")) | (one <= two)
+        pairs = written(both.where(once & near).select(one.alias("a"), two.alias("b")))
+        # One child has all of its parent: its vectors cannot be told apart by their centres.
+        stuck = cells.where("m = n").select("cell")
+        spread.append(dealt.join(stuck, "cell", "left_semi").select("vec_id", "v", "copies", "dim", "cell"))
+        rows = dealt.join(stuck, "cell", "left_anti").select("vec_id", "v", "copies", "dim", "cell")
+    spread.append(rows)
+    every = reduce(DataFrame.union, finished + spread)
+    # Cells that are still too large are dealt by hash.
+    parts = F.ceil(F.col("n") / tile)
+    dealt = every.join(every.groupBy("cell").agg(F.count("*").alias("n")), "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), parts))
     width = np.dtype("<f4" if "float" in kind else "<f8")
 
     def build(table: pa.Table) -> pa.Table:
         dim = table.column("dim")[0].as_py()
         v = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(width)
+        tree = Tree(unit(v))
+        held = {
+            "ids": table.column("vec_id").to_numpy()[tree.order].astype("<i8"), "copies": table.column("copies").to_numpy()[tree.order].astype("<i8"),
+            "vectors": v[tree.order],
+        }
+        columns = {name: pa.array([x.tobytes()], pa.binary()) for name, x in held.items()}
         return pa.table(
-            {
-                "dim": pa.array([dim], pa.int32()), "anchor": table.column("anchor").slice(0, 1), "part": table.column("part").slice(0, 1),
-                "radius": pa.array([float(table.column("apart").to_numpy().max())]), "ids": pa.array([table.column("vec_id").to_numpy().astype("<i8").tobytes()], pa.binary()),
-                "copies": pa.array([table.column("copies").to_numpy().astype("<i8").tobytes()], pa.binary()), "vectors": pa.array([v.tobytes()], pa.binary()),
-            }
-        )
-
-    tiles = dealt.select("dim", "anchor", "part", "apart", "vec_id", "copies", "v").groupBy("dim", "anchor", "part").applyInArrow(
-        build, "dim int, anchor bigint, part bigint, radius double, ids binary, copies binary, vectors binary"
-    )
-    tiles = written(tiles.withColumn("tile", F.concat_ws("/", "dim", "anchor", "part")))
-    # Down from the pair (root, root): pairs of anchors, a bounded table, then of tiles under both.
-    between = [
-        (dim, i, j, float(_apart(u[i] @ u[j])))
-        for dim, u in centres.items()
-        for i in range(len(u))
-        for j in range(i, len(u))
-    ]
-    outside = tiles.where("anchor < 0").select("dim").distinct()
-    pairs = spark.createDataFrame(between or [(0, 0, 0, 0.0)], "dim int, anchor bigint, anchor_b bigint, between double")
-    pairs = pairs.union(outside.select("dim", F.lit(-1).cast("bigint"), F.lit(-1).cast("bigint"), F.lit(0.0)))
-    short = tiles.select("dim", "anchor", "radius", "tile")
-    near = (
-        pairs.join(short.withColumnsRenamed({"tile": "a", "radius": "ra"}), ["dim", "anchor"])
-        .join(short.withColumnsRenamed({"anchor": "anchor_b", "tile": "b", "radius": "rb"}), ["dim", "anchor_b"])
-        .where((F.col("anchor") != F.col("anchor_b")) | (F.col("a") <= F.col("b")))
-        .where(F.col("between") <= F.col("ra") + F.col("rb") + reach + SLACK)
-        .select("a", "b")
+            {"cell": table.column("cell").slice(0, 1), "part": table.column("part").slice(0, 1), "dim": pa.array([dim], pa.int32()), **columns, "levels": pa.array([tree.levels()], pa.binary())}
+        )
+
+    tiles = dealt.select("cell", "part", "dim", "vec_id", "copies", "v").groupBy("cell", "part").applyInArrow(
+        build, "cell string, part bigint, dim int, ids binary, copies binary, vectors binary, levels binary"
     )
+    tiles = written(tiles.withColumn("tile", F.concat_ws("#", "cell", "part")))
+    names = tiles.select("cell", "tile")
+    near = pairs.join(names.toDF("a", "ta"), "a").join(names.toDF("b", "tb"), "b")
+    near = near.where("a <> b OR ta <= tb").select(F.col("ta").alias("a"), F.col("tb").alias("b"))
     return tiles, near
 
 
-def links(vectors: DataFrame, anchors: int = ANCHORS, tile: int = TILE) -> DataFrame:
+def links(vectors: DataFrame, fan: int = FAN, tile: int = TILE) -> DataFrame:
     """``vec_id, n, other`` per vector and pair of tiles with links: how many vectors it is linked with
     there, copies counted, and the smallest vector it is connected with.
 
     ``vectors`` has different vectors: ``vec_id``, ``v`` (finite, not zero), ``copies``.
     """
-    tiles, near = _tiles(vectors, anchors, tile)
+    tiles, near = _tiles(vectors, fan, tile)
     pair = F.concat_ws("|", "a", "b").alias("pair")
     members = near.select(pair, F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
-    both = members.join(tiles.select("tile", "dim", "ids", "copies", "vectors"), "tile")
+    both = members.join(tiles.select("tile", "dim", "ids", "copies", "vectors", "levels"), "tile")
     width = np.dtype("<f4" if "float" in dict(vectors.dtypes)["v"] else "<f8")
 
     def compare(table: pa.Table) -> pa.Table:
         trees, ids, copies = [], [], []
-        for row in table.select(["dim", "ids", "copies", "vectors"]).to_pylist():
-            tree = Tree(unit(np.frombuffer(row["vectors"], width).reshape(-1, row["dim"])))
-            trees.append(tree)
-            ids.append(np.frombuffer(row["ids"], "<i8")[tree.order])
-            copies.append(np.frombuffer(row["copies"], "<i8")[tree.order].astype(np.float64))
+        for row in table.select(["dim", "ids", "copies", "vectors", "levels"]).to_pylist():
+            trees.append(Tree.from_levels(row["levels"], unit(np.frombuffer(row["vectors"], width).reshape(-1, row["dim"]))))
+            ids.append(np.frombuffer(row["ids"], "<i8"))
+            copies.append(np.frombuffer(row["copies"], "<i8").astype(np.float64))
         a, b = trees[0], trees[-1]
         count_a, count_b, i, j = linked(a, b, copies[0], copies[-1])
         if a is b:
@@ -285,7 +405,7 @@ def links(vectors: DataFrame, anchors: int = ANCHORS, tile: int = TILE) -> DataF
     return both.groupBy("pair").applyInArrow(compare, "vec_id bigint, n bigint, other bigint")
 
 
-def digest(embeddings: DataFrame, anchors: int = ANCHORS, tile: int = TILE) -> DataFrame:
+def digest(embeddings: DataFrame, fan: int = FAN, tile: int = TILE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of the embeddings.
 
     Vectors that are null, empty, zero or hold a null or a number that is not finite link with nothing,
@@ -300,7 +420,7 @@ def digest(embeddings: DataFrame, anchors: int = ANCHORS, tile: int = TILE) -> D
     distinct = rows.where("fine").groupBy("v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
     # Two vectors may have one id: inside, each is known by a number of its own.
     distinct = written(distinct.select(F.xxhash64("vec_id", "v").alias("own"), "vec_id", "v", "copies"))
-    found = written(links(distinct.select(F.col("own").alias("vec_id"), "v", "copies"), anchors, tile))
+    found = written(links(distinct.select(F.col("own").alias("vec_id"), "v", "copies"), fan, tile))
     counts = found.groupBy(F.col("vec_id").alias("own")).agg(F.sum("n").alias("n"))
     roots = components(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
     known = (
