@@ -9,6 +9,7 @@ from millrace.llm import (
     ball_codes, covertree, decontamination, hard_negatives, licenses, line_dedup, mixing, packing, quality, secrets, simhash, token_counts,
     toxicity,
 )
+from millrace.llm.common import written
 from millrace.plans.registry import query
 
 
@@ -104,34 +105,35 @@ def _tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _licenses_oracle() -> str:
-    def canonical(text: str) -> str:
-        plain = rf"regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', ' ', 'g')"
-        plain = rf"(' ' || regexp_replace({plain}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') || ' ')"
-        for spelling, usual in licenses.SPELLINGS:
-            plain = f"replace({plain}, ' {spelling} ', ' {usual} ')"
-        return f"trim(regexp_replace({plain}, ' +', ' ', 'g'))"
-
+    plain = f"regexp_replace(lower(coalesce(text, '')), '{licenses.NOISE}', ' ', 'g')"
+    plain = rf"regexp_replace({plain}, '[^\p{{L}}\p{{N}}\n]+', '', 'g')"
+    for spelling, usual in licenses.SPELLINGS:
+        plain = f"replace({plain}, '{spelling}', '{usual}')"
     rows = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.LICENSES)
     return rf"""
 WITH known AS (
-  SELECT {canonical("text")} AS c, string_agg(DISTINCT license, '|' ORDER BY license) AS license
-  FROM (VALUES {rows}) AS t(license, text) GROUP BY 1),
-d AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS ls, regexp_split_to_array(text, '\n[ \t\r]*\n\s*') AS ps
-  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
-units AS (
-  SELECT doc_id, 'text' AS unit, 0 AS place, text AS u FROM d
-  UNION ALL SELECT * FROM (
-    SELECT doc_id, 'paragraph', unnest(range(len(ps))), unnest(ps) AS u FROM d WHERE len(ps) > 1) WHERE contains(u, chr(10))
-  UNION ALL SELECT doc_id, 'line', unnest(range(len(ls))), unnest(ls) FROM d WHERE len(ls) > 1)
-SELECT doc_id, unit, cast(place AS int) AS place, license FROM (
-  SELECT doc_id, unit, place, {canonical("u")} AS c FROM units) JOIN known USING (c)
+  SELECT c, length(c) AS n, string_agg(DISTINCT license, '|' ORDER BY license) AS license
+  FROM (SELECT license, replace({plain}, chr(10), '') AS c FROM (VALUES {rows}) AS t(license, text)) WHERE length(c) >= {licenses.HEAD} GROUP BY c),
+d AS (SELECT row_number() OVER () AS r, doc_id, string_split({plain}, chr(10)) AS ls FROM documents),
+cells AS (SELECT * FROM (SELECT r, doc_id, unnest(range(len(ls))) AS place, unnest(ls) AS l FROM d) WHERE l <> ''),
+sums AS (
+  SELECT *, sum(length(l)) OVER w AS upto, row_number() OVER w AS k, count(*) OVER (PARTITION BY r) AS size
+  FROM cells WINDOW w AS (PARTITION BY r ORDER BY place)),
+whole AS (SELECT r, string_agg(l, '' ORDER BY place) AS t FROM cells GROUP BY r),
+runs AS (
+  SELECT s.r, s.doc_id, s.place, s.k, s.size, known.license, s.upto - length(s.l) + n AS stop
+  FROM sums AS s JOIN whole USING (r)
+  JOIN known ON left(c, {licenses.HEAD}) = substr(t, cast(s.upto - length(s.l) + 1 AS bigint), {licenses.HEAD}) AND c = substr(t, cast(s.upto - length(s.l) + 1 AS bigint), n))
+SELECT runs.doc_id, CASE WHEN e.k - runs.k + 1 = runs.size THEN 'text' WHEN e.k = runs.k THEN 'line' ELSE 'lines' END AS unit,
+       cast(runs.place AS int) AS place, cast(e.k - runs.k + 1 AS int) AS n_lines, license
+FROM runs JOIN sums AS e ON e.r = runs.r AND e.upto = runs.stop
 """
 
 
 @query("op9_licenses", _licenses_oracle())
 def _licenses(spark: SparkSession, folder: str) -> DataFrame:
-    known = F.broadcast(licenses.digests(licenses.known(spark)))  # as many rows as LICENSES has
+    # Written, as its heads are read first; as many rows as LICENSES has different texts.
+    known = written(licenses.digests(licenses.known(spark)))
     return licenses.matches(_read(spark, folder, "documents"), known)
 
 
