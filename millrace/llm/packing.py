@@ -4,7 +4,7 @@ Documents become pieces: their tokens and an end token, cut where a document is
 sequence. Pieces of one length are alike, so the packing is found on the counts per length, a table
 of as many rows as a sequence has tokens however many pieces there are. Bin completion fills a
 sequence around the largest piece left: undominated fillings in order of waste, searched depth first
-with the best-fit packing as the first incumbent and the waste that an improvement may have as bound.
+with best-fit packings as the first incumbents and the waste that an improvement may have as bound.
 The packing is a list of fillings with repeats; each piece looks up its place by its rank among
 pieces of its length.
 """
@@ -12,6 +12,7 @@ pieces of its length.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from array import array
 from bisect import bisect_right
@@ -30,10 +31,13 @@ from millrace.llm.token_counts import _SPELLING, public_path
 
 LENGTH = 2048
 END = 0
-REMEMBERED = 500_000  # words a worker keeps the tokens of; when there are more it starts anew
+REMEMBERED = 500_000  # words, and parts of words, that a worker keeps the tokens of; when there are more it starts anew
+SLICE_BYTES = 4 << 20  # of texts whose words are looked up at a time
+GATHERED = 1 << 18  # words whose tokens are put together at a time
 NODES = 2_000  # search budget of bin completion; the best packing found so far always stands
-BRANCHES = 6  # fillings tried at a node
-BUCKET_ROWS = 20_000
+SPARED = (0, 32, 64, 128, 192, 256, 320, 384, 448, 512)  # room that a filling may leave and still spare small pieces
+STEPS = 20_000  # of the enumeration of one node's fillings
+BUCKET_ROWS = 5_000  # pieces of one length that are numbered in one task, on average
 
 _UNSURE = regex.compile("[\u0130\u0250-\U0010ffff]")  # what the two sides might lower or class differently
 _PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -50,50 +54,66 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
+        self.tokenize = self.tokenizer.model.tokenize
         self._forget()
 
     def _forget(self) -> None:
+        """The memory: word -> number, and of each number where its ids end in one growing buffer; piece -> its ids' place there."""
         self.codes: dict[bytes, int] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.flat, self.offsets = array("I"), array("q", [0])
-
-    def _word_ids(self, word: str) -> list[int]:
-        if _UNSURE.search(word) or any(s in word for s in self.special):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        ids: list[int] = []
+        self.pieces: dict[str, int] = {}  # begin and number of ids, packed
+        self.flat, self.offsets = array("I"), array("i", [0])
+
+    def _put_ids(self, word: str) -> None:
+        """Put the word's ids at the end of the buffer."""
+        flat = self.flat
+        if (not word.isascii() and _UNSURE.search(word)) or self.special(word):
+            flat.extend(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            return
         for piece in _PRE_TOKEN.findall(word.lower()):
             known = self.pieces.get(piece)
-            if known is None:
-                spelled = piece.encode().decode("latin-1").translate(_SPELLING)
-                known = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-            ids += known
-        return ids
+            if known is not None:
+                flat.extend(flat[known >> 16 : (known >> 16) + (known & 0xFFFF)])
+                continue
+            begin = len(flat)
+            flat.extend([t.id for t in self.tokenize(piece.encode().decode("latin-1").translate(_SPELLING))])
+            if len(flat) - begin < 1 << 16:
+                self.pieces[piece] = begin << 16 | len(flat) - begin
 
     def _learn(self, word: bytes) -> int:
         code = self.codes[word] = len(self.codes)
-        self.flat.extend(self._word_ids(word.decode()))
+        self._put_ids(word.decode())
         self.offsets.append(len(self.flat))
         return code
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of UTF-8 texts, one after another, and where each text's begin (and the last's end)."""
+        """The ids of UTF-8 texts, one after another, and where each text's begin (and the last's end).
+
+        The memory holds no more than ``REMEMBERED`` words and those of the texts given.
+        """
         if len(self.codes) > REMEMBERED or len(self.pieces) > REMEMBERED:
             self._forget()
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
         get = self.codes.get
         distinct = [get(w) if w in self.codes else self._learn(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()]
-        at = np.array(distinct, np.int64)[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int64)
-        flat, offsets = np.array(self.flat, np.uint32), np.array(self.offsets)
+        at = np.array(distinct, np.int32)[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int32)
+        # Views, not copies; they end with this call, before the buffers grow again.
+        flat, offsets = np.frombuffer(self.flat, np.uint32) if self.flat else np.empty(0, np.uint32), np.frombuffer(self.offsets, np.int32)
         n = offsets[at + 1] - offsets[at]
-        ends = np.concatenate([[0], np.cumsum(n)])
+        ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
         bounds = ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
-        ids = flat[np.repeat(offsets[at] - ends[:-1], n) + np.arange(ends[-1])]
+        ids = np.empty(int(ends[-1]), np.uint32)
+        for low in range(0, len(at), GATHERED):
+            some, count = offsets[at[low : low + GATHERED]], n[low : low + GATHERED]
+            begin, end = ends[low], ends[min(low + GATHERED, len(at))]
+            shift = some - (ends[low : low + len(some)] - begin)
+            ids[begin:end] = flat[np.repeat(shift, count) + np.arange(end - begin)]
         return ids, bounds
 
 
-def slices(column: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, pa.Array]]:
+def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """A column of texts in runs of about ``most`` bytes, with the row each begins at; nulls are empty."""
     column = pc.fill_null(column, "" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
     sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -135,6 +155,7 @@ def pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", length: int =
                         for column, value in zip(rows, values, strict=False):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(rows, shape, strict=True)], schema=schema)
+            pa.default_memory_pool().release_unused()
 
     text = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
     return docs.selectExpr("cast(doc_id as bigint)", "text").mapInArrow(cut, text)
@@ -198,109 +219,179 @@ def _single(counts: np.ndarray, most: int) -> int:
     return int(there[-1]) if len(there) else 0
 
 
-def fillings(counts: np.ndarray, room: int, waste: int, most: int = BRANCHES) -> Iterator[tuple[tuple[int, ...], int]]:
-    """Undominated fillings of a room in order of waste: ``(lengths, waste)``, at most ``most``.
+def _dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
+    """Whether the pieces of ``other`` can be laid side by side into places as long as the pieces of ``one``."""
+    rooms = list(one)
+
+    def lay(i: int) -> bool:
+        if i == len(other):
+            return True
+        for k, room in enumerate(rooms):
+            if room >= other[i] and room not in rooms[:k]:
+                rooms[k] -= other[i]
+                if lay(i + 1):
+                    return True
+                rooms[k] += other[i]
+        return False
+
+    return sum(one) >= sum(other) and (len(other) > 8 or lay(0)) and (len(other) <= 8 or one == other)
+
 
-    Large rooms take the largest pieces until three more can fill them; then one, two or three pieces
-    of exactly the sum sought. A single piece dominates all fillings that are no longer than it is.
+def _sums(there: list[int], room: int) -> int:
+    """Sums up to ``room`` that pieces of these lengths can have, any number of each, as bits of a number."""
+    mask, sums = (1 << (room + 1)) - 1, 1
+    for x in there:
+        step = x
+        while step <= room:
+            sums |= sums << step & mask
+            step *= 2
+    return sums
+
+
+def fillings(counts: np.ndarray, room: int, waste: int, steps: int = STEPS) -> Iterator[tuple[tuple[int, ...], int]]:
+    """All undominated fillings of a room, one after another, in order of waste: ``(lengths, waste)``.
+
+    Of one sum those with large pieces come first. A filling that an earlier one dominates is left out; a
+    single piece dominates all fillings that are no longer than it is. ``steps`` bounds the whole enumeration.
     """
-    counts, head = counts.copy(), []
-    while (largest := _single(counts, room)) and room > 3 * largest:
-        head.append(largest)
-        counts[largest] -= 1
-        room -= largest
-    if not largest:
+    left = counts[: room + 1].copy()
+    there = np.flatnonzero(left).tolist()[::-1]
+    if not there:
         if room <= waste:
-            yield tuple(head), room
+            yield (), room
         return
-    # Sums that one, two and three pieces can have, as bits of a number.
-    mask = (1 << (room + 1)) - 1
-    there = np.flatnonzero(counts[: room + 1]).tolist()
-    one = sum(1 << x for x in there)
-    two = three = 0
-    for x in there:
-        two |= one << x
-    two &= mask
-    for x in there:
-        three |= two << x
-    sums, given = (one | two | three) & mask, 0
-    while sums and given < most:
-        target = sums.bit_length() - 1
-        lost = room - target
-        if lost > waste:
-            return
-        if counts[target]:
-            yield (*head, target), lost
+    sums = _sums(there, room)
+
+    def exact(target: int, start: int) -> Iterator[tuple[int, ...]]:
+        nonlocal steps
+        for i in range(start, len(there)):
+            x = there[i]
+            if x > target or not left[x]:
+                continue
+            steps -= 1
+            if steps < 0:
+                return
+            if x == target:
+                yield (x,)
+            elif target - x >= there[-1] and sums >> (target - x) & 1:
+                left[x] -= 1
+                for rest in exact(target - x, i):
+                    yield (x, *rest)
+                left[x] += 1
+
+    earlier: list[tuple[int, ...]] = []
+    for lost in range(min(room, waste) + 1):
+        target = room - lost
+        if target == 0:
+            if not earlier:
+                yield (), lost
             return
-        found = _exact_pair(counts, target) or _exact_triple(counts, target, there, two)
-        if found:
-            yield (*head, *found), lost
-            given += 1
-        sums ^= 1 << target
-
-
-def _exact_pair(counts: np.ndarray, target: int) -> tuple[int, ...] | None:
-    half = target // 2
-    low = counts[1 : half + 1]
-    high = counts[target - 1 : target - half - 1 : -1] if target - half - 1 >= 0 else counts[target - 1 :: -1]
-    fits = np.flatnonzero((low > 0) & (high[: len(low)] > 0))
-    for small in (fits + 1).tolist():  # the smallest partner goes with the largest piece
-        if small * 2 != target or counts[small] > 1:
-            return (target - small, small)
-    return None
-
-
-def _exact_triple(counts: np.ndarray, target: int, there: list[int], pairs: int) -> tuple[int, ...] | None:
-    for largest in reversed(there):
-        if largest < target and pairs >> (target - largest) & 1:
-            counts[largest] -= 1
-            pair = _exact_pair(counts, target - largest)
-            counts[largest] += 1
-            if pair:
-                return tuple(sorted((largest, *pair), reverse=True))
-    return None
+        if not sums >> target & 1:
+            continue
+        for found in exact(target, 0):
+            if not any(_dominates(one, found) for one in earlier[-32:]):
+                earlier.append(found)
+                yield found, lost
+                if len(found) == 1:
+                    return
+
+
+def _sparing(counts: np.ndarray, room: int, spared: int) -> tuple[int, ...] | None:
+    """One or two pieces that fill a room but for ``spared``: they leave small pieces to fill others."""
+    there = np.flatnonzero(counts[: room + 1])
+    if not len(there):
+        return None
+    one = int(there[-1])
+    if room - one <= spared:
+        return (one,)
+    # Each with the largest that fits beside it.
+    beside = np.searchsorted(there, room - there, side="right") - 1
+    sums = np.where(beside >= 0, there + there[beside], 0)
+    alone = (beside >= 0) & (there[beside] == there) & (counts[there] < 2)
+    lower = np.maximum(beside - 1, 0)
+    sums = np.where(alone, np.where(beside > 0, there + there[lower], 0), sums)
+    beside = np.where(alone, lower, beside)
+    best = int(sums.argmax())
+    if not sums[best] or room - sums[best] > spared:
+        return None
+    return tuple(sorted((int(there[best]), int(there[beside[best]])), reverse=True))
+
+
+def _filling(pieces: tuple[int, ...]) -> tuple:
+    return tuple((x, pieces.count(x)) for x in sorted(set(pieces), reverse=True))
+
+
+def _times(left: np.ndarray, filling: tuple) -> int:
+    return min(int(left[length]) // n for length, n in filling)
+
+
+def dive(counts: np.ndarray, size: int, spared: int) -> list[tuple[tuple, int]]:
+    """A packing by the first choice at each node: one or two pieces that spare small ones, else the least waste."""
+    left, path = counts.copy(), []
+    while largest := _single(left, size):
+        left[largest] -= 1
+        others = _sparing(left, size - largest, spared) if spared else None
+        if others is None:
+            others = next(fillings(left, size - largest, size), ((), 0))[0]
+        left[largest] += 1
+        filling = _filling((largest, *others))
+        times = _times(left, filling)
+        for length, n in filling:
+            left[length] -= n * times
+        path.append((filling, times))
+    return path
 
 
 def bin_completion(counts: list[int], size: int, nodes: int = NODES) -> list[tuple[tuple, int]]:
-    """The packing with the fewest sequences that the search finds; never more than best-fit has."""
+    """The packing with the fewest sequences that the search finds; never more than best-fit has.
+
+    Incumbents are best-fit and a few dives; then all undominated fillings around the largest piece are searched
+    depth first. A node is left when its waste is more than an improvement may have, or when what is left needs as many
+    sequences as would make it no better. ``nodes`` bounds the search; without that bound it would be complete.
+    """
     best = best_fit(counts, size)
     used, least = sum(times for _, times in best), lower_bound(counts, size)
     total = sum(length * n for length, n in enumerate(counts))
-    # A node: counts left, waste so far, sequences so far, and the fillings not yet tried.
     start = np.array(counts, np.int64)
+    for spared in SPARED if nodes else ():
+        if used > least:
+            path = dive(start, size, spared)
+            if (n := sum(times for _, times in path)) < used:
+                best, used = path, n
+
+    def tries(left: np.ndarray, waste: int):
+        """A node's children. Each filling is taken as often as can be, and after all of them once."""
+        largest = _single(left, size)
+        for once in (False, True):
+            rest = left.copy()
+            rest[largest] -= 1
+            allowed = min((used - 1) * size - total - waste, size - largest)
+            for others, lost in fillings(rest, size - largest, allowed):
+                filling = _filling((largest, *others))
+                times = _times(left, filling)
+                if lost:
+                    times = max(1, min(times, ((used - 1) * size - total - waste) // lost))
+                if not once or times > 1:
+                    yield filling, 1 if once else times, lost
+
     path: list[tuple[tuple, int]] = []
-    stack: list = [(start, 0, 0, None)]
+    stack: list = [(start, 0, 0, None)]  # counts left, waste and sequences so far, children not yet tried
     while stack and used > least and nodes > 0:
-        left, waste, so_far, tries = stack.pop()
-        allowed = (used - 1) * size - total  # an improvement wastes no more
-        if tries is None:
+        left, waste, so_far, children = stack.pop()
+        if children is None:
             nodes -= 1
-            largest = _single(left, size)
-            if not largest:
+            if not left.any():
                 if so_far < used:
                     best, used = list(path), so_far
-                if path:
-                    path.pop()
-                continue
-            if waste > allowed:
-                if path:
-                    path.pop()
-                continue
-            rest = left.copy()
-            rest[largest] -= 1
-            tries = ((largest, found) for found in fillings(rest, size - largest, min(allowed - waste, size - largest)))
-        choice = next(tries, None)
+            elif waste <= (used - 1) * size - total and so_far + lower_bound(left.tolist(), size) < used:
+                children = tries(left, waste)
+        choice = next(children, None) if children else None
         if choice is None:
             if path:
                 path.pop()
             continue
-        stack.append((left, waste, so_far, tries))
-        largest, (others, lost) = choice
-        filling = tuple((length, (largest, *others).count(length)) for length in sorted({largest, *others}, reverse=True))
-        # The same filling again and again while it can be had and its waste allows.
-        times = min(int(left[length]) // n for length, n in filling)
-        if lost:
-            times = max(1, min(times, (allowed - waste) // lost))
+        stack.append((left, waste, so_far, children))
+        filling, times, lost = choice
         after = left.copy()
         for length, n in filling:
             after[length] -= n * times
