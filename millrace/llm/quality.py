@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import WORD, let, words
 
 SAMPLE_ROWS = 1000
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")  # measures that the digest returns
+OF_WORDS = {"n_words", "word_chars", "n_repeat_words"}  # measures of a text's words
 
 
 def _windows(found: Column) -> Column:
@@ -184,16 +186,17 @@ def plan(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SA
 
 
 def rejected_by(rules: Iterable[Rule], text: str = "text", given=()) -> Column:
-    """The first of the rules that rejects a document, null if none does."""
+    """The first of the rules that rejects a document, null if none does. What is ``given`` is not computed anew,
+    and the words are not found where all measures of them are given."""
 
     def cascade(found):
         measures = Measures(F.col(text), found, given)
-        chain = F.when(F.size(found) < 0, F.lit(""))  # never: a chain to hang the rules on
+        chain = F.when(F.lit(False), F.lit(""))  # a chain to hang the rules on
         for rule in rules:
             chain = chain.when(rule.rejects(measures), F.lit(rule.name))
         return chain
 
-    return let(words(F.col(text)), cascade)
+    return cascade(None) if set(given) >= OF_WORDS else let(words(F.col(text)), cascade)
 
 
 def keep(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -205,21 +208,23 @@ def keep(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SA
     return docs.where(rejected_by(plan(docs, rules, text, sample_rows), text).isNull())
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """The rows, which have a ``text``, with the measures of ``BASE``."""
+    found = docs.withColumn("found", words(F.col("text")))
+    measures = Measures(F.col("text"), F.col("found"))
+    return found.select(*docs.columns, *[getattr(measures, name).alias(name) for name in BASE])
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """Counts of every document with the base verdict and that of the whole cascade.
 
     One row per input row: ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``base_failed``, ``kept``. A null text counts as empty and fails.
     """
-    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    found = docs.select("doc_id", "text", words(F.col("text")).alias("found"))
-    measures = Measures(F.col("text"), F.col("found"))
-    counted = found.select("doc_id", "text", *[getattr(measures, name).alias(name) for name in base])
-    given = Measures(F.col("text"), None, base)
-    failed = BASE_RULES[0].rejects(given) | BASE_RULES[1].rejects(given)
-    extra = RULES[len(BASE_RULES) :]
-    ordered = plan(docs.select("text"), extra)
-    chain = F.when(failed, F.lit("base"))
-    for rule in ordered:
-        chain = chain.when(rule.rejects(given), F.lit(rule.name))
-    return counted.select("doc_id", *base, failed.alias("base_failed"), chain.isNull().alias("kept"))
+    counted = _counted(docs.select("doc_id", "text"))
+    failed = rejected_by(BASE_RULES, given=BASE).isNotNull()
+    # The order is that of rules as they run here: on counted rows that the base rules leave.
+    sample = _counted(docs.select("text").limit(SAMPLE_ROWS)).where(~failed)
+    ordered = plan(sample, RULES[len(BASE_RULES) :], given=BASE)
+    kept = ~failed & rejected_by(ordered, given=BASE).isNull()
+    return counted.select("doc_id", *BASE, failed.alias("base_failed"), kept.alias("kept"))
