@@ -2,11 +2,15 @@
 
 import hashlib
 import re
+import textwrap
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
 pytest.importorskip("millrace.llm")
 from pyspark.sql import functions as F
@@ -103,6 +107,66 @@ def test_secrets_base_and_flow(odd):
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest() and row.spans == ""
 
 
+def test_names_of_any_length():
+    for text in ('cfg["' + "k" * 70 + '_password"] = "Zk3vT9xPq2LmW8"', "secret_" + "x" * 300 + ' = "Zk3vT9xPq2LmW8"', "a." * 400 + 'token: str = "Zk3vT9xPq2LmW8"'):
+        assert [text[a:b] for a, b, _, _ in secrets.literals(text)] == ["Zk3vT9xPq2LmW8"]
+    for part in ("a", "1", "a.", "a-", 'x["a"]', "password: ", "secret = ", "<", '"'):
+        start = time.perf_counter()
+        secrets.literals(part * 40_000 + '= "x" password: y')
+        assert time.perf_counter() - start < 5
+
+
+def plain_base(text):
+    """The base spans, by trying each place and going on by hand."""
+    out, names = [], ("password", "passwd", "secret", "token", "apikey", "api_key")
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+    def run(i, allowed):
+        while i < len(text) and text[i] in allowed:
+            i += 1
+        return i
+
+    i = 0
+    while i < len(text):
+        name = next((n for n in names if lower.startswith(n, i)), None)
+        at = i + len(name) if name else i
+        if name:
+            ends = []
+            for quote in (1, 0) if text[at : at + 1] in ("'", '"') and text[at : at + 1] else (0,):
+                a = run(at + quote, " ")
+                if text[a : a + 1] in (":", "=") and a < len(text):
+                    b = run(a + 1, " ")
+                    for second in (1, 0) if b < len(text) and text[b] in "'\"" else (0,):
+                        c = run(b + second, value)
+                        if c > b + second:
+                            ends.append((b + second, c))
+            if ends:
+                if ends[0][1] - ends[0][0] >= 8:
+                    out.append((i, ends[0][1], "assign"))
+                i = ends[0][1]
+                continue
+        i += 1
+    for kind, head, allowed, least in (("access", "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 16), ("hex", "", set("0123456789abcdef"), 32)):
+        i = 0
+        while i < len(text):
+            end = run(i + len(head), allowed)
+            if text.startswith(head, i) and end > i + len(head):
+                if end - i >= least:
+                    out.append((i, end, kind))
+                i = end
+            else:
+                i += 1
+    return sorted(out, key=lambda s: (s[0], secrets.KINDS.index(s[2]), s[1]))
+
+
+def test_base_spans_against_a_plain_scanner(real):
+    rng = np.random.default_rng(21)
+    parts = ["password", "PASSWD", "Secret", "tokeN", "api_key", "APIKEY", '"', "'", " ", "=", ":", "AKIA", "ABCD1234EFGH", "0123456789abcdef", "deadbeefdeadbeef", "zz9", "é", "\n", "ſecret", "."]
+    texts = ["".join(rng.choice(parts, rng.integers(1, 14))) for _ in range(4000)] + [r.text or "" for r in real.limit(60).collect()]
+    assert [sorted(secrets.base_spans(t), key=lambda s: (s[0], secrets.KINDS.index(s[2]), s[1])) for t in texts] == [plain_base(t) for t in texts]
+
+
 KEY = ["MIIEpAIBAAKCAQEA7bq0Zk3vT9", "xPq2LmW8rYc5NfHs4JdGuE1o6V"]
 
 
@@ -185,6 +249,33 @@ def test_short_lines_with_one_edit_are_alike(spark):
     assert line_dedup.similarity(line_dedup.shingles(long), line_dedup.shingles(long[:-1])) > 0.9
 
 
+def test_lines_alike_share_a_band_and_are_found_alike(real):
+    """Recall of the bands, and the fast comparison against the plain one, on lines with random edits."""
+    rng = np.random.default_rng(23)
+    lines = sorted({x for r in real.collect() for x in (r.text or "").split("\n") if 20 <= len(x) <= 2000})
+    pairs = []
+    for x in lines[::3]:
+        y = list(x)
+        for _ in range(int(rng.integers(1, 2 + len(x) // 20))):
+            k = int(rng.integers(0, len(y)))
+            y[k : k + int(rng.integers(0, 2))] = str(rng.choice(list("abcde f")))
+        pairs.append((x, "".join(y)))
+    pairs += [("ab" * 90, "ab" * 60 + "c"), ("a" * 128, "a" * 127 + "b"), ("x", "y"), ("same words " * 12, "same words " * 11)]
+    texts = [line_dedup.normal(x) for pair in pairs for x in pair]
+    ready = line_dedup._prepared(texts)
+    alike = [line_dedup.similarity(line_dedup.shingles(x), line_dedup.shingles(y)) >= line_dedup.ALIKE for x, y in pairs]
+    assert [line_dedup._alike(ready[2 * i], ready[2 * i + 1]) for i in range(len(pairs))] == alike
+    assert 50 < sum(alike) < len(pairs)
+    possible = line_dedup._possible(texts, np.arange(0, len(texts), 2), np.arange(1, len(texts), 2)).diagonal()
+    assert not any(a and not p for a, p in zip(alike, possible, strict=True)) and possible.sum() < len(pairs)
+    keys, whose = line_dedup.bands([x for pair in pairs for x in pair])
+    bands = [set() for _ in texts]
+    for key, line in zip(keys.tolist(), whose.tolist(), strict=True):
+        bands[line].add(key)
+    met = [bool(bands[2 * i] & bands[2 * i + 1]) for i in range(len(pairs))]
+    assert sum(a and m for a, m in zip(alike, met, strict=True)) >= 0.99 * sum(alike)
+
+
 def test_toxicity_held_out(spark):
     rows = [(i, f"plain words number {i % 7} here " + ("vilestuff" if i % 3 == 0 else "daisy"), 1, int(i % 3 == 0)) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, quality int, toxic int")
@@ -194,6 +285,62 @@ def test_toxicity_held_out(spark):
     assert none.count() == 300 and none.where("toxic").count() == 0
 
 
+def test_toxicity_in_odd_rows(spark):
+    rows = [(i, f"plain words number {i % 7} here " + ("vilestuff " if i % 3 == 0 else "daisy ") * (1 + i % 4)) for i in range(300)]
+    odd = [(400, None), (401, ""), (402, " \n"), (403, "vilestuff " + LONG), (404, LONG), (None, "vilestuff plain words"), (5, "daisy plain"), (5, "daisy plain")]
+    known = [(i, int(i % 5 > 0), int(i % 3 == 0)) for i in range(200)] + [(None, 1, 1), (3, None, 1), (9999, 0, 1), (4, 1, 0), (4, 1, 0), (6, 0, 1), (400, 1, 0), (402, 0, None)]
+    extra = {c: F.lit(1) for c in ("junk", "toxic", "quality", "features", "fold", "p_toxic")}
+    docs = spark.createDataFrame(rows + odd, "doc_id bigint, text string").withColumns(extra)
+    labels = spark.createDataFrame(known, "doc_id bigint, quality int, toxic int").withColumns({c: F.lit("x") for c in ("text", "junk", "__fold")})
+    got = toxicity.digest(docs, labels)
+    assert got.columns == ["doc_id", "p_junk", "p_toxic", "toxic"] and got.count() == len(rows) + len(odd)
+    found = sorted(map(tuple, got.collect()), key=repr)
+    by_id = {r[0]: r[3] for r in found}
+    assert by_id[None] and by_id[403] and not any(by_id[i] for i in (5, 400, 401, 402, 404))
+    assert sum(by_id[i] == (i % 3 == 0) for i in range(200, 300)) >= 98
+    assert found == sorted(map(tuple, toxicity.digest(docs.repartition(7), labels.repartition(3)).collect()), key=repr)
+    assert toxicity.digest(docs.limit(0), labels).count() == 0
+
+
+def test_toxicity_features_are_chosen_without_the_fold(spark):
+    """A word that tells the category in one fold only is no feature of the model that fold is held out from."""
+    rows = [(float(i % 2), float(i % 2), i % 3, ["common", f"w{i % 2}"] + (["only"] if i % 3 == 1 and i % 2 else [])) for i in range(600)]
+    sample = spark.createDataFrame(rows, "junk double, toxic double, __fold int, __features array<string>")
+    told = toxicity.telling(sample, ("junk", "toxic"), toxicity._shares(sample, ("junk", "toxic")))
+    assert set(told[None]) == {"w0", "w1", "only"} and set(told[0]) == set(told[2]) == {"w0", "w1", "only"} and set(told[1]) == {"w0", "w1"}
+
+
+def test_embeddings_in_odd_rows(spark):
+    rng = np.random.default_rng(13)
+    v = rng.normal(size=(60, 5))
+    v[30:] = v[:30] * rng.uniform(0.5, 2.0, (30, 1)) + rng.normal(size=(30, 5)) * 0.01
+    rows = [(i % 50, [float(x) for x in r]) for i, r in enumerate(v)]  # ids of ten vectors are repeated
+    rows += [(None, [1.0] * 5), (None, None), (70, [2.0] * 5), (71, [1.0] * 4), (72, [1.0] * 4), (73, [1e300] * 5), (74, [1e-300] * 5), (0, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumns({c: F.lit(1) for c in ("v", "own", "n", "cell", "root", "fine")})
+    got = sorted((tuple(r) for r in covertree.digest(df, fan=3, tile=16).select("vec_id", "n_links", "component_id", "kept").collect()), key=repr)
+    fine = [(i, x) for i, x in rows if i is not None and x is not None]
+    units = [covertree.unit(np.array([x]))[0] for _, x in fine]
+    near = np.array([[len(a) == len(b) and float(a @ b) >= covertree.COSINE for b in units] for a in units])
+    np.fill_diagonal(near, False)
+    label = covertree._lowest(len(fine), *np.nonzero(near))
+    least = {c: min(i for (i, _), d in zip(fine, label, strict=True) if d == c) for c in set(label.tolist())}
+    want = [(i, int(n), least[c], i == least[c]) for (i, _), n, c in zip(fine, near.sum(1), label.tolist(), strict=True)]
+    assert got == sorted(want + [(None, 0, None, True)] * 2, key=repr)
+
+
+def test_crowded_cells_are_cut_or_dealt(spark):
+    """More near copies than a tile holds, which no centres part, beside others."""
+    rng = np.random.default_rng(17)
+    v = np.concatenate([np.ones((300, 4)) + rng.normal(size=(300, 4)) * 1e-9, rng.normal(size=(200, 4))])
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id bigint, embedding array<double>")
+    u = covertree.unit(v)
+    near = u @ u.T >= covertree.COSINE
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in covertree.digest(df, fan=2, tile=40).collect()}
+    label = covertree._lowest(len(v), *np.nonzero(near))
+    assert got == {i: (int(near[i].sum()), int(label[i])) for i in range(len(v))}
+
+
 def test_embeddings_against_brute_force(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(5, 6))
@@ -202,7 +349,7 @@ def test_embeddings_against_brute_force(spark):
     rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
     bad = [(900, None), (901, []), (902, [0.0] * 6), (903, [1.0, None, 0, 0, 0, 0]), (904, [float("nan")] * 6), (905, [float("inf")] + [1.0] * 5)]
     df = spark.createDataFrame(rows + [(i, x and [None if y is None else float(y) for y in x]) for i, x in bad], "vec_id bigint, embedding array<float>")
-    got = {r.vec_id: r for r in covertree.digest(df, anchors=4, tile=32).collect()}
+    got = {r.vec_id: r for r in covertree.digest(df, fan=4, tile=32).collect()}
     u = covertree.unit(v)
     near = u @ u.T >= covertree.COSINE
     np.fill_diagonal(near, False)
@@ -246,6 +393,83 @@ def test_bin_completion_beats_or_equals_best_fit():
         assert packing.lower_bound(counts, 2048) <= sum(t for _, t in done) <= sum(t for _, t in best)
 
 
+def fewest(items, size):
+    """The fewest sequences that hold the pieces, by trying all."""
+    items, best = sorted(items, reverse=True), [len(items)]
+
+    def lay(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(rooms)
+            return
+        for k in range(len(rooms)):
+            if rooms[k] >= items[i] and rooms[k] not in rooms[:k]:
+                rooms[k] -= items[i]
+                lay(i + 1, rooms)
+                rooms[k] += items[i]
+        lay(i + 1, [*rooms, size - items[i]])
+
+    lay(0, [])
+    return best[0]
+
+
+def test_bin_completion_against_all_packings():
+    rng, improved = np.random.default_rng(1), 0
+    for _ in range(300):
+        size, n = int(rng.integers(20, 101)), int(rng.integers(4, 12))
+        low = int(rng.integers(1, size // 3))
+        items = rng.integers(low, int(rng.integers(low + 2, size + 1)), n).tolist()
+        counts = np.bincount(items, minlength=size + 1).tolist()
+        done = sum(times for _, times in packing.bin_completion(counts, size))
+        assert done == fewest(items, size) >= packing.lower_bound(counts, size)
+        improved += done < sum(times for _, times in packing.best_fit(counts, size))
+    assert improved
+
+
+@pytest.mark.parametrize(("low", "high", "n"), [(400, 691, 2000), (500, 1101, 2000)])
+def test_bin_completion_where_best_fit_is_far_off(low, high, n):
+    counts = np.bincount(np.random.default_rng(7).integers(low, high, n), minlength=2049).tolist()
+    bound, best = packing.lower_bound(counts, 2048), sum(t for _, t in packing.best_fit(counts, 2048))
+    done = packing.bin_completion(counts, 2048, nodes=50)
+    held = Counter()
+    for filling, times in done:
+        assert sum(a * b for a, b in filling) <= 2048
+        held.update({a: b * times for a, b in filling})
+    assert held == Counter({i: c for i, c in enumerate(counts) if c})
+    assert bound <= sum(t for _, t in done) <= (bound + best) / 2 + 20
+
+
+def test_undominated_fillings():
+    counts = np.bincount([9, 7, 7, 5, 4, 3, 2], minlength=21)
+    got = list(packing.fillings(counts, 12, 12))
+    assert got[0] == ((9, 3), 0) and [w for _, w in got] == sorted(w for _, w in got)
+    every = [f for f, _ in got]
+    assert (7, 5) in every and len(set(every)) == len(every) and all(sum(f) + w == 12 for f, w in got)
+    assert not any(packing._dominates(a, b) for i, a in enumerate(every) for b in every[i + 1 :])
+    # What is not listed is dominated by something that is.
+    pieces = [9, 7, 7, 5, 4, 3, 2]
+    for mask in range(1, 1 << 7):
+        some = tuple(x for i, x in enumerate(pieces) if mask >> i & 1)
+        assert sum(some) > 12 or any(packing._dominates(f, some) for f in every)
+    assert list(packing.fillings(counts, 1, 5)) == [((), 1)] and list(packing.fillings(counts * 0, 6, 5)) == []
+
+
+def test_encoder_against_the_library(odd, monkeypatch):
+    """Ids of odd texts, with a memory that is forgotten again and again and texts cut into many runs."""
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    monkeypatch.setattr(packing, "GATHERED", 64)
+    encoder = packing.Encoder(token_counts.public_path("word_bpe_49k.json"))
+    texts = [r.text or "" for r in odd.collect()] + ["I'll 12,5 ... Ünïcode", "x<|endoftext|> y", "a\x1c b\x85 c\u00a0d", "日本語 text", "É" * 300, " lead  trail \n"]
+    texts += [f"a{chr(c)} b{chr(c)}{chr(c)}" for c in range(1, 0x3100, 7)]
+    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for step in (1, 40, len(texts)):
+        for start in range(0, len(texts), step):
+            ids, bounds = encoder.encode(pa.array(texts[start : start + step]))
+            for k, e in enumerate(want[start : start + step]):
+                assert ids[bounds[k] : bounds[k + 1]].tolist() == e.ids
+
+
 def test_token_counts(odd):
     counter = token_counts.Counter(token_counts.public_path("byte_bpe_50k.json"))
     texts = ["", " ", "  a", "a  b \n c ", "x<|endoftext|> y", "I'll 12,5 ... Ünïcode", "a\x1c b\x85 c", "日本語 text", LONG]
@@ -255,12 +479,115 @@ def test_token_counts(odd):
     assert token_counts.digest(odd.where("doc_id = 1")).first().n_tokens == 0
 
 
+def found_licenses(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(1) for c in ("unit", "place", "head", "n", "digest", "license", "cells")})
+    return sorted((tuple(r) for r in licenses.matches(df, licenses.digests(licenses.known(spark))).collect()), key=repr)
+
+
+def text_of(license, start):
+    return next(t for n, t in licenses.LICENSES if n == license and t.startswith(start))
+
+
+def wrapped(text, width, mark=""):
+    return "\n".join(mark + line for p in text.split("\n\n") for line in (*textwrap.wrap(p, width), ""))
+
+
 def test_licenses(spark):
-    mit = licenses.LICENSES[-1][1]
-    rows = [(1, mit.upper().replace("SUBLICENSE", "sub-licence")), (2, "Intro.\n\n" + mit.split("\n\n")[0]), (3, "x\nreleased under the MIT licence\ny"), (4, None)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {tuple(r) for r in licenses.matches(df, licenses.digests(licenses.known(spark))).collect()}
-    assert got == {(1, "text", 0, "MIT"), (3, "line", 1, "MIT")}
+    mit, bsd, gpl = text_of("MIT", "Permission"), text_of("BSD-3-Clause", "Redistribution"), text_of("GPL-3.0-or-later", "This program")
+    rows = [
+        (1, "Copyright (c) 2020 Someone\n\n" + mit.upper().replace("SUBLICENSE", "sub-licence")),
+        (2, "Intro.\n\n" + mit.split("\n\n")[0]),  # a part of a text is no license
+        (3, "x\nreleased under the MIT licence\ny"),
+        (4, None),
+        (5, "#!/bin/sh\n" + wrapped("(C) 2019 Me\n\n" + gpl.replace("https:", "http:"), 61, "# ") + "\necho 1"),
+        (6, "# Title\n\nSome words.\n\n## License\n\n" + wrapped(mit, 72) + "\nMore words."),
+        (7, "/*\n" + wrapped(bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "- "), 50, " * ") + " */"),
+        (8, mit[:-9] + "SOFTWARES."),
+    ]
+    assert [(i, unit, place, license) for i, unit, place, _, license in found_licenses(spark, rows)] == [
+        (1, "text", 2, "MIT"), (3, "line", 1, "MIT"), (5, "lines", 3, "GPL-3.0-or-later"), (6, "lines", 6, "MIT"), (7, "text", 1, "BSD-3-Clause"),
+    ]
+
+
+def test_licenses_in_odd_rows(spark):
+    notice, isc = "Licensed under the Apache License, Version 2.0", text_of("ISC", "Permission")
+    rows = [(9, notice), (9, notice), (None, f"{notice}\n\n{notice}"), (3, ""), (4, " \n\t\n"), (5, "M\nI\nT"), (6, "\n".join(notice) + "\n.")]
+    rows += [(7, LONG + "\n" + notice + "\n" + LONG.replace(" ", "\n", 400)), (8, "x\n" * 3000 + notice)]
+    assert found_licenses(spark, rows) == sorted(
+        [(9, "text", 0, 1, "Apache-2.0")] * 2 + [(None, "line", 0, 1, "Apache-2.0"), (None, "line", 2, 1, "Apache-2.0")]
+        + [(6, "text", 0, len(notice.replace(" ", "").replace(",", "").replace(".", "")), "Apache-2.0"), (7, "line", 1, 1, "Apache-2.0"), (8, "line", 3000, 1, "Apache-2.0")],
+        key=repr,
+    )
+    assert found_licenses(spark, [(1, wrapped(isc, 40))])[0][4] == "ISC"
+    empty = spark.createDataFrame(rows, "doc_id bigint, text string").limit(0)
+    assert licenses.matches(empty, licenses.digests(licenses.known(spark))).count() == 0
+
+
+def test_licenses_from_files(spark, tmp_path):
+    (tmp_path / "Own-1.0.txt").write_text("Anybody may do with this text what they like.\n")
+    (tmp_path / "short").write_text("Too short.")
+    table = licenses.digests(licenses.read_texts(spark, str(tmp_path)))
+    df = spark.createDataFrame([(1, "a\n// anybody may do with this text,\n// what they like"), (2, "Too short.")], "doc_id bigint, text string")
+    assert [tuple(r) for r in licenses.matches(df, table).collect()] == [(1, "lines", 1, 2, "Own-1.0")]
+
+
+def plain_fingerprint(text):
+    """Bit by bit."""
+    ws = words("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not ws:
+        return 0
+    shingles = [" ".join(ws[i : i + 4]) for i in range(len(ws) - 3)] or [" ".join(ws)]
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_bit_by_bit(real):
+    texts = [r.text for r in real.collect()]
+    texts += [None, "", " \n", "One", "a b c", "A B C D", "a\x1cb c\x85d e\u00a0f g", "É é É é É", "x " * 50, LONG]
+    assert [simhash.fingerprint((t or "").encode()) for t in texts] == [plain_fingerprint(t) for t in texts]
+
+
+def test_stage_forms_in_odd_rows(spark, odd):
+    """Each stage on nulls, blanks, long texts, repeated rows, clashing names, and an empty table."""
+    for stage in (quality.keep, line_dedup.remove, simhash.keep_one, mixing.mix):
+        out = stage(odd)
+        assert out.columns == odd.columns and stage(odd.limit(0)).count() == 0
+        assert sorted(map(repr, out.collect())) == sorted(map(repr, stage(odd).collect()))
+    assert quality.keep(odd).count() == 0  # the long one repeats itself
+    kept = [(r.doc_id, r.text) for r in line_dedup.remove(odd).collect()]
+    assert sorted(i for i, _ in kept if i) == [1, 2, 3, 4, 5, 5, 6, 7] and ("one two three" in dict(kept)[4]) and dict(kept)[5] == ""
+    # Texts without words are one group, equal texts another; the smallest id stays.
+    assert sorted(r.doc_id for r in simhash.keep_one(odd).collect() if r.doc_id) == [1, 4, 6, 7]
+
+
+def test_mix_in_order_of_other_columns(spark):
+    rows = [(1, "a b c d e f g h " * 20, "s", n) for n in range(6)] + [(i, "other words here " * 30, f"t{i % 3}", 0) for i in range(2, 12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, extra int")
+    once = sorted(map(repr, mixing.mix(df.repartition(3)).collect()))
+    assert once == sorted(map(repr, mixing.mix(df.repartition(5, "extra")).collect())) and once
+
+
+def test_mixing_counts_against_a_plain_draw(spark):
+    """Slots drawn and permuted one by one, in plain Python."""
+    table = spark.createDataFrame([("a", 40, 61.3), ("b", 7, 3.9), (None, 300, 450.0)], "source string, blocks bigint, mean double")
+    got = {(r.source, r.block): r.times for r in mixing._slots(table, 42).collect()}
+    counts = Counter()
+    for (source, _), n in got.items():
+        counts[source] += n
+    for source, blocks, mean in (("a", 40, 61.3), ("b", 7, 3.9), (None, 300, 450.0)):
+        times = [n for (s, _), n in got.items() if s == source]
+        assert abs(counts[source] - mean) <= 2 and max(times) <= 2 and len(times) <= blocks
+        # Each permutation is used up before the next begins.
+        assert len(times) == min(blocks, counts[source])
+    assert sum(counts.values()) == round(61.3 + 3.9 + 450.0)
+
+
+def test_sums_before_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH", 4)
+    rows = [(s, p, (p * 7 + 3) % 5) for s in ("x", None) for p in range(0, 37, 2)]
+    df = spark.createDataFrame(rows, "source string, shard bigint, n bigint")
+    for r in mixing._summed_before(df, "shard").collect():
+        assert r.before == sum(n for s, p, n in rows if s == r.source and p < r.shard)
 
 
 def test_simhash_against_brute_force(spark, real):
