@@ -1,13 +1,15 @@
 """Fuzzy line dedup by MinHash: of each group of alike lines one stays in the corpus.
 
 Lines are alike if the sets of their character shingles have a Jaccard similarity of ``ALIKE``: of
-``SHINGLE`` characters for all lines, or of ``SHORT_SHINGLE`` for two lines of up to ``SHORT`` characters, where
-one edit spoils too many of the longer ones. Groups are the connected components. Candidates come from signatures of one-permutation MinHash in bands: at
-a similarity of 0.8 a pair shares a band with a chance of 0.998, at 0.85 of 0.9999. All candidates
+``SHORT_SHINGLE`` characters if both have up to ``SHORT``, where one edit spoils too many longer ones, else of ``SHINGLE``
+characters. Groups are the connected components. Candidates come from signatures of one-permutation MinHash in bands: at
+a similarity of 0.8 a pair shares a band with a chance of 0.998, at 0.85 of 0.9999. A bin that a line leaves empty takes the
+minimum of a pseudorandom other one, the same for all lines, so the bins of a band stay independent in short lines too. All candidates
 are verified on the lines themselves. Equal lines need no signature; they meet by their digest.
 
 All pairs that share a band are settled: verified, or known to be in one group. First a band's lines are
-compared with its first and with the one before, in a pseudorandom order of each band; a scan task does
+compared with its first and with the one before, in a pseudorandom order, the same in all bands, so that most
+pairs of a group are the same pairs; a scan task does
 so for the lines it has itself, and holds back what a band needs no more of. Most bands are one
 group then. In the others every two lines of different groups are compared, in blocks of ``BLOCK`` lines
 a side, so no band is one task. That is linear in a band's largest group, and grows with the square of
@@ -18,9 +20,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,14 +35,16 @@ from millrace.llm.packing import slices
 ALIKE = 0.8
 SHINGLE = 9  # characters; about two words, so unrelated lines of a language have few in common
 SHORT, SHORT_SHINGLE = 128, 5  # short lines have few shingles of a language anyway; longer ones have an edited word at 9
+MIXED = 105  # characters from which a short line can be alike to a longer one: 0.8 of the shingles of SHORT + 1 characters
 BANDS, ROWS = 16, 5
 SENT = 4  # lines of a band that a batch sends to the first comparison although they are verified
 BLOCK = 512  # lines of a band on one side of a block of comparisons
+BITS = 1024  # of a line's shingles, in blocks
 PREFIX_BITS = 20  # bound of the broadcast that tells which lines' texts are wanted: 2^20 numbers
 
 _EMPTY = np.uint32(0xFFFFFFFF)
 _P = np.uint64(0x9E3779B97F4A7C15)
-_P2, _P4 = (np.uint64(pow(int(_P), k, 1 << 64)) for k in (2, 4))
+_P2 = np.uint64(pow(int(_P), 2, 1 << 64))
 
 
 def normal(line: str) -> str:
@@ -47,31 +53,40 @@ def normal(line: str) -> str:
 
 
 class Shingles:
-    """The shingles of a line: ``long`` ones, and ``short`` ones if it is short."""
+    """The shingles of a line: ``short`` ones if it is short, ``long`` ones if a longer line can be alike to it."""
 
     __slots__ = ("long", "short")
 
     def __init__(self, text: str) -> None:
-        self.long = {text[i : i + SHINGLE] for i in range(len(text) - SHINGLE + 1)}
-        self.short = {text[i : i + SHORT_SHINGLE] for i in range(len(text) - SHORT_SHINGLE + 1)} if len(text) <= SHORT else None
+        self.long = _grams(text, SHINGLE) if len(text) >= MIXED else None
+        self.short = _grams(text, SHORT_SHINGLE) if len(text) <= SHORT else None
 
     def __iter__(self) -> Iterator[str]:
-        yield from self.long
+        yield from self.long or ()
         yield from self.short or ()
 
 
+def _grams(text: str, size: int) -> set[str]:
+    return {text[i : i + size] for i in range(len(text) - size + 1)}
+
+
 def shingles(line: str) -> Shingles:
     return Shingles(normal(line))
 
 
 def _jaccard(a: set[str], b: set[str]) -> float:
+    """The similarity; 0 if the sizes alone show that it is below ``ALIKE``."""
+    if min(len(a), len(b)) < ALIKE * max(len(a), len(b)):
+        return 0.0
     common = len(a & b)
     return common / (len(a) + len(b) - common)
 
 
 def similarity(a: Shingles, b: Shingles) -> float:
-    """The larger of both kinds' similarities, where both lines have both kinds."""
-    return max(_jaccard(a.long, b.long), _jaccard(a.short, b.short) if a.short and b.short else 0.0)
+    """By short shingles if both lines are short, else by long ones; 0 where lengths leave no chance of ``ALIKE``."""
+    if a.short and b.short:
+        return _jaccard(a.short, b.short)
+    return _jaccard(a.long, b.long) if a.long and b.long else 0.0
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -82,14 +97,16 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys, ``BANDS`` a line and as many again for a short one, and the number of each key's line."""
+    """Band keys, ``BANDS`` for each kind of shingles that a line has, and the number of each key's line."""
     texts = [normal(line) for line in lines]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    short = np.flatnonzero(sizes <= SHORT)
-    keys = [_in_runs(texts, sizes, SHINGLE, 1)]
-    if len(short):
-        keys.append(_in_runs([texts[i] for i in short.tolist()], sizes[short], SHORT_SHINGLE, 1 + BANDS))
-    return np.concatenate([k.ravel() for k in keys]), np.repeat(np.concatenate([np.arange(len(texts)), short]), BANDS)
+    keys, whose = [], []
+    for mine, size, number in ((sizes >= MIXED, SHINGLE, 1), (sizes <= SHORT, SHORT_SHINGLE, 1 + BANDS)):
+        chosen = np.flatnonzero(mine)
+        if len(chosen):
+            keys.append(_in_runs([texts[i] for i in chosen.tolist()], sizes[chosen], size, number).ravel())
+            whose.append(np.repeat(chosen, BANDS))
+    return np.concatenate(keys), np.concatenate(whose)
 
 
 def _in_runs(texts: list[str], sizes: np.ndarray, size: int, number: int, chars: int = 100_000) -> np.ndarray:
@@ -99,35 +116,56 @@ def _in_runs(texts: list[str], sizes: np.ndarray, size: int, number: int, chars:
     return np.concatenate([_bands(texts[a:b], sizes[a:b], size, number) for a, b in zip(edges, edges[1:], strict=False)])
 
 
-def _bands(texts: list[str], sizes: np.ndarray, size: int, number: int) -> np.ndarray:
-    c = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    h2 = c[:-1] * _P + c[1:]
-    h = h2[:-2] * _P2 + h2[2:]
-    if size == SHINGLE:
-        h = h[:-4] * _P4 + h[4:]
-    h = _mixed(h[:-1] * _P + c[size - 1 :])
-    # Shingles that run over into the next line are left out.
+def _inside(sizes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the shingles of each of the joined texts begin, without those that run over into the next, and how many each has."""
     n = sizes - size + 1
     first = np.cumsum(sizes) - sizes
-    places = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), n
+
+
+def _rolled(c: np.ndarray, size: int, p: int, kind: type) -> np.ndarray:
+    """The characters of each shingle as digits of a number, doubled up from its halves."""
+    p1, p2, p4 = (kind(pow(p, k, 1 << 8 * kind().itemsize)) for k in (1, 2, 4))
+    h = c[:-1] * p1 + c[1:]
+    h = h[:-2] * p2 + h[2:]
+    if size == SHINGLE:
+        h = h[:-4] * p4 + h[4:]
+    return h[:-1] * p1 + c[size - 1 :]
+
+
+def _codes(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _hashes(texts: list[str], sizes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all texts, one text after another, and how many each has."""
+    h = _mixed(_rolled(_codes(texts).astype(np.uint64), size, int(_P), np.uint64))
+    places, n = _inside(sizes, size)
+    return h[places], n
+
+
+def _bands(texts: list[str], sizes: np.ndarray, size: int, number: int) -> np.ndarray:
+    # Numbers of half the width do for signatures.
+    h = _rolled(_codes(texts), size, 0x9E3779B1, np.uint32)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h ^= h >> np.uint32(shift)
+        h *= np.uint32(factor)
+    h ^= h >> np.uint32(16)
+    places, n = _inside(sizes, size)
     h = h[places]
     bins = BANDS * ROWS
-    slot = np.repeat(np.arange(len(texts)) * bins, n) + ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    slot = np.repeat(np.arange(len(texts)) * bins, n)
+    slot += (h >> np.uint32(16)) * np.uint32(bins) >> np.uint32(16)
     least = np.full(len(texts) * bins, _EMPTY)
-    np.minimum.at(least, slot, (h & np.uint64(0xFFFFFFFE)).astype(np.uint32))
+    np.minimum.at(least, slot, h & np.uint32(0xFFFFFFFE))
     least = least.reshape(-1, bins)
-    # An empty bin takes the next full one to its right, marked by the distance.
-    sparse = np.flatnonzero((least == _EMPTY).any(axis=1))
-    source, step = least[sparse].copy(), 1
-    open_rows = np.arange(len(sparse))
+    open_rows, step = np.flatnonzero((least == _EMPTY).any(axis=1)), 0
+    source = least[open_rows].copy()
     while len(open_rows):
-        part, from_right = least[sparse[open_rows]], np.roll(source[open_rows], -step, axis=1)
-        fill = (part == _EMPTY) & (from_right != _EMPTY)
-        part[fill] = from_right[fill] * np.uint32(0x85EBCA6B) + np.uint32(step)
-        part[fill & (part == _EMPTY)] = 0
-        least[sparse[open_rows]] = part
-        open_rows = open_rows[(part == _EMPTY).any(axis=1)]
-        step += 1
+        part = least[open_rows]
+        least[open_rows] = np.where(part == _EMPTY, source[:, _other(bins, step)], part)
+        still = (least[open_rows] == _EMPTY).any(axis=1)
+        open_rows, source, step = open_rows[still], source[still], step + 1
     grouped = least.reshape(-1, BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(number, number + BANDS, dtype=np.uint64) * _P, grouped.shape[:2]).copy()
     for r in range(ROWS):
@@ -135,67 +173,183 @@ def _bands(texts: list[str], sizes: np.ndarray, size: int, number: int) -> np.nd
     return key
 
 
+@cache
+def _other(bins: int, step: int) -> np.ndarray:
+    """Where each bin looks for a minimum at a step: at random, and in the end one bin after the other."""
+    own = np.arange(bins)
+    if step >= 4 * bins:
+        return (own + step) % bins
+    seed = (own.astype(np.uint64) + np.uint64(1)) * _P + np.uint64((step + 1) * int(_P2) % (1 << 64))
+    return (_mixed(_mixed(seed) * _P) % np.uint64(bins)).astype(np.int64)
+
+
+def _bits(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``BITS`` per text, of which each shingle sets one; and the number of shingles, repeats included."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    h, n = _hashes(texts, sizes, size)
+    flags = np.zeros(len(texts) * BITS, bool)
+    flags[np.repeat(np.arange(len(texts)) * BITS, n) + (h >> np.uint64(40)).astype(np.int64) % BITS] = True
+    return np.packbits(flags).view(np.uint64).reshape(len(texts), -1), n
+
+
+def _possible(texts: list[str], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which of ``left`` can be alike to which of ``right``, a matrix.
+
+    Bits that differ stand for different shingles that only one has. Of sets of a and b shingles that are alike at
+    ``ALIKE`` no more than (a + b) (1 - ALIKE) / (1 + ALIKE) are in one only.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    out = np.zeros((len(left), len(right)), bool)
+    share = (1 - ALIKE) / (1 + ALIKE) + 1e-9
+    for size, low, high in ((SHINGLE, MIXED, None), (SHORT_SHINGLE, 0, SHORT)):
+        rows, columns = (np.flatnonzero((sizes[x] >= low) & (sizes[x] <= (high or sizes.max(initial=0)))) for x in (left, right))
+        if not len(rows) or not len(columns):
+            continue
+        (a, na), (b, nb) = (_bits([texts[i] for i in x.tolist()], size) for x in (left[rows], right[columns]))
+        for start in range(0, len(rows), 64):
+            differ = np.bitwise_count(a[start : start + 64, None, :] ^ b[None, :, :]).sum(axis=2, dtype=np.int64)
+            out[np.ix_(rows[start : start + 64], columns)] |= differ <= share * (na[start : start + 64, None] + nb[None, :])
+    return out
+
+
+_PLACE = 23  # bits of a shingle's place in a line; the next bit tells two lines apart, those above are of its hash
+_OTHER = np.uint64(1 << _PLACE)
+_HASH = np.uint64(((1 << 64) - 1) ^ ((1 << _PLACE + 1) - 1))
+_FAR = np.uint64(_PLACE + 1)
+
+
+class _Line:
+    """A line's shingles, each different one once, as sorted numbers of hash and place; which kinds, as in ``Shingles``."""
+
+    __slots__ = ("text", "codes", "long", "short")
+
+    def __init__(self, text: str) -> None:
+        self.text, self.codes, self.long, self.short = text, None, None, None
+
+    def windows(self, size: int) -> np.ndarray:
+        if self.codes is None:
+            self.codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return np.lib.stride_tricks.sliding_window_view(self.codes, size)
+
+
+def _prepared(texts: list[str], chars: int = 500_000) -> list[_Line]:
+    """The lines of normal texts; shingles are hashed together, in runs of about ``chars``."""
+    lines = [_Line(text) for text in texts]
+    long = [x for x in lines if MIXED <= len(x.text) <= 1 << _PLACE]
+    for size, slot, chosen in ((SHINGLE, "long", long), (SHORT_SHINGLE, "short", [x for x in lines if len(x.text) <= SHORT])):
+        sizes = np.fromiter((len(x.text) for x in chosen), np.int64, len(chosen))
+        run = np.cumsum(sizes) // chars
+        edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(chosen)] if len(chosen) else [0]
+        places = np.arange(int(sizes.max(initial=0)), dtype=np.uint64)
+        for low, high in zip(edges, edges[1:], strict=False):
+            h, n = _hashes([x.text for x in chosen[low:high]], sizes[low:high], size)
+            h &= _HASH
+            ends = np.cumsum(n).tolist()
+            for line, start, end in zip(chosen[low:high], [0, *ends], ends, strict=False):
+                part = h[start:end] | places[: end - start]
+                part.sort()
+                new = np.ones(len(part), bool)
+                np.not_equal(part[1:] >> _FAR, part[:-1] >> _FAR, out=new[1:])
+                setattr(line, slot, part[new])
+    return lines
+
+
+def _alike(a: _Line, b: _Line) -> bool:
+    """Whether ``similarity`` is ``ALIKE`` or more. Counts of hashes decide unless they are near the limit, and
+    shingles of one hash are compared; where either leaves a doubt the strings decide."""
+    size, x, y = (SHORT_SHINGLE, a.short, b.short) if a.short is not None and b.short is not None else (SHINGLE, a.long, b.long)
+    if x is None or y is None:
+        either = max(len(a.text), len(b.text)) > 1 << _PLACE
+        return either and similarity(Shingles(a.text), Shingles(b.text)) >= ALIKE
+    if min(len(x), len(y)) + 2 < ALIKE * (max(len(x), len(y)) - 2):
+        return False
+    both = np.concatenate([x, y | _OTHER])
+    both.sort()
+    met = np.flatnonzero((both[1:] ^ both[:-1]) >> _FAR == 0)
+    spare = len(met) - ALIKE * (len(x) + len(y) - len(met))
+    if spare < -4:
+        return False
+    if spare > 4:
+        mask = _OTHER - np.uint64(1)
+        one, two = (both[met] & mask).astype(np.int64), (both[met + 1] & mask).astype(np.int64)
+        if (a.windows(size)[one] == b.windows(size)[two]).all():
+            return True
+    return similarity(Shingles(a.text), Shingles(b.text)) >= ALIKE
+
+
 def _short(key: bytes) -> int:
     x = xxhash.xxh64_intdigest(key, 42)
     return x - (1 << 64) if x >> 63 else x
 
 
-def _first_of_bands(flat: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _first_of_bands(flat: np.ndarray, line: np.ndarray, short: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order of the entries by band, each one's place in its band, and the band's first line."""
-    rank = _mixed((flat ^ (line.astype(np.uint64) + np.uint64(1)) * _P) * _P)
-    order = np.lexsort((rank, flat))
-    starts = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
+    order = np.argsort(flat)
+    band = flat[order]
+    starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
     sizes = np.diff(np.append(starts, len(flat)))
+    # Most bands have one line; in the others they go by ``short``.
+    shared = np.repeat(sizes > 1, sizes)
+    some = order[shared]
+    order[shared] = some[np.lexsort((short[line[some]], band[shared]))]
     place = np.arange(len(flat)) - np.repeat(starts, sizes)
     first = line[order][np.repeat(starts, sizes)]
     return order, place, first
 
 
+SKETCHED = "a binary, b binary, short bigint, bands array<bigint>, held array<bigint>"
+
+
+def _lists(line: np.ndarray, values: np.ndarray, lines: int, before: int) -> pa.ListArray:
+    """``values`` as a list for each of ``lines``, after ``before`` rows without any."""
+    order = np.argsort(line)
+    offsets = np.concatenate([np.zeros(before + 1, np.int64), np.cumsum(np.bincount(line, minlength=lines))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[order].view(np.int64)))
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verified links inside a batch (``a``, ``b``), and the entries of its lines (``band``, ``short``), ``held``
-    where the band's first line is linked and enough others go to the first comparison."""
-    shape = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("band", pa.int64()), ("short", pa.int64()), ("held", pa.bool_())])
+    """Verified links inside a batch (``a``, ``b``), and a row per line: ``short`` and its ``bands``, those under
+    ``held`` where the band's first line is linked and enough others go to the first comparison."""
     for batch in batches:
         for _, texts in slices(batch.column(0), 4 << 20):
             lines = list({line for t in texts.to_pylist() for line in t.split("\n") if line.strip(" \t\n\r\x0b\x0c")})
             if not lines:
                 continue
             keys = [hashlib.md5(line.encode(), usedforsecurity=False).digest() for line in lines]
+            short = np.array([_short(k) for k in keys], np.int64)
             band, line = bands(lines)
-            order, place, first = _first_of_bands(band, line)
-            line = line[order]
-            alike: dict[tuple[int, int], bool] = {}
-            sets: dict[int, Shingles] = {}
+            order, place, first = _first_of_bands(band, line, short)
+            band, line = band[order], line[order]
             held = np.zeros(len(order), bool)
-            for i in np.flatnonzero(place > 0).tolist():
-                pair = (int(first[i]), int(line[i]))
-                if pair not in alike:
-                    if len(sets) > 2000:
-                        sets.clear()
-                    a, b = (sets.get(x) or sets.setdefault(x, shingles(lines[x])) for x in pair)
-                    alike[pair] = similarity(a, b) >= ALIKE
-                held[i] = place[i] >= SENT and alike[pair]
-            links = [pair for pair, yes in alike.items() if yes]
-            short = np.array([_short(k) for k in keys], np.int64)
+            later = np.flatnonzero(place > 0)
+            pairs, which = np.unique(np.stack([first[later], line[later]], axis=1), axis=0, return_inverse=True)
+            alike = np.zeros(len(pairs), bool)
+            if len(pairs):
+                used = np.unique(pairs)
+                ready = dict(zip(used.tolist(), _prepared([normal(lines[x]) for x in used.tolist()]), strict=True))
+                alike = np.array([_alike(ready[x], ready[y]) for x, y in pairs.tolist()])
+                held[later] = alike[which.ravel()] & (place[later] >= SENT)
+            links, none = pairs[alike].tolist(), [None] * len(lines)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([keys[a] for a, _ in links] + [None] * len(order), pa.binary()),
-                    pa.array([keys[b] for _, b in links] + [None] * len(order), pa.binary()),
-                    pa.array(np.concatenate([np.zeros(len(links), np.int64), band[order].view(np.int64)])),
-                    pa.array(np.concatenate([np.zeros(len(links), np.int64), short[line]])),
-                    pa.array(np.concatenate([np.zeros(len(links), bool), held])),
+                    pa.array([keys[a] for a, _ in links] + none, pa.binary()), pa.array([keys[b] for _, b in links] + none, pa.binary()),
+                    pa.array(np.concatenate([np.zeros(len(links), np.int64), short])),
+                    _lists(line[~held], band[~held], len(lines), len(links)), _lists(line[held], band[held], len(lines), len(links)),
                 ],
-                schema=shape,
-            )
+                names=["a", "b", "short", "bands", "held"],
+            )
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each line of a band with the band's first line and with the one before; rows come by band."""
+    """Each line of a band with the band's first line and with the one before; rows come by band, and are put in order
+    of ``short`` here, as far as a band lies in one batch."""
     band_before = short_before = first = None
     for batch in batches:
         band, short = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(band):
             continue
+        order = np.lexsort((short, band))
+        band, short = band[order], short[order]
         same = np.concatenate([[band[0] == band_before], band[1:] == band[:-1]])
         before = np.concatenate([[short_before if short_before is not None else 0], short[:-1]])
         starts = np.where(same, 0, np.arange(len(band)))
@@ -210,61 +364,73 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in (0, 1, 2)], names=["band", "a", "b"])
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, last_set = None, None
+def _verify(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for ka, ta, kb, tb in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if ka != last:
-                last, last_set = ka, shingles(ta)
-            if similarity(last_set, shingles(tb)) >= ALIKE:
-                out.append((ka, kb))
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (list(zip(*out, strict=True)) or [(), ()])], names=["a", "b"])
+        size = np.cumsum(pc.add(pc.binary_length(batch.column(1)), pc.binary_length(batch.column(3))).to_numpy())
+        edges = [0, *(np.flatnonzero(np.diff(size // most)) + 1).tolist(), len(batch)] if len(batch) else [0]
+        for low, high in zip(edges, edges[1:], strict=False):
+            ka, ta, kb, tb = (c.to_pylist() for c in batch.slice(low, high - low).columns)
+            lines = dict(zip(ka, ta, strict=True)) | dict(zip(kb, tb, strict=True))
+            ready = dict(zip(lines, _prepared([normal(x) for x in lines.values()]), strict=True))
+            yield _edges([(a, b) for a, b in zip(ka, kb, strict=True) if _alike(ready[a], ready[b])])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(batches: Iterator[pa.RecordBatch], together: int = 4096) -> Iterator[pa.RecordBatch]:
     """Alike pairs of different groups; rows ``band, i, j, chunk, root, key, line`` come by block ``(band, i, j)``.
 
-    A block compares its lines of chunk ``i`` with those of chunk ``j``, or all of them where these are one.
+    A block compares its lines of chunk ``i`` with those of chunk ``j``, or all of them where these are one. Blocks of about
+    ``together`` rows share what is prepared of a line, as alike lines meet in many bands.
     """
-    block, rows = None, []
+    block, rows, blocks, size = None, [], [], 0
     for batch in batches:
-        out = []
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if row[:3] != block:
-                out += _compared(rows)
+                blocks.append(rows)
+                size += len(rows)
                 block, rows = row[:3], []
+                if size >= together:
+                    yield _edges(_compared(blocks))
+                    blocks, size = [], 0
             rows.append(row)
-        yield _edges(out)
-    yield _edges(_compared(rows))
+    yield _edges(_compared([*blocks, rows]))
 
 
 def _edges(pairs: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (list(zip(*pairs, strict=True)) or [(), ()])], names=["a", "b"])
 
 
-def _compared(rows: list) -> list[tuple[bytes, bytes]]:
-    if len({row[4] for row in rows}) < 2:
-        return []
-    _, i, j, *_ = rows[0]
-    above = {row[4]: row[4] for row in rows}  # groups that were joined here
-    sets = [shingles(row[6]) for row in rows]
+def _compared(blocks: list[list]) -> list[tuple[bytes, bytes]]:
+    blocks = [rows for rows in blocks if len({row[4] for row in rows}) > 1]
+    above: dict[int, int] = {}  # groups that were joined here
+    texts = {row[5]: row[6] for rows in blocks for row in rows}
+    ready = dict(zip(texts, _prepared([normal(x) for x in texts.values()]), strict=True))
 
     def top(x):
-        while above[x] != x:
-            above[x] = x = above[above[x]]
+        while x in above:
+            x = above[x]
         return x
 
-    out = []
-    left = [n for n, row in enumerate(rows) if row[3] == i]
-    for n in left:
-        for m in range(n + 1, len(rows)) if i == j else range(len(rows)):
-            if i != j and rows[m][3] != j:
+    out, apart = [], set()
+    for rows in blocks:
+        _, i, j, *_ = rows[0]
+        chunk, root = np.array([row[3] for row in rows]), np.array([row[4] for row in rows])
+        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+        possible = root[left][:, None] != root[right][None, :]
+        if possible.size > 4096:
+            possible &= _possible([ready[row[5]].text for row in rows], left, right)
+        if i == j:
+            possible &= left[:, None] < right[None, :]
+        for x, y in np.argwhere(possible).tolist():
+            one, two = rows[left[x]], rows[right[y]]
+            a, b = top(one[4]), top(two[4])
+            pair = (one[5], two[5]) if one[5] < two[5] else (two[5], one[5])
+            if a == b or pair in apart:
                 continue
-            a, b = top(rows[n][4]), top(rows[m][4])
-            if a != b and similarity(sets[n], sets[m]) >= ALIKE:
+            if _alike(ready[one[5]], ready[two[5]]):
                 above[a] = b
-                out.append((rows[n][5], rows[m][5]))
+                out.append(pair)
+            else:
+                apart.add(pair)
     return out
 
 
@@ -278,15 +444,14 @@ def _lines(docs: DataFrame, text: str) -> Column:
 
 def _first_comparison(sketched: DataFrame, docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``a, b`` found alike, the compared ``band, a, b``, and the texts ``short, key, line`` of bands of several lines."""
-    entries = sketched.where("a IS NULL").select("band", "short", "held")
-    by_band = entries.where("NOT held").select("band", "short").repartition("band").sortWithinPartitions("band", F.xxhash64("band", "short"))
+    by_band = sketched.select(F.explode("bands").alias("band"), "short").repartition("band").sortWithinPartitions("band")
     compared = written(by_band.mapInArrow(_candidates, "band bigint, a bigint, b bigint"))
     pairs = compared.select("a", "b").distinct()
     # Texts of the lines that are in some pair or held back. The filter before the shuffle lets a few more pass.
-    wanted = compared.select(F.explode(F.array("a", "b")).alias("short")).union(entries.where("held").select("short")).distinct()
+    wanted = compared.select(F.explode(F.array("a", "b")).alias("short")).union(sketched.where(F.size("held") > 0).select("short")).distinct()
     prefix = lambda c: F.shiftrightunsigned(c, 64 - PREFIX_BITS)
     prefixes = wanted.select(prefix("short").alias("prefix")).distinct()
-    lines = docs.select(F.explode(_lines(docs, text)).alias("line")).where(F.col("line").rlike(WORD))
+    lines = docs.select(F.explode(_lines(docs, text)).alias("line"))
     lines = lines.withColumn("key", line_key(F.col("line"))).withColumn("short", F.xxhash64("key"))
     lines = lines.join(F.broadcast(prefixes), prefix("short") == F.col("prefix"), "left_semi")
     lines = lines.join(wanted, "short", "left_semi").groupBy("short", "key").agg(F.first("line").alias("line"))
@@ -310,7 +475,7 @@ def _blocks(sketched: DataFrame, compared: DataFrame, lines: DataFrame, roots: D
     seen = grouped(compared.select("band", F.explode(F.array("a", "b")).alias("short")).distinct())
     mixed = seen.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = written(mixed.where("n > 2 AND low <> high").select("band"))
-    held = sketched.where("held").select("band", "short").join(mixed, "band", "left_semi")
+    held = sketched.where(F.size("held") > 0).select(F.explode("held").alias("band"), "short").join(mixed, "band", "left_semi")
     members = written(seen.join(mixed, "band", "left_semi").union(grouped(held.distinct())).distinct())
     sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most"))
@@ -332,8 +497,7 @@ def _blocks(sketched: DataFrame, compared: DataFrame, lines: DataFrame, roots: D
 
 def links(docs: DataFrame, text: str = "text") -> DataFrame:
     """Alike pairs of different lines, ``a, b`` by their keys, that connect all that were found alike."""
-    shape = "a binary, b binary, band bigint, short bigint, held boolean"
-    sketched = written(docs.select(F.col(text)).mapInArrow(_sketch, shape))
+    sketched = written(docs.select(F.col(text)).mapInArrow(_sketch, SKETCHED))
     alike, compared, lines = _first_comparison(sketched, docs, text)
     stars = components(alike)
     blocks = _blocks(sketched, compared, lines, stars)
