@@ -12,12 +12,14 @@ def elements(xml: Column, name: str) -> Column:
     """Array of every ``<name ...>...</name>``, tags included. A body holds at least one character,
     and ``name`` is a prefix match, so ``id`` also finds ``<idx>...</id>``."""
     tag = re.escape(name)
+    # Fixed value: the pattern of an element.
     return F.regexp_extract_all(xml, F.lit(rf"(?s)(<{tag}[^>]*?>.+?</{tag}>)"), 1)
 
 
 def element_text(xml: Column, name: str) -> Column:
     """Body of the first ``<name ...>``, or the empty string."""
     tag = re.escape(name)
+    # Fixed value: the pattern of an element's body.
     return F.regexp_extract(xml, rf"(?s)<{tag}[^>]*?>(.+?)</{tag}>", 1)
 
 
