@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import length_part, nonblank_lines, tokens
@@ -16,6 +16,8 @@ STOP_WORDS = (
     "where who will with www"
 ).split()
 
+IN_ROW = 1 << 20  # bytes of a text that is indexed within its row; bounds what a row holds, not what is indexed
+
 
 def stop_word_table(spark: SparkSession) -> DataFrame:
     """The default stop words as a table ``word``, small enough by its plan to be broadcast."""
@@ -82,6 +84,50 @@ def postings(hits: DataFrame) -> DataFrame:
     return grouped.select("word", "doc_id", "n", unpacked.alias("positions"))
 
 
+def document_postings(
+    documents: DataFrame, stop_words: Iterable[str] | DataFrame = (), doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The ``postings`` of the documents' ``word_positions``, without a shuffle or a sort of all hits.
+
+    A text of up to ``IN_ROW`` bytes whose id no other text has is indexed within its row. Longer ones and those that
+    share an id (null is one) go through ``word_positions`` and ``postings``. Only texts are shuffled, to count their ids.
+    """
+    texts = documents.select(doc_id, text)
+    texts = texts if texts.columns == ["doc_id", "text"] else texts.toDF("doc_id", "text")
+    counted = with_totals(texts, ["doc_id"], n_texts=F.count(F.lit(1)))
+    in_row = (F.col("n_texts") == 1) & (F.octet_length("text") <= IN_ROW)  # null for a null text, which has no words
+    # Two columns, not two filters: those would be moved before the shuffle, and the texts be shuffled once for each.
+    alone, others = F.when(in_row, F.col("text")), F.when(in_row, None).otherwise(F.col("text"))
+    rest = postings(word_positions(counted.select("doc_id", others.alias("text")), stop_words))
+    return _row_postings(counted.select("doc_id", alone.alias("text")), stop_words).unionByName(rest)
+
+
+def _row_postings(documents: DataFrame, stop_words: Iterable[str] | DataFrame) -> DataFrame:
+    """``postings`` of texts each of which is alone under its id: a row's hits sorted and cut where the word changes."""
+
+    def line_hits(line: Column, line_no: Column) -> Column:
+        return F.transform(tokens(line), lambda word, word_no: F.struct(word.alias("word"), line_no.alias("line_no"), word_no.alias("word_no")))
+
+    hits = F.flatten(F.transform(nonblank_lines(F.col("text")), line_hits))
+    listed = [] if isinstance(stop_words, DataFrame) else list(stop_words)
+    if listed:
+        hits = F.filter(hits, lambda hit: ~hit["word"].isin(listed))
+    texts = documents.select("doc_id", F.sort_array(hits).alias("hits"))
+
+    hit, n_hits = F.col("hits"), F.size("hits")
+    numbers = F.slice(F.sequence(F.lit(0), n_hits), F.lit(1), n_hits)
+    starts = F.filter(numbers, lambda i: (i == 0) | (F.get(hit, i)["word"] != F.get(hit, i - 1)["word"]))
+
+    def entry(start: Column, i: Column) -> Column:
+        n = F.coalesce(F.get("starts", i + 1), n_hits) - start
+        places = F.transform(F.slice(hit, start + 1, n), lambda h: F.struct(h["line_no"].alias("line_no"), h["word_no"].alias("word_no")))
+        return F.struct(F.get(hit, start)["word"].alias("word"), n.cast("bigint").alias("n"), places.alias("positions"))
+
+    entries = texts.withColumn("starts", starts).select("doc_id", F.inline(F.transform("starts", entry)))
+    found = entries.select("word", "doc_id", "n", "positions")
+    return found.join(stop_words.select("word"), "word", "left_anti").select(*found.columns) if isinstance(stop_words, DataFrame) else found
+
+
 def posting_lists(index: DataFrame) -> DataFrame:
     """``word, doc_id, n, positions, n_docs``: the documents of each word, beside their number.
 

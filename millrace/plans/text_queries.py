@@ -23,6 +23,10 @@ def _hits(spark, folder):
     return index.word_positions(documents(spark, folder), STOP_WORDS)
 
 
+def _postings(spark, folder):
+    return index.document_postings(documents(spark, folder), STOP_WORDS)
+
+
 @query(
     "word_count_500",
     oracle("SELECT word, count(*) AS n FROM words GROUP BY word HAVING count(*) >= 500", "words"),
@@ -281,7 +285,7 @@ SELECT part, text, count(*) AS n FROM (
 def posting_files(spark, folder):
     """The index written as text by word length and read back as lines."""
     table, text = new_folder(spark), new_folder(spark)
-    index.postings(_hits(spark, folder)).write.parquet(table)
+    _postings(spark, folder).write.parquet(table)
     sinks.write_postings(spark.read.parquet(table), text, 10)
     lines = spark.read.schema("value string, part int").text(text)
     return lines.groupBy("part", F.col("value").alias("text")).agg(F.count(F.lit(1)).alias("n"))

@@ -28,16 +28,22 @@ def posting_pieces(index: DataFrame) -> DataFrame:
     return body.unionByName(frame, allowMissingColumns=True)
 
 
-def posting_text() -> Column:
-    """A piece as text: the word and its total, or a document and its count with a line per place, or
-    an empty line. The last line end is the writer's."""
+def _posting_numbers() -> Column:
+    """A piece's numbers as short text: a word's total, or a document's count with a line per place."""
+    places = F.transform("positions", lambda p: F.concat(p["line_no"].cast("string"), F.lit(" "), p["word_no"].cast("string")))
+    return F.when(F.col("section") == 0, F.col("n").cast("string")).when(
+        F.col("section") == 1, F.array_join(F.concat(F.array(F.col("n").cast("string")), places), "\n")
+    )
 
-    def line(indent: str, number: Column, second: Column) -> Column:
-        return F.concat(F.lit(indent), number.cast("string"), F.lit(" "), second.cast("string"))
 
-    head = F.concat("word", F.lit("\t"), F.col("n").cast("string"))
-    places = F.transform("positions", lambda p: line("\t\t", p["line_no"], p["word_no"]))
-    document = F.array_join(F.concat(F.array(line("\t", F.col("doc_id"), F.col("n"))), places), "\n")
+def _posting_text() -> Column:
+    """A piece as text from its ``numbers``: the word and its total, or a document and its count with a line per place, or
+    an empty line. The last line end is the writer's."""
+    head = F.concat("word", F.lit("\t"), F.col("numbers"))
+    lines = F.replace(F.col("numbers"), F.lit("\n"), F.lit("\n\t\t"))
+    document = F.concat(F.lit("\t"), F.col("doc_id").cast("string"), F.lit(" "), lines)
+    places = F.regexp_replace(lines, r"\A[^\n]*\n", "")  # all there is of a document without an id
+    document = F.coalesce(document, places)
     return F.when(F.col("section") == 0, head).when(F.col("section") == 1, document).otherwise("")
 
 
@@ -46,15 +52,14 @@ def write_postings(index: DataFrame, path: str, n: int = 10) -> None:
 
     Within a part, longer words come first, then byte order; the files of a part continue each
     other in name order. Rows are split by range down to the document, so neither a crowded length
-    nor a word found everywhere ends up in one task, and become text after the sort. Reads
-    ``index`` more than once, so pass a written one.
+    nor a word found everywhere ends up in one task. Their numbers are shuffled as text, which takes
+    less than structs, and without what the other columns say. Reads ``index`` more than once, so pass a written one.
     """
     order = ["part", F.desc("n_bytes"), "word", "section", "doc_id"]
-    placed = posting_pieces(index).withColumns(
-        {"part": length_part(F.col("word"), n), "n_bytes": F.octet_length("word")}
-    )
+    keys = {"part": length_part(F.col("word"), n), "n_bytes": F.octet_length("word")}
+    placed = posting_pieces(index).select("word", "section", "doc_id", _posting_numbers().alias("numbers")).withColumns(keys)
     ranged = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.select("part", posting_text().alias("text")).write.partitionBy("part").text(path)
+    ranged.select("part", _posting_text().alias("text")).write.partitionBy("part").text(path)
 
 
 def write_articles(articles: DataFrame, path: str) -> None:

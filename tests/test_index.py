@@ -67,6 +67,48 @@ def test_postings(documents, corpus):
     assert got == {key: (len(places), places) for key, places in want.items()}
 
 
+def test_document_postings_are_the_postings_of_all_texts(spark, rows, monkeypatch):
+    """Ids once, repeated and null; equal texts; texts too long for a row, blank, null or without kept words."""
+    monkeypatch.setattr(index, "IN_ROW", 40)
+    texts = [
+        (1, "cat the dog\n\ncat  cat\t dog\n the zz"), (2, "dog cat"), (2, "cat\ncat dog"), (3, "dog cat"), (3, "dog cat"),
+        (None, "zz zz"), (None, "cat\nzz"), (4, "é cat\rÉ\x0bx " * 9), (5, ""), (6, None), (7, " the\n a"), (8, "\n \ncat"), (9, None), (9, "b"),
+    ]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    table = spark.createDataFrame([(w,) for w in [*STOP, *STOP]], "word string")
+    for some in (frame, frame.filter("doc_id IS NULL"), frame.limit(0), frame.filter("doc_id = 1")):
+        want = index.postings(index.word_positions(some, STOP))
+        for stop in (STOP, table):
+            got = index.document_postings(some, stop)
+            assert got.dtypes == want.dtypes and rows(got) == rows(want)
+    other = frame.withColumnsRenamed({"doc_id": "id", "text": "body"})
+    assert rows(index.document_postings(other, doc_id="id", text="body")) == rows(index.postings(index.word_positions(frame)))
+
+
+def test_document_postings_shuffle_texts_once_and_no_hits(spark, tmp_path):
+    """Texts of ids of their own are shuffled, once; what is grouped by word and document holds none of their hits."""
+    letters = random.Random(3)
+    texts = [(i, " ".join("".join(letters.choices("abcdefgh", k=4)) for _ in range(400))) for i in range(300)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(str(tmp_path / "texts"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = index.document_postings(spark.read.parquet(str(tmp_path / "texts")))
+        found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    stages, sizes = [found._jdf.queryExecution().executedPlan()], []
+    while stages:
+        node = stages.pop()
+        if node.nodeName() in ("AdaptiveSparkPlan", "ShuffleQueryStage"):
+            stages.append(node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan())
+            continue
+        if node.nodeName() == "Exchange":
+            sizes.append(node.metrics().apply("shuffleRecordsWritten").value())
+        stages.extend(node.children().apply(i) for i in range(node.children().size()))
+    assert sum(n == 300 for n in sizes) <= 3 and sum(sizes) < 3000, sizes  # ids counted, counts and texts joined
+
+
 def test_posting_lists_say_in_how_many_documents(documents):
     long_form = index.postings(index.word_positions(documents, STOP))
     found, want = index.posting_lists(long_form).collect(), long_form.collect()
@@ -124,6 +166,16 @@ def test_posting_files_read_as_one_report(spark, documents, corpus, tmp_path):
         assert got == want
 
 
+def test_posting_files_without_ids_and_their_shuffle(spark, tmp_path):
+    """Places of a null id have no document line; a place takes a few bytes of the shuffle, not a struct's 32."""
+    table, text = str(tmp_path / "table"), str(tmp_path / "text")
+    index.document_postings(spark.createDataFrame([(None, "cat\ncat"), (3, "cat")], "doc_id bigint, text string")).write.parquet(table)
+    sinks.write_postings(spark.read.parquet(table), text, 10)
+    assert "".join(f.read_text() for f in sorted((tmp_path / "text").glob("part=0/part-*.txt"))) == "cat\t3\n\t\t0 0\n\t\t1 0\n\t3 1\n\t\t0 0\n\n"
+    piece = sinks.posting_pieces(spark.read.parquet(table)).filter("section = 1 AND doc_id IS NULL")
+    assert piece.select(sinks._posting_numbers().alias("numbers")).first().numbers == "2\n0 0\n1 0"
+
+
 def test_stop_word_file(spark, rows, tmp_path):
     path = tmp_path / "stop.txt"
     path.write_text("# a comment\nthe\na\nthe\n")
