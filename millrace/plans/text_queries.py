@@ -194,9 +194,9 @@ def index_positions(spark, folder):
     ),
 )
 def posting_lists(spark, folder):
-    found = index.posting_lists(index.postings(_hits(spark, folder)))
     first_line = F.col("positions")[0]["line_no"].cast("bigint")
-    return found.select("word", "doc_id", "n", first_line.alias("first_line"), "n_docs")
+    entries = _postings(spark, folder).select("word", "doc_id", "n", first_line.alias("first_line"))  # what the join carries
+    return index.posting_lists(entries)
 
 
 @query(
