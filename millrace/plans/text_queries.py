@@ -181,7 +181,7 @@ def inverted_index_totals(spark, folder):
 )
 def index_positions(spark, folder):
     spots = F.transform("positions", lambda p: F.concat_ws(":", p["line_no"].cast("string"), p["word_no"].cast("string")))
-    return index.postings(_hits(spark, folder)).withColumn("positions", F.array_join(spots, " "))
+    return _postings(spark, folder).withColumn("positions", F.array_join(spots, " "))
 
 
 @query(
