@@ -19,8 +19,9 @@ its other lines, divided by ``BLOCK`` for rows and not divided for comparisons.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -226,10 +227,11 @@ class _Line:
     def __init__(self, text: str) -> None:
         self.text, self.codes, self.long, self.short = text, None, None, None
 
-    def windows(self, size: int) -> np.ndarray:
+    def at(self, places: np.ndarray, size: int) -> bytes:
+        """The shingles at these places, one after another."""
         if self.codes is None:
-            self.codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        return np.lib.stride_tricks.sliding_window_view(self.codes, size)
+            self.codes = self.text.encode("utf-32-le", "surrogatepass")
+        return np.ndarray(len(self.text) - size + 1, f"V{4 * size}", self.codes, 0, 4)[places].tobytes()
 
 
 def _prepared(texts: list[str], chars: int = 500_000) -> list[_Line]:
@@ -240,23 +242,25 @@ def _prepared(texts: list[str], chars: int = 500_000) -> list[_Line]:
         sizes = np.fromiter((len(x.text) for x in chosen), np.int64, len(chosen))
         run = np.cumsum(sizes) // chars
         edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(chosen)] if len(chosen) else [0]
-        places = np.arange(int(sizes.max(initial=0)), dtype=np.uint64)
         for low, high in zip(edges, edges[1:], strict=False):
             h, n = _hashes([x.text for x in chosen[low:high]], sizes[low:high], size)
+            ends = np.cumsum(n)
+            starts = ends - n
             h &= _HASH
-            ends = np.cumsum(n).tolist()
+            h |= (np.arange(len(h)) - np.repeat(starts, n)).astype(np.uint64)
+            for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+                h[start:end].sort()
+            new = np.append(True, (h[1:] ^ h[:-1]) >> _FAR != 0)
+            new[starts] = True
+            h, ends = h[new], np.cumsum(new)[ends - 1].tolist()
             for line, start, end in zip(chosen[low:high], [0, *ends], ends, strict=False):
-                part = h[start:end] | places[: end - start]
-                part.sort()
-                new = np.ones(len(part), bool)
-                np.not_equal(part[1:] >> _FAR, part[:-1] >> _FAR, out=new[1:])
-                setattr(line, slot, part[new])
+                setattr(line, slot, h[start:end])
     return lines
 
 
 def _alike(a: _Line, b: _Line) -> bool:
-    """Whether ``similarity`` is ``ALIKE`` or more. Counts of hashes decide unless they are near the limit, and
-    shingles of one hash are compared; where either leaves a doubt the strings decide."""
+    """Whether ``similarity`` is ``ALIKE`` or more. Counts of hashes decide unless they are near the limit and
+    a hash comes twice in a line, and shingles of one hash are compared; where either leaves a doubt the strings decide."""
     size, x, y = (SHORT_SHINGLE, a.short, b.short) if a.short is not None and b.short is not None else (SHINGLE, a.long, b.long)
     if x is None or y is None:
         either = max(len(a.text), len(b.text)) > 1 << _PLACE
@@ -269,19 +273,15 @@ def _alike(a: _Line, b: _Line) -> bool:
     spare = len(met) - ALIKE * (len(x) + len(y) - len(met))
     if spare < -4:
         return False
-    if spare > 4:
+    different = len(x) == len(a.text) - size + 1 and len(y) == len(b.text) - size + 1  # no hash comes twice in a line, so no shingle does
+    if spare > 4 or different:
         mask = _OTHER - np.uint64(1)
         one, two = (both[met] & mask).astype(np.int64), (both[met + 1] & mask).astype(np.int64)
-        if (a.windows(size)[one] == b.windows(size)[two]).all():
-            return True
+        if a.at(one, size) == b.at(two, size):
+            return spare > 4 or min(len(x), len(y)) >= ALIKE * max(len(x), len(y)) and len(met) / (len(x) + len(y) - len(met)) >= ALIKE
     return similarity(Shingles(a.text), Shingles(b.text)) >= ALIKE
 
 
-def _short(key: bytes) -> int:
-    x = xxhash.xxh64_intdigest(key, 42)
-    return x - (1 << 64) if x >> 63 else x
-
-
 def _first_of_bands(flat: np.ndarray, line: np.ndarray, short: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order of the entries by band, each one's place in its band, and the band's first line."""
     order = np.argsort(flat)
@@ -297,26 +297,48 @@ def _first_of_bands(flat: np.ndarray, line: np.ndarray, short: np.ndarray) -> tu
     return order, place, first
 
 
-SKETCHED = "a binary, b binary, short bigint, bands array<bigint>, held array<bigint>"
+SKETCHED = "part int, bands binary, shorts binary, a binary, b binary, short bigint, held array<bigint>"
+FOUND = "band bigint, short bigint, first bigint, before bigint, copied bigint, a binary, b binary, held array<bigint>"
+
+
+def _rows(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
+    """A batch of ``n`` rows with these columns, the others null."""
+    arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def _schema(ddl: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
+
+
+def _cut(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` between each two ``edges``."""
+    offsets = pa.py_buffer((edges * values.itemsize).astype(np.int32))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
 
+def _joined(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64)
 
-def _lists(line: np.ndarray, values: np.ndarray, lines: int, before: int) -> pa.ListArray:
-    """``values`` as a list for each of ``lines``, after ``before`` rows without any."""
-    order = np.argsort(line)
-    offsets = np.concatenate([np.zeros(before + 1, np.int64), np.cumsum(np.bincount(line, minlength=lines))])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[order].view(np.int64)))
 
+def _own(short: np.ndarray) -> np.ndarray:
+    """A band that only copies of a line share."""
+    return _mixed((_mixed(short.view(np.uint64) * _P) ^ _P2) * _P)
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verified links inside a batch (``a``, ``b``), and a row per line: ``short`` and its ``bands``, those under
-    ``held`` where the band's first line is linked and enough others go to the first comparison."""
+
+def _sketch(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Verified links inside a batch (``a``, ``b``); per line its bands under ``held`` where the band's first line is
+    linked and enough others go to the first comparison; the other entries (a band and a line's ``short``) packed by ``part``,
+    a range of bands. A line has an entry of its ``_own`` band as well, two if it is there more than once."""
+    schema = _schema(SKETCHED)
     for batch in batches:
         for _, texts in slices(batch.column(0), 4 << 20):
-            lines = list({line for t in texts.to_pylist() for line in t.split("\n") if line.strip(" \t\n\r\x0b\x0c")})
-            if not lines:
+            counted = Counter(line for t in texts.to_pylist() for line in t.split("\n") if line.strip(" \t\n\r\x0b\x0c"))
+            if not counted:
                 continue
-            keys = [hashlib.md5(line.encode(), usedforsecurity=False).digest() for line in lines]
-            short = np.array([_short(k) for k in keys], np.int64)
+            lines = list(counted)
+            short = np.array([xxhash.xxh64_intdigest(line.encode(), 42) for line in lines], np.uint64).view(np.int64)
             band, line = bands(lines)
             order, place, first = _first_of_bands(band, line, short)
             band, line = band[order], line[order]
@@ -329,39 +351,78 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ready = dict(zip(used.tolist(), _prepared([normal(lines[x]) for x in used.tolist()]), strict=True))
                 alike = np.array([_alike(ready[x], ready[y]) for x, y in pairs.tolist()])
                 held[later] = alike[which.ravel()] & (place[later] >= SENT)
-            links, none = pairs[alike].tolist(), [None] * len(lines)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([keys[a] for a, _ in links] + none, pa.binary()), pa.array([keys[b] for _, b in links] + none, pa.binary()),
-                    pa.array(np.concatenate([np.zeros(len(links), np.int64), short])),
-                    _lists(line[~held], band[~held], len(lines), len(links)), _lists(line[held], band[held], len(lines), len(links)),
-                ],
-                names=["a", "b", "short", "bands", "held"],
-            )
-
-
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each line of a band with the band's first line and with the one before; rows come by band, and are put in order
-    of ``short`` here, as far as a band lies in one batch."""
-    band_before = short_before = first = None
+            links = pairs[alike].tolist()
+            if links:
+                keys = {x: hashlib.md5(lines[x].encode(), usedforsecurity=False).digest() for x in {x for pair in links for x in pair}}
+                yield _rows(schema, len(links), part=np.arange(len(links)) % parts, a=[keys[a] for a, _ in links], b=[keys[b] for _, b in links])
+            if held.any():
+                back = np.argsort(line[held], kind="stable")
+                whose, sizes = np.unique(line[held], return_counts=True)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(band[held][back].view(np.int64)))
+                yield _rows(schema, len(whose), part=whose % parts, short=short[whose], held=lists)
+            several = np.repeat(short, np.fromiter((1 + (n > 1) for n in counted.values()), np.int64, len(lines)))
+            entries, whose = np.concatenate([band[~held], _own(several)]), np.concatenate([short[line[~held]], several])
+            part = ((entries >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+            order = np.argsort(part, kind="stable")
+            numbers, edges = np.unique(part[order], return_index=True)
+            edges = np.append(edges, len(order))
+            yield _rows(schema, len(numbers), part=numbers.astype(np.int32), bands=_cut(entries[order], edges), shorts=_cut(whose[order], edges))
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], together: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """A row per line of a band of several lines, with the band's ``first`` line and the one ``before``; ``copied`` lines;
+    and links and held lines as they come. Rows come by ``part``. Of a part of more than ``together`` entries only the
+    first line of each band is kept from one run of entries to the next."""
+    schema, none = _schema(FOUND), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    part, waiting, size = None, [none], 0  # the first of those waiting is what was kept
     for batch in batches:
-        band, short = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(band):
-            continue
-        order = np.lexsort((short, band))
-        band, short = band[order], short[order]
-        same = np.concatenate([[band[0] == band_before], band[1:] == band[:-1]])
-        before = np.concatenate([[short_before if short_before is not None else 0], short[:-1]])
-        starts = np.where(same, 0, np.arange(len(band)))
-        firsts = short[np.maximum.accumulate(starts)]
-        if same[0]:  # the last batch's band goes on
-            firsts[: len(same) if same.all() else int(np.argmin(same))] = first
-        band_before, short_before, first = band[-1], short[-1], firsts[-1]
-        a, b = np.concatenate([firsts[same], before[same]]), np.concatenate([short[same], short[same]])
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        rows = np.stack([np.concatenate([band[same], band[same]]), low, high], axis=1)[low != high]
-        rows = np.unique(rows, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in (0, 1, 2)], names=["band", "a", "b"])
+        whole = pa.Table.from_batches([batch])
+        others = whole.filter(pc.is_null(whole["bands"]))
+        if len(others):
+            yield _rows(schema, len(others), **{c: others[c].combine_chunks() for c in ("a", "b", "short", "held")})
+        entries = whole.filter(pc.is_valid(whole["bands"])).combine_chunks()
+        at = entries["part"].to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)] if len(at) else []
+        for low, high in zip(edges, edges[1:], strict=False):
+            if at[low] != part:
+                yield from _settled(waiting, schema)[0]
+                part, waiting, size = at[low], [none], 0
+            waiting.append(tuple(_joined(entries[c].slice(low, high - low)) for c in ("bands", "shorts")))
+            size += len(waiting[-1][0])
+            if size >= max(together, 2 * len(waiting[0][0])):
+                rows, rest = _settled(waiting, schema)
+                waiting, size = [rest], 0
+                yield from rows
+    yield from _settled(waiting, schema)[0]
+
+
+def _settled(waiting: list[tuple], schema: pa.Schema) -> tuple[list[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]:
+    """The rows of ``_candidates`` for these entries, and the first line of each band."""
+    band, short = (np.concatenate(x) for x in zip(*waiting, strict=True))
+    order = np.argsort(band)
+    band, short = band[order], short[order]
+    new = _changes(band)
+    alone = new & np.append(new[1:], True)[: len(new)]  # most bands have one entry
+    rest = band[alone], short[alone]
+    band, short = band[~alone], short[~alone]
+    order = np.lexsort((short, band))
+    band, short = band[order], short[order]
+    new = _changes(band)
+    again = ~(new | _changes(short))
+    copied = np.unique(short[again & (band.view(np.uint64) == _own(short))])
+    band, short, new = band[~again], short[~again], new[~again]
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(band)))
+    rest = np.append(rest[0], band[starts]), np.append(rest[1], short[starts])
+    first, before, several = np.repeat(short[starts], sizes), np.roll(short, 1), np.repeat(sizes > 1, sizes)
+    lines = {"first": pa.array(first[several], mask=new[several]), "before": pa.array(before[several], mask=new[several])}
+    lines = _rows(schema, int(several.sum()), band=band[several], short=short[several], **lines)
+    return [lines, _rows(schema, len(copied), copied=copied)], rest
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before."""
+    return np.append(True, x[1:] != x[:-1])[: len(x)]
 
 
 def _verify(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -442,40 +503,46 @@ def _lines(docs: DataFrame, text: str) -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n")
 
 
-def _first_comparison(sketched: DataFrame, docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``a, b`` found alike, the compared ``band, a, b``, and the texts ``short, key, line`` of bands of several lines."""
-    by_band = sketched.select(F.explode("bands").alias("band"), "short").repartition("band").sortWithinPartitions("band")
-    compared = written(by_band.mapInArrow(_candidates, "band bigint, a bigint, b bigint"))
-    pairs = compared.select("a", "b").distinct()
-    # Texts of the lines that are in some pair or held back. The filter before the shuffle lets a few more pass.
-    wanted = compared.select(F.explode(F.array("a", "b")).alias("short")).union(sketched.where(F.size("held") > 0).select("short")).distinct()
+def _first_comparison(found: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``a, b`` found alike; the lines of bands of several lines, ``band, short``; their texts ``short, key, line``; and
+    every place of these lines and of copied ones, ``doc_id, tie, line_no, key``."""
+    compared = found.where("band IS NOT NULL")
+    later = compared.where("first IS NOT NULL")
+    pairs = later.select("short", F.col("first").alias("other")).union(later.where("before <> first").select("short", "before"))
+    pairs = pairs.select(F.least("short", "other").alias("a"), F.greatest("short", "other").alias("b")).distinct()
+    # Lines that are in some pair, held back or copied; all others go nowhere. The filter before the shuffle lets a few more pass.
+    wanted = found.where("short IS NOT NULL").select("short", F.lit(1).alias("text"))
+    wanted = wanted.union(found.where("copied IS NOT NULL").select("copied", F.lit(0)))
+    wanted = written(wanted.groupBy("short").agg(F.max("text").alias("text")))
     prefix = lambda c: F.shiftrightunsigned(c, 64 - PREFIX_BITS)
     prefixes = wanted.select(prefix("short").alias("prefix")).distinct()
-    lines = docs.select(F.explode(_lines(docs, text)).alias("line"))
-    lines = lines.withColumn("key", line_key(F.col("line"))).withColumn("short", F.xxhash64("key"))
-    lines = lines.join(F.broadcast(prefixes), prefix("short") == F.col("prefix"), "left_semi")
-    lines = lines.join(wanted, "short", "left_semi").groupBy("short", "key").agg(F.first("line").alias("line"))
-    lines = written(lines)
+    places = docs.select(
+        F.col(id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tie"), F.posexplode(_lines(docs, text)).alias("line_no", "line")
+    )
+    places = places.withColumn("short", F.xxhash64("line")).join(F.broadcast(prefixes), prefix("short") == F.col("prefix"), "left_semi")
+    places = places.join(wanted, "short").where(F.col("line").rlike(WORD))
+    places = written(places.select("doc_id", "tie", "line_no", "short", line_key(F.col("line")).alias("key"), F.when(F.col("text") == 1, F.col("line")).alias("line")))
+    lines = written(places.where("line IS NOT NULL").groupBy("short", "key").agg(F.first("line").alias("line")))
     left = lines.select(F.col("short").alias("a"), F.col("key").alias("key_a"), F.col("line").alias("line_a"))
     right = lines.select(F.col("short").alias("b"), F.col("key").alias("key_b"), F.col("line").alias("line_b"))
     both = pairs.join(left, "a").join(right, "b").select("key_a", "line_a", "key_b", "line_b")
-    alike = sketched.where("a IS NOT NULL").select("a", "b").union(both.mapInArrow(_verify, "a binary, b binary"))
-    return alike, compared, lines
+    alike = found.where("a IS NOT NULL").select("a", "b").union(both.mapInArrow(_verify, "a binary, b binary"))
+    return alike, compared.select("band", "short"), lines, places.select("doc_id", "tie", "line_no", "key")
 
 
-def _blocks(sketched: DataFrame, compared: DataFrame, lines: DataFrame, roots: DataFrame) -> DataFrame:
+def _blocks(found: DataFrame, compared: DataFrame, lines: DataFrame, roots: DataFrame) -> DataFrame:
     """Blocks of the bands that hold several groups of ``roots``: ``band, i, j, chunk, root, key, line``."""
-    group = roots.select(F.xxhash64("node").alias("short"), F.xxhash64("root").alias("root"))
+    group = lines.select("short", F.col("key").alias("node")).join(roots, "node").select("short", F.xxhash64("root").alias("root"))
 
     def grouped(rows):
         return rows.join(group, "short", "left").select("band", "short", F.coalesce("root", "short").alias("root"))
 
     # What is held back is in the group of a line that is not, so these tell which bands hold several groups.
     # Two lines have been compared already.
-    seen = grouped(compared.select("band", F.explode(F.array("a", "b")).alias("short")).distinct())
+    seen = written(grouped(compared))
     mixed = seen.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = written(mixed.where("n > 2 AND low <> high").select("band"))
-    held = sketched.where(F.size("held") > 0).select(F.explode("held").alias("band"), "short").join(mixed, "band", "left_semi")
+    held = found.where("held IS NOT NULL").select(F.explode("held").alias("band"), "short").join(mixed, "band", "left_semi")
     members = written(seen.join(mixed, "band", "left_semi").union(grouped(held.distinct())).distinct())
     sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most"))
@@ -495,40 +562,36 @@ def _blocks(sketched: DataFrame, compared: DataFrame, lines: DataFrame, roots: D
     return dealt.join(lines, "short").select("band", "i", "j", "chunk", "root", "key", "line")
 
 
-def links(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Alike pairs of different lines, ``a, b`` by their keys, that connect all that were found alike."""
-    sketched = written(docs.select(F.col(text)).mapInArrow(_sketch, SKETCHED))
-    alike, compared, lines = _first_comparison(sketched, docs, text)
+def _linked(docs: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Alike pairs of different lines, ``a, b`` by their keys, that connect all that were found alike; and every place,
+    ``doc_id, tie, line_no, key``, of the lines that can be in such a pair or are there more than once."""
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sketched = docs.select(F.col(text)).mapInArrow(partial(_sketch, parts=parts), SKETCHED)
+    found = written(sketched.repartition("part").sortWithinPartitions("part").mapInArrow(_candidates, FOUND))
+    alike, compared, lines, places = _first_comparison(found, docs, id, text)
     stars = components(alike)
-    blocks = _blocks(sketched, compared, lines, stars)
+    blocks = _blocks(found, compared, lines, stars)
     blocks = blocks.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(blocks.mapInArrow(_across, "a binary, b binary"))
+    links = stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(blocks.mapInArrow(_across, "a binary, b binary"))
+    return links, places
 
 
-def occurrences(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every line with a word: ``doc_id, tie`` (hash of the text), ``line_no`` from 0, its ``component``
-    and whether it is the component's first, in order of id (nulls last), hash and number."""
-    roots = components(links(docs, text))
-    lines = docs.select(
-        F.col(id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tie"), F.posexplode(_lines(docs, text)).alias("line_no", "line")
-    )
-    keyed = lines.where(F.col("line").rlike(WORD)).select("doc_id", "tie", "line_no", line_key(F.col("line")).alias("key"))
-    joined = keyed.join(roots, keyed.key == roots.node, "left").select("doc_id", "tie", "line_no", F.coalesce("root", "key").alias("component"))
+def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The lines that go, ``doc_id, tie`` (hash of the text) and ``line_no`` from 0: all of a component but its
+    first in order of id (nulls last), hash and number."""
+    links, places = _linked(docs, id, text)
+    roots = components(links)
+    joined = places.join(roots, places.key == roots.node, "left").select("doc_id", "tie", "line_no", F.coalesce("root", "key").alias("component"))
     joined = written(joined)
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tie", "line_no")
     firsts = joined.groupBy("component").agg(F.min(place).alias("first"))
-    return joined.join(firsts, "component").select("doc_id", "tie", "line_no", "component", (place == F.col("first")).alias("is_first"))
+    return joined.join(firsts, "component").where(place != F.col("first")).select("doc_id", "tie", "line_no")
 
 
 def _dropped(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """Per document with words: ``doc_id, tie, n_lines`` and the sorted numbers of its lines that go."""
-    found = occurrences(docs, id, text)
-    number = F.when(~F.col("is_first"), F.col("line_no"))
+    """Per document with lines that go: ``doc_id, tie`` and their sorted numbers."""
     # A set, as rows that are alike in id and text are one document here. Bounded by the document.
-    return found.groupBy("doc_id", "tie").agg(
-        F.size(F.collect_set("line_no")).cast("bigint").alias("n_lines"),
-        F.sort_array(F.collect_set(number)).alias("dropped"),
-    )
+    return repeats(docs, id, text).groupBy("doc_id", "tie").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -541,12 +604,13 @@ def digest(docs: DataFrame) -> DataFrame:
     """
     plain = docs.select("doc_id", "text")
     found = _dropped(plain, "doc_id", "text").alias("r")
-    every = plain.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("tie")).alias("l")
+    n_lines = F.size(F.filter(_lines(plain, "text"), lambda line: line.rlike(WORD))).cast("bigint")
+    every = plain.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("tie"), n_lines.alias("n_lines")).alias("l")
     same = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.tie") == F.col("r.tie"))
     none = F.array().cast("array<int>")
     numbers = F.coalesce("r.dropped", none)
     return every.join(found, same, "left").select(
-        "l.doc_id", F.coalesce("n_lines", F.lit(0).cast("bigint")).alias("n_lines"), F.size(numbers).cast("bigint").alias("n_dropped"),
+        "l.doc_id", "n_lines", F.size(numbers).cast("bigint").alias("n_dropped"),
         F.array_join(numbers.cast("array<string>"), ",").alias("dropped"),
     )
 
@@ -557,7 +621,7 @@ def remove(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     A document all of whose lines go is left with an empty text or its blank lines.
     """
     found = _dropped(docs.select(F.col(id).alias(id), F.col(text).alias(text)), id, text)
-    found = found.where(F.size("dropped") > 0).select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.col("dropped").alias("__dropped"))
+    found = found.select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), F.col("dropped").alias("__dropped"))
     same = docs[id].cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__tie"))
     left = F.filter(F.split(docs[text], "\n"), lambda line, i: ~F.array_contains(F.col("__dropped"), i))
     new = F.when(F.col("__dropped").isNull(), docs[text]).otherwise(F.array_join(left, "\n"))

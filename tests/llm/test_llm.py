@@ -249,6 +249,35 @@ def test_short_lines_with_one_edit_are_alike(spark):
     assert line_dedup.similarity(line_dedup.shingles(long), line_dedup.shingles(long[:-1])) > 0.9
 
 
+def test_band_entries_are_packed_and_settled_in_runs():
+    """A row holds a range of bands, not one; small runs of entries find the same lines and copies as a single one."""
+    rng = np.random.default_rng(7)
+    own = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 60)) + "!" for _ in range(300)]
+    texts = ["\n".join(["a line in every text of this corpus, and one that is not alike to the others", *own[i : i + 30], own[i - 40][:-1] + "?"]) for i in range(0, 300, 20)]
+    sketched = [r for t in texts for r in line_dedup._sketch(iter([pa.record_batch([pa.array([t])], names=["text"])]), 8)]
+    packed = [r for r in pa.Table.from_batches(sketched).to_pylist() if r["bands"] is not None]
+    assert len(packed) <= 8 * len(texts) and sum(len(r["bands"]) for r in packed) == sum(len(r["shorts"]) for r in packed)
+    rows = pa.Table.from_batches(sketched).sort_by("part").combine_chunks().to_batches()
+    whole, runs = (pa.Table.from_batches(line_dedup._candidates(iter(rows), together)).to_pylist() for together in (1 << 20, 10))
+    for kind in (("copied",), ("band", "short")):
+        one, other = ({tuple(r[k] for k in kind) for r in found if r[kind[0]] is not None} for found in (whole, runs))
+        assert one == other and one
+    lines = [x for t in texts for x in t.split("\n")]
+    again = {x for x in lines if lines.count(x) > 1}
+    assert {r["copied"] for r in whole} - {None} == {np.uint64(xxhash.xxh64_intdigest(x, 42)).astype(np.int64) for x in again}
+
+
+def test_the_limit_is_decided_without_the_strings(monkeypatch):
+    """Lines near the limit whose shingles are all different need no sets of strings."""
+    x = "".join(chr(97 + i % 26) + chr(65 + i // 26) + chr(48 + i % 10) for i in range(40))
+    pairs = [(x, x[:i] + "#" + x[i + 1 :]) for i in range(0, 120)] + [(x, x[: 120 - i]) for i in range(40)]
+    want = [line_dedup.similarity(line_dedup.shingles(a), line_dedup.shingles(b)) >= line_dedup.ALIKE for a, b in pairs]
+    assert any(want) and not all(want)
+    ready = line_dedup._prepared([line_dedup.normal(v) for p in pairs for v in p])
+    monkeypatch.setattr(line_dedup, "similarity", None)
+    assert [line_dedup._alike(ready[2 * i], ready[2 * i + 1]) for i in range(len(pairs))] == want
+
+
 def test_lines_alike_share_a_band_and_are_found_alike(real):
     """Recall of the bands, and the fast comparison against the plain one, on lines with random edits."""
     rng = np.random.default_rng(23)
