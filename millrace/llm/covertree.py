@@ -1,39 +1,41 @@
-"""Embedding near-duplicates: exact threshold pairs by dual traversal of cover trees.
-
-Unit vectors lie on a sphere, where a cosine is a distance. The root covers all. A cell with more than ``TILE``
-vectors is cut by Spark, round after round: each vector goes to the nearest of a few new centres taken from the cell.
-With each round pairs of cells go down too: those that lie farther apart than the threshold and both covering
-radii are left. The last cells are tiles. Each tile's tree is built once and is kept with it: nested levels, where a level's
-centres cover its points within a radius, the next level halves it, and a node's first child has its own centre.
-Pairs of nodes go down the levels together: a pair is left when its centres are farther apart than the
-threshold and both covering radii, and counted whole when they are nearer than the threshold less both.
-Spark deals out the pairs of tiles; inside one the traversal is numpy.
-
-Vectors that are spread evenly over many dimensions leave no such bound to prune by: then all pairs of
-centres are compared, by matrix products, and work grows with the square of the table.
+"""Embedding near-duplicates: exact threshold pairs by dual traversal of a cover tree.
+
+Unit vectors lie on a sphere, where a cosine is a distance. The upper levels are cells: the driver cuts a sample by nested
+centres until a cell should hold ``TILE`` vectors, and each vector goes down to its nearest ones. The sample decides the cells only; all
+vectors are in one. In a cell, a tile, the next level are nodes: balls whose vectors are all linked with each other, and single vectors.
+Tiles farther apart than the threshold and both radii are left. The rest meet in tasks, a group of tiles with another, so that a tile is
+copied once per group and not once per tile. There pairs of nodes are left in turn: a product in single precision
+bounds the distance of many at once from below, along the directions that part them best and by what remains of each outside of them. Pairs
+that are left over are decided in double precision: apart, linked whole, or vector by vector.
+
+Vectors that are spread evenly over many dimensions leave no tiles to prune by: then all pairs of nodes are bounded,
+and work grows with the square of the table.
 """
 
 from __future__ import annotations
 
 import math
-import pickle
-import zlib
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import components, written
 
 COSINE = 0.95
 FAN = 16  # centres at most into which a cell is cut
-TILE = 8192
-CHUNK = 8192  # vectors of a cell that one task deals to its centres
+TILE = 4096
+SAMPLE = 64  # vectors of a tile that the driver sees to place the centres
+SAMPLE_BYTES = 64 << 20  # of all vectors of a length there
 ROUNDS = 16  # after which a cell that is still too large is dealt by hash
-RADII = (1.0, 0.5, 0.25, 0.125, 0.0625)
+BALLS = (0.22, 0.15)  # radii of balls around a member: whether a ball of the first is all linked is looked up, of the second it is sure
+GROUP_BYTES = 24 << 20  # of the vectors of a group of tiles
+GROUPS = 4  # groups at least, if there are as many tiles
+BLOCK = (256, 2048)  # pairs of nodes bounded at once
+DENSE = 0.02  # of these, left open, from which all vectors of theirs are compared by one product
+CROWD = 32  # pairs of vectors that a pair of nodes stands for, up to which that is so
 SLACK = 1e-9  # of distances, for rounding; whatever it leaves open is decided on single vectors
 
 
@@ -44,199 +46,355 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def _apart(cosine: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
+def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+class Cells:
+    """Nested centres of the vectors of one length. A cell that its centres cannot part has several ``parts``."""
+
+    def __init__(self, sample: np.ndarray, each: float, fan: int, tile: int, depth: int = 0):
+        self.centres, self.below = None, []
+        n = len(sample) * each  # vectors that the sample stands for
+        self.parts = self.size = max(1, math.ceil(n / tile))
+        k = min(fan, max(2, math.ceil(1.5 * n / tile)), len(sample))
+        if self.parts == 1 or k < 2 or depth == ROUNDS:
+            return
+        centres = sample[:k]
+        for _ in range(3):
+            which = (sample @ centres.T).argmax(axis=1)
+            held = np.unique(which)
+            if len(held) == 1:
+                return
+            sums = np.stack([sample[which == c].sum(axis=0) for c in held])
+            lengths = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+            centres = np.where(lengths > 0, sums / np.maximum(lengths, SLACK), centres[held])
+        which = (sample @ centres.T).argmax(axis=1)
+        inside = [sample[which == c] for c in range(len(centres))]
+        if max(map(len, inside)) == len(sample):
+            return
+        self.centres = centres.astype(np.float32)
+        self.below = [Cells(some, each, fan, tile, depth + 1) for some in inside]
+        self.size = sum(c.size for c in self.below)
+
+    def deal(self, u: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The number of each vector's cell and part, from 0 on."""
+        if self.centres is None:
+            return ids.astype(np.uint64) % np.uint64(self.parts)
+        out = np.empty(len(u), np.uint64)
+        which = (u @ self.centres.T).argmax(axis=1)
+        before = 0
+        for c, cell in enumerate(self.below):
+            rows = np.flatnonzero(which == c)
+            if len(rows):
+                out[rows] = cell.deal(u[rows], ids[rows]) + np.uint64(before)
+            before += cell.size
+        return out
 
 
 def _covered(u: np.ndarray, rest: np.ndarray, r: float, block: int = 256) -> list[np.ndarray]:
     """Groups of ``rest``, each within ``r`` of its first: the first left is a centre, and takes all left within ``r``."""
-    groups = []
+    groups, limit = [], np.float32(1.0 - r * r / 2.0)
+    left = u[rest]
     while len(rest):
-        some = u[rest[:block]]
-        near = _apart(some @ some.T) <= r
+        some = left[:block]
+        near = some @ some.T >= limit
         np.fill_diagonal(near, True)
         free, centres = np.ones(len(some), bool), []
         for i in range(len(some)):
             if free[i]:
                 centres.append(i)
                 free &= ~near[i]
-        near = _apart(u[rest] @ some[centres].T) <= r
+        near = left @ some[centres].T >= limit
         near[centres, np.arange(len(centres))] = True
         taken = near.any(axis=1)
-        which = near.argmax(axis=1)
-        order = np.flatnonzero(taken)[np.argsort(which[taken], kind="stable")]
-        groups += np.split(rest[order], np.cumsum(np.bincount(which[taken], minlength=len(centres)))[:-1])
-        rest = rest[~taken]
+        which = near[taken].argmax(axis=1)
+        order = np.flatnonzero(taken)[np.argsort(which, kind="stable")]
+        groups += np.split(rest[order], np.cumsum(np.bincount(which, minlength=len(centres)))[:-1])
+        rest, left = rest[~taken], left[~taken]
     return groups
 
 
-class Tree:
-    """Nested levels over the rows of ``u``. ``order`` sorts them so that each node is a run of rows.
+def nodes(u: np.ndarray, reach: float) -> list[np.ndarray]:
+    """The rows of ``u`` as nodes: single ones first, then balls whose rows are all within ``reach`` of each other."""
+    small = u.astype(np.float32)
+    found = []
+    for rows in _covered(small, np.arange(len(u)), BALLS[0]):
+        if len(rows) > 1:
+            gap = u[rows] - u[rows].mean(axis=0)
+            if 2.0 * math.sqrt(np.einsum("ij,ij->i", gap, gap).max()) > reach - SLACK:
+                found += _covered(small, rows, BALLS[1])
+                continue
+        found.append(rows)
+    return sorted(found, key=lambda rows: len(rows) > 1)
+
+
+class Tile:
+    """Rows in the order of their nodes, of which ``low`` has the first rows, and a ball around all of them."""
+
+    def __init__(self, u: np.ndarray, low: np.ndarray):
+        self.u, self.low = u, low
+        self.sizes = np.diff(np.append(low, len(u)))
+        self.single = int((self.sizes == 1).sum())  # they come first
+        self.balls = np.empty((0, u.shape[1]))
+        self.radius = np.zeros(len(low))
+        if self.single < len(low):
+            first = int(low[self.single])
+            sizes = self.sizes[self.single :]
+            self.balls = np.add.reduceat(u[first:], low[self.single :] - first) / sizes[:, None]
+            gap = u[first:] - np.repeat(self.balls, sizes, axis=0)
+            self.radius[self.single :] = np.sqrt(np.maximum.reduceat(np.einsum("ij,ij->i", gap, gap), low[self.single :] - first))
+
+    def ball(self) -> tuple[np.ndarray, float]:
+        centre = self.u.mean(axis=0)
+        gap = self.u - centre
+        return centre, math.sqrt(np.einsum("ij,ij->i", gap, gap).max())
+
+    def centres(self) -> np.ndarray:
+        return np.concatenate([self.u[: self.single], self.balls])
+
+
+class Side:
+    """Tiles as one table of rows and one of nodes."""
+
+    def __init__(self, tiles: list[Tile], weights: list[np.ndarray]):
+        self.tiles, self.weight = tiles, np.concatenate(weights).astype(np.float64)
+        self.rows = np.cumsum([0] + [len(t.u) for t in tiles])
+        self.nodes = np.cumsum([0] + [len(t.low) for t in tiles])
+        self.low = np.concatenate([t.low + first for t, first in zip(tiles, self.rows, strict=False)])
+        self.sizes = np.concatenate([t.sizes for t in tiles])
+        self.radius = np.concatenate([t.radius for t in tiles])
+        # Single vectors are their own centres, those of balls lie behind the rows.
+        balls = np.cumsum([self.rows[-1]] + [len(t.balls) for t in tiles])
+        self.at = np.concatenate(
+            [np.concatenate([t.low[: t.single] + first, np.arange(b, b + len(t.balls))]) for t, first, b in zip(tiles, self.rows, balls, strict=False)]
+        )
+        self.x = np.concatenate([t.u for t in tiles] + [t.balls for t in tiles])
+        self.node_weight = np.add.reduceat(self.weight, self.low)
+        ends = [t.ball() for t in tiles]
+        self.middle, self.wide = np.stack([c for c, _ in ends]), np.array([r for _, r in ends])
+        self.row_count, self.node_count = np.zeros(self.rows[-1]), np.zeros(self.nodes[-1])
+
+    def segment(self, tile: int, kind: int) -> slice:
+        """The nodes of a tile: its single ones, or its balls."""
+        first, cut = self.nodes[tile], self.nodes[tile] + self.tiles[tile].single
+        return slice(first, cut) if not kind else slice(cut, self.nodes[tile + 1])
+
+    def counts(self) -> np.ndarray:
+        return self.row_count + np.repeat(self.node_count, self.sizes)
+
 
-    Per level: ``low``/``high`` (run), ``radius``, and ``child`` (where its children begin in the next
-    level). A node's centre is the first row of its run. The last level is the rows themselves.
+class Bound:
+    """Bounds distances from below: those along a few directions, and the difference of what remains outside of them.
+
+    They are bounded by one product in single precision. Any directions are right; the chosen ones are those along which a
+    sample of nodes spreads most, as many as pay for comparing what they leave open.
     """
 
-    def __init__(self, u: np.ndarray):
-        groups, levels = [np.arange(len(u))], []
-        for r in RADII:
-            deeper, child = [], []
-            for rest in groups:
-                child.append(len(deeper))
-                deeper += [rest] if len(rest) == 1 else _covered(u, rest, r)
-            levels.append((deeper, child))
-            groups = deeper
-        self.order = np.concatenate(groups) if groups else np.arange(0)
-        self.u = u[self.order]
-        self.low, self.high, self.radius, self.child = [], [], [], []
-        for depth, (nodes, _) in enumerate(levels):
-            sizes = np.fromiter(map(len, nodes), np.int64, len(nodes))
-            high = np.cumsum(sizes)
-            low = high - sizes
-            far = _apart(np.einsum("ij,ij->i", self.u, self.u[np.repeat(low, sizes)]))
-            self.low.append(low)
-            self.high.append(high)
-            self.radius.append(np.where(sizes > 1, np.maximum.reduceat(far, low), 0.0))
-            below = levels[depth + 1][1] if depth + 1 < len(levels) else low
-            self.child.append(np.append(below, len(levels[depth + 1][0]) if depth + 1 < len(levels) else len(u)))
-        rows = np.arange(len(u))
-        self.low.append(rows)
-        self.high.append(rows + 1)
-        self.radius.append(np.zeros(len(u)))
-
-    def levels(self) -> bytes:
-        """The tree without its vectors, which are kept in its order, and without the last level."""
-        kept = [(low.astype(np.int32), radius, child.astype(np.int32)) for low, radius, child in zip(self.low, self.radius, self.child, strict=False)]
-        return zlib.compress(pickle.dumps(kept), 1)
-
-    @classmethod
-    def from_levels(cls, levels: bytes, u: np.ndarray) -> Tree:
-        tree = cls.__new__(cls)
-        tree.order, tree.u = np.arange(len(u)), u
-        rows = np.arange(len(u))
-        kept = pickle.loads(zlib.decompress(levels))
-        tree.low = [low.astype(np.int64) for low, _, _ in kept] + [rows]
-        tree.high = [np.append(low[1:], len(u)) for low in tree.low]
-        tree.radius = [radius for _, radius, _ in kept] + [np.zeros(len(u))]
-        tree.child = [child.astype(np.int64) for _, _, child in kept]
-        return tree
-
-
-def _starting(a: Tree, b: Tree, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of nodes of the first level that are near enough.
-
-    Centres of like radii go together, so that a product in single precision and one limit leave out nearly all; the
-    limit is lower by what rounding may do. What it lets pass is decided in double precision.
+    def __init__(self, some: np.ndarray, far: float):
+        dim = some.shape[1]
+        self.middle, self.directions = np.zeros(dim), None
+        fit, other = some[::2], some[1::2]
+        if len(other) >= 64 and dim > 8:
+            middle = fit.mean(axis=0)
+            basis = np.linalg.svd(fit - middle, full_matrices=False)[2].T
+            full = other - middle
+            along, whole = full @ basis, (full * full).sum(axis=1)
+            best, cost = None, 0.5 + dim / 75
+            for m in (8, 12, 16, 20, 24, 28, 32, 40, 48, 64, 96, 128, 192, 256, 384, 512):
+                if m >= min(dim, basis.shape[1]):
+                    break
+                p = along[:, :m]
+                inside = (p * p).sum(axis=1)
+                rest = np.sqrt(np.maximum(whole - inside, 0.0))
+                gap = inside[:, None] + inside[None, :] - 2.0 * (p @ p.T) + (rest[:, None] - rest[None, :]) ** 2
+                passed = max(0, int((gap <= far * far).sum()) - len(p)) / (len(p) * max(1, len(p) - 1))
+                now = 0.5 + m / 75 + passed * (200 + 4 * dim)
+                if now < cost:
+                    best, cost = m, now
+            if best:
+                self.middle, self.directions = middle, basis[:, :best]
+        k = dim + 2 if self.directions is None else self.directions.shape[1] + 3
+        self.rounding = (k + 4) * 2.0**-20
+
+    def of(self, x: np.ndarray, left: bool) -> np.ndarray:
+        """Rows whose product with those of the other side is minus half of the square of the bound."""
+        x = x - self.middle
+        whole = np.einsum("ij,ij->i", x, x)
+        if self.directions is not None:
+            p = x @ self.directions
+            x = np.column_stack([p, np.sqrt(np.maximum(whole - np.einsum("ij,ij->i", p, p), 0.0))])
+        half, one = -0.5 * whole, np.ones(len(x))
+        return np.column_stack([x, half, one] if left else [x, one, half]).astype(np.float32)
+
+
+def _sampled(sides: list[Side], kinds: set[int], most: int = 2048) -> np.ndarray:
+    """Centres of nodes of these kinds, evenly from all tiles."""
+    found = []
+    for side in sides:
+        balls = side.sizes > 1
+        at = side.at[balls] if kinds == {1} else side.at[~balls] if kinds == {0} else side.at
+        found.append(side.x[at[:: max(1, len(at) * len(sides) // most)]])
+    return np.concatenate(found)
+
+
+def _near_nodes(a: Side, b: Side, reach: float, dense: Callable[[np.ndarray, slice, bool], None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of nodes that the bounds leave open: each once, and none with itself.
+
+    Blocks that leave open many go to ``dense``: nodes of a, a run of those of b, and whether only pairs with the first
+    before the second count.
     """
-    i_all, j_all = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    rounding = (a.u.shape[1] + 4) * 2.0**-22
-    like_a, like_b = _like(a.radius[0]), _like(b.radius[0])
-    for rows in like_a:
-        for columns in like_b:
-            far = reach + a.radius[0][rows].max() + b.radius[0][columns].max() + SLACK
-            limit = np.float32(1.0 - far * far / 2.0 - rounding)
-            right = b.u[b.low[0][columns]].astype(np.float32).T
-            for start in range(0, len(rows), 512):
-                part = rows[start : start + 512]
-                i, j = np.nonzero(a.u[a.low[0][part]].astype(np.float32) @ right >= limit)
-                i_all.append(part[i])
-                j_all.append(columns[j])
-    i, j = np.concatenate(i_all), np.concatenate(j_all)
-    near = []
-    for start in range(0, len(i), 1 << 16):
-        x, y = i[start : start + (1 << 16)], j[start : start + (1 << 16)]
-        apart = _apart(np.einsum("ij,ij->i", a.u[a.low[0][x]], b.u[b.low[0][y]]))
-        near.append(apart <= reach + a.radius[0][x] + b.radius[0][y] + SLACK)
-    kept = np.concatenate(near) if near else np.empty(0, bool)
-    return i[kept], j[kept]
-
-
-def _like(radius: np.ndarray) -> list[np.ndarray]:
-    """The nodes without a radius, those with a small one, and so on."""
-    edges = (-1.0, 0.0, 0.125, 0.25, 0.5, 0.75, 4.0)
-    groups = [np.flatnonzero((radius > low) & (radius <= high)) for low, high in zip(edges, edges[1:], strict=False)]
-    return [g for g in groups if len(g)]
-
-
-def _children(ptr: np.ndarray, ptr2: np.ndarray, i: np.ndarray, j: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of a child of i and a child of j, ``block`` or a little more at a time."""
-    for start in range(0, len(i), block):
-        x, y = i[start : start + block], j[start : start + block]
-        n = ptr[x + 1] - ptr[x]
-        # A row for each child of i, with the run of j's children.
-        rows = np.repeat(ptr[x] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        low, width = np.repeat(ptr2[y], n), np.repeat(ptr2[y + 1] - ptr2[y], n)
-        sums = np.cumsum(width)
-        first = 0
-        while first < len(rows):
-            before = sums[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(sums, before + block, side="right")))
-            some = width[first:last]
-            at = np.arange(int(some.sum())) - np.repeat(np.cumsum(some) - some, some)
-            yield np.repeat(rows[first:last], some), np.repeat(low[first:last], some) + at
-            first = last
-
-
-def linked(a: Tree, b: Tree, wa: np.ndarray, wb: np.ndarray, cosine: float = COSINE, block: int = 1 << 16):
-    """Links between the rows of two trees, or of one with itself (``a is b``).
-
-    Returns, for the rows of each tree, the weight of those of the other linked to them, and pairs of
-    rows that connect all that are linked.
+    same = a is b
+    gap = a.middle[:, None, :] - b.middle[None, :, :] if a.middle.size * len(b.middle) < 1 << 22 else None
+    apart = np.sqrt((gap * gap).sum(axis=2)) if gap is not None else np.stack([np.sqrt(((m - b.middle) ** 2).sum(axis=1)) for m in a.middle])
+    pairs = [(s, t) for s, t in zip(*np.nonzero(apart <= reach + a.wide[:, None] + b.wide[None, :] + SLACK), strict=True) if not same or s <= t]
+    room = np.empty(BLOCK[0] * BLOCK[1], np.float32)
+    for kind in ((0, 0), (0, 1), (1, 0), (1, 1)):
+        parts = [(a.segment(s, kind[0]), b.segment(t, kind[1]), s, t) for s, t in pairs if not (same and s == t and kind == (1, 0))]
+        parts = [p for p in parts if p[0].stop > p[0].start and p[1].stop > p[1].start]
+        if not parts:
+            continue
+        widest = max(a.radius[x].max() for x, _, _, _ in parts) + max(b.radius[y].max() for _, y, _, _ in parts)
+        bound = Bound(_sampled([a] if same else [a, b], set(kind)), reach + widest)
+        left = {s: bound.of(a.x[a.at[x]], True) for s, x in {s: x for x, _, s, _ in parts}.items()}
+        right = {t: np.ascontiguousarray(bound.of(b.x[b.at[y]], False).T) for t, y in {t: y for _, y, _, t in parts}.items()}
+        for x, y, s, t in parts:
+            far = reach + a.radius[x].max() + b.radius[y].max() + SLACK
+            limit = np.float32(-0.5 * far * far - bound.rounding)
+            rows, columns = left[s], right[t]
+            inner = same and s == t and kind[0] == kind[1]
+            for c in range(0, columns.shape[1], BLOCK[1]):
+                some = np.ascontiguousarray(columns[:, c : c + BLOCK[1]])
+                for r in range(0, len(rows), BLOCK[0]):
+                    part = rows[r : r + BLOCK[0]]
+                    product = np.matmul(part, some, out=room[: len(part) * some.shape[1]].reshape(len(part), -1))
+                    hit = np.flatnonzero(product.max(axis=1) >= limit)
+                    if not len(hit):
+                        continue
+                    left_open = product[hit] >= limit
+                    if np.count_nonzero(left_open) > DENSE * product.size:
+                        run = slice(y.start + c, y.start + c + some.shape[1])
+                        # Nodes of many vectors are better met as such.
+                        if a.sizes[hit + r + x.start].mean() * b.sizes[run].mean() <= CROWD:
+                            dense(hit + r + x.start, run, inner)
+                            continue
+                    i, j = np.nonzero(left_open)
+                    i, j = hit[i] + r, j + c
+                    if inner:
+                        i, j = i[i < j], j[i < j]
+                    if len(i):
+                        yield i + x.start, j + y.start
+
+
+def _blocks(pairs: Iterator[tuple[np.ndarray, np.ndarray]], size: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs, about ``size`` at a time."""
+    held, n = [], 0
+    for i, j in pairs:
+        for start in range(0, len(i), size):
+            held.append((i[start : start + size], j[start : start + size]))
+            n += len(held[-1][0])
+            if n >= size:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def _rows(side: Side, nodes: np.ndarray) -> np.ndarray:
+    """All rows of these nodes."""
+    n = side.sizes[nodes]
+    return np.repeat(side.low[nodes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def _row_pairs(a: Side, b: Side, i: np.ndarray, j: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All pairs of a row of node i and one of node j, with the place of their pair of nodes; ``block`` or a little more at a time."""
+    n = a.sizes[i] * b.sizes[j]
+    ends = np.cumsum(n)
+    first = 0
+    while first < len(i):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + block, side="right")))
+        place = np.repeat(np.arange(first, last), n[first:last])
+        k = np.arange(len(place)) - np.repeat(ends[first:last] - n[first:last] - before, n[first:last])
+        width = b.sizes[j[place]]
+        yield a.low[i[place]] + k // width, b.low[j[place]] + k % width, place
+        first = last
+
+
+def linked(a: Side, b: Side, cosine: float = COSINE, block: int = 1 << 16) -> np.ndarray:
+    """Adds to the counts of both sides, or of one with itself (``a is b``), the weight that each row is linked with there.
+
+    Returns a label for each node, first those of a: alike for nodes that are connected. The rows of a node are linked with each other.
     """
     same, reach = a is b, math.sqrt(2.0 - 2.0 * cosine)
-    # Changes of the counts along the rows; a run's count is added at its begin and taken at its end.
-    change_a, change_b = np.zeros(len(a.u) + 1), np.zeros(len(b.u) + 1)
-    sums_a, sums_b = np.concatenate([[0], np.cumsum(wa)]), np.concatenate([[0], np.cumsum(wb)])
-    own = np.zeros(len(a.u) + 1)  # runs that are linked with themselves count their own weight too
-    edges: list[tuple[np.ndarray, np.ndarray]] = []
-    i, j = _starting(a, b, reach)
-    todo = [iter([(i[n : n + block], j[n : n + block]) for n in range(0, len(i), block)])]  # of each depth, what is left
-    while todo:
-        depth = len(todo) - 1
-        i, j = next(todo[-1], (None, None))
-        if i is None:
-            todo.pop()
-            continue
-        ai, bj = a.low[depth][i], b.low[depth][j]
-        cos = np.einsum("ij,ij->i", a.u[ai], b.u[bj])
-        if depth == len(RADII):
-            yes = cos >= cosine
-            if same:
-                yes &= ai != bj
-            ai, bj = ai[yes], bj[yes]
-            np.add.at(change_a, ai, wb[bj])
-            np.add.at(change_a, ai + 1, -wb[bj])
-            np.add.at(change_b, bj, wa[ai])
-            np.add.at(change_b, bj + 1, -wa[ai])
-            edges.append((ai, bj))
-            continue
-        apart, radii = _apart(cos), a.radius[depth][i] + b.radius[depth][j]
-        whole = (apart + radii < reach - SLACK) & (radii > 0)
-        near = (apart <= reach + radii + SLACK) & ~whole
-        if whole.any():
-            wi, wj = i[whole], j[whole]
-            la, ha, lb, hb = a.low[depth][wi], a.high[depth][wi], b.low[depth][wj], b.high[depth][wj]
-            np.add.at(change_a, la, sums_b[hb] - sums_b[lb])
-            np.add.at(change_a, ha, sums_b[lb] - sums_b[hb])
-            np.add.at(change_b, lb, sums_a[ha] - sums_a[la])
-            np.add.at(change_b, hb, sums_a[la] - sums_a[ha])
-            if same:
-                np.add.at(own, la[la == lb], 1)
-                np.add.at(own, ha[la == lb], -1)
-            # All of one run are linked with all of the other: each to the other's centre will do.
-            for low, high, centre, flip in ((la, ha, lb, False), (lb, hb, la, True)):
-                _, first = np.unique(low, return_index=True)  # a run once; its other partners by centre
-                n = (high - low)[first]
-                rows = np.repeat(low[first], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                centres = np.repeat(centre[first], n)
-                edges.append((centres, rows) if flip else (rows, centres))
-            edges.append((la, lb))
-        todo.append(_children(a.child[depth], b.child[depth], i[near], j[near], block))
-    count_a, count_b = np.cumsum(change_a)[:-1], np.cumsum(change_b)[:-1]
+    after = 0 if same else int(a.nodes[-1])
+    label = np.arange(after + int(b.nodes[-1]))
     if same:
-        count_a = count_a - np.where(np.cumsum(own)[:-1] > 0, wa, 0)
-    ends = [np.concatenate([e[k] for e in edges]) if edges else np.empty(0, np.int64) for k in (0, 1)]
-    return np.rint(count_a).astype(np.int64), np.rint(count_b).astype(np.int64), *ends
+        own = np.repeat(a.node_weight, a.sizes) - a.weight
+        a.row_count += np.where(np.repeat(a.sizes, a.sizes) > 1, own, 0.0)
+
+    def join(i: np.ndarray, j: np.ndarray) -> None:
+        # Labels are kept up with the pairs, so that those of a crowd need not be kept.
+        x, y = label[i], label[j + after]
+        new = x != y
+        if new.any():
+            ends, at = np.unique(np.concatenate([x[new], y[new]]), return_inverse=True)
+            lowest = np.arange(len(label))
+            lowest[ends] = ends[_lowest(len(ends), *np.split(at, 2))]
+            label[:] = lowest[label]
+
+    def count(side: Side, rows: np.ndarray, weight: np.ndarray, of: str) -> None:
+        counts = getattr(side, of)
+        counts += np.bincount(rows, weights=weight, minlength=len(counts))
+
+    def dense(i: np.ndarray, nodes: slice, upper: bool) -> None:
+        j = np.arange(nodes.start, nodes.stop)
+        right, last = _rows(b, j), np.repeat(j, b.sizes[j])
+        step = max(1, (1 << 20) * len(i) // (len(right) * int(a.sizes[i].sum())))
+        for part in (i[n : n + step] for n in range(0, len(i), step)):
+            left, first = _rows(a, part), np.repeat(part, a.sizes[part])
+            yes = a.x[left] @ b.x[right].T >= cosine
+            if upper:
+                yes &= first[:, None] < last[None, :]
+            ones = yes.astype(np.float64)
+            a.row_count[left] += ones @ b.weight[right]
+            b.row_count[right] += a.weight[left] @ ones
+            rows, columns = np.nonzero(yes & (label[first][:, None] != label[last + after][None, :]))
+            join(first[rows], last[columns])
+
+    for i, j in _blocks(_near_nodes(a, b, reach, dense), block):
+        x, y = a.x[a.at[i]], b.x[b.at[j]]
+        single = (a.sizes[i] == 1) & (b.sizes[j] == 1)
+        gap = x - y
+        apart = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+        radii = a.radius[i] + b.radius[j]
+        whole = np.where(single, np.einsum("ij,ij->i", x, y) >= cosine, apart + radii < reach - SLACK)
+        mixed = ~single & ~whole & (apart <= reach + radii + SLACK)
+        count(a, i[whole], b.node_weight[j[whole]], "node_count")
+        count(b, j[whole], a.node_weight[i[whole]], "node_count")
+        join(i[whole], j[whole])
+        i, j = i[mixed], j[mixed]
+        large = a.sizes[i] * b.sizes[j] > 4096
+        found = np.zeros(int(large.sum()), bool)
+        for k, (p, q) in enumerate(zip(i[large], j[large], strict=True)):
+            rows, columns = slice(a.low[p], a.low[p] + a.sizes[p]), slice(b.low[q], b.low[q] + b.sizes[q])
+            step = max(1, (1 << 21) // int(b.sizes[q]))
+            for r in range(rows.start, rows.stop, step):
+                some = slice(r, min(r + step, rows.stop))
+                yes = a.x[some] @ b.x[columns].T >= cosine
+                ones = yes.astype(np.float64)
+                a.row_count[some] += ones @ b.weight[columns]
+                b.row_count[columns] += a.weight[some] @ ones
+                found[k] |= yes.any()
+        join(i[large][found], j[large][found])
+        i, j = i[~large], j[~large]
+        for rows, columns, place in _row_pairs(a, b, i, j, block):
+            yes = np.einsum("ij,ij->i", a.x[rows], b.x[columns]) >= cosine
+            rows, columns, place = rows[yes], columns[yes], np.unique(place[yes])
+            count(a, rows, b.weight[columns], "row_count")
+            count(b, columns, a.weight[rows], "row_count")
+            join(i[place], j[place])
+    return label
 
 
 def _lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -251,158 +409,140 @@ def _lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def _matrix(table: pa.Table, dim: int) -> np.ndarray:
-    return unit(table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
-
-
-def _cut(rows: DataFrame, sizes: DataFrame, kind: str, fan: int, tile: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of too large cells under the nearest of new centres, and those: ``parent, cell, centre``.
-
-    ``sizes`` has the cells and their ``n``. A cell gets half as many centres again as it has tiles, ``fan`` at most, those of
-    its vectors with the lowest hashes. Chunks of a cell meet its centres, so no cell is one task.
-    """
-    hashed = F.xxhash64("vec_id", F.lit("centre"))
-    lowest = Window.partitionBy("cell").orderBy("hash", "vec_id")
-    few = rows.select("cell", "vec_id", "v", hashed.alias("hash")).withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= fan)
-    wanted = F.greatest(F.lit(2), F.ceil(F.col("n") * 1.5 / tile))
-    few = few.join(sizes, "cell").where(F.col("nth") <= wanted)
-    centres = written(
-        few.select(F.col("cell").alias("parent"), F.concat_ws("/", "cell", F.col("nth").cast("string")).alias("cell"), F.col("v").alias("centre"))
-    )
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    salted = rows.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), chunks).cast("int"))
-    copied = centres.join(sizes.withColumnRenamed("cell", "parent"), "parent")
-    copied = copied.select("parent", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.col("cell").alias("child"), F.col("centre").alias("v"))
-
-    def deal(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left):
-            return shape.empty_table()
-        dim = left.column("dim")[0].as_py()
-        right = right.sort_by("child")
-        cos = _matrix(left, dim) @ _matrix(right, dim).T
-        which = cos.argmax(axis=1)
-        out = left.select(["vec_id", "v", "copies", "dim"]).append_column("parent", left.column("cell"))
-        out = out.append_column("cell", right.column("child").combine_chunks().take(pa.array(which)))
-        return out.append_column("apart", pa.array(_apart(cos.max(axis=1)))).cast(shape)
-
+def cut(rows: DataFrame, fan: int = FAN, tile: int = TILE) -> dict[int, Cells]:
+    """The cells of each length that more than ``tile`` vectors have; ``rows`` has ``v``, repeated or not, and whether it is ``fine``."""
+    dim = F.size("v")
+    sizes = rows.groupBy(dim.alias("dim")).agg(F.count("*").alias("n")).where(f"n > {tile} AND dim > 0").collect()
+    shares = {r.dim: min(1.0, SAMPLE / tile, SAMPLE_BYTES / (8 * r.dim * r.n)) for r in sizes}
+    if not shares:
+        return {}
+    # By the hash of the vector, so that copies are seen together, and counted once.
+    share = F.create_map(*[F.lit(x) for d, s in shares.items() for x in (d, int(s * (1 << 40)))])
+    hashed = F.xxhash64("v", F.lit("centre"))
+    sample = rows.where(F.pmod(hashed, F.lit(1 << 40)) < F.element_at(share, dim)).where("fine")
+    sample = sample.select(dim.alias("dim"), hashed.alias("hash"), "v").dropDuplicates(["dim", "hash"]).orderBy("dim", "hash").toArrow()
+    lengths = sample.column("dim").to_numpy()
+    out = {}
+    for d, s in shares.items():
+        some = sample.filter(pa.array(lengths == d))
+        if len(some):
+            out[d] = Cells(unit(_matrix(some.column("v"), d)), 1.0 / s, fan, tile)
+    return out
+
+
+def dealt(vectors: DataFrame, cells: dict[int, Cells]) -> DataFrame:
+    """The rows ``own, vec_id, v, copies`` with the number of their ``cell``; vectors of a length are numbered together."""
+    kind = dict(vectors.dtypes)["v"]
     item = pa.float32() if "float" in kind else pa.float64()
-    shape = pa.schema(
-        [("vec_id", pa.int64()), ("v", pa.list_(item)), ("copies", pa.int64()), ("dim", pa.int32()), ("parent", pa.string()), ("cell", pa.string()), ("apart", pa.float64())]
+    shape = pa.schema([("own", pa.int64()), ("vec_id", pa.int64()), ("v", pa.list_(item)), ("copies", pa.int64()), ("cell", pa.int64())])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            dims, ids = table.column("dim").to_numpy(), table.column("own").to_numpy()
+            number = dims.astype(np.int64) << 32
+            for d in np.unique(dims):
+                rows = np.flatnonzero(dims == d)
+                if int(d) in cells:
+                    u = unit(_matrix(table.column("v").take(pa.array(rows)), int(d))).astype(np.float32)
+                    number[rows] += cells[int(d)].deal(u, ids[rows]).astype(np.int64)
+            yield from table.drop_columns(["dim"]).append_column("cell", pa.array(number)).cast(shape).to_batches()
+
+    return vectors.select("own", "vec_id", "v", "copies", F.size("v").alias("dim")).mapInArrow(
+        deal, f"own bigint, vec_id bigint, v {kind}, copies bigint, cell bigint"
     )
-    dealt = salted.select("cell", "chunk", "vec_id", "v", "copies", "dim").groupBy("cell", "chunk").cogroup(
-        copied.groupBy("parent", "chunk")
-    ).applyInArrow(deal, f"vec_id bigint, v {kind}, copies bigint, dim int, parent string, cell string, apart double")
-    return written(dealt), centres
-
-
-def _distance(a: str, b: str) -> Column:
-    """Between the unit vectors of two columns."""
-    def length(v):
-        most = F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
-        scaled = F.transform(v, lambda x: x.cast("double") / most)
-        norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-        return F.transform(scaled, lambda x: x / norm)
-
-    gaps = F.zip_with(length(F.col(a)), length(F.col(b)), lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x))
 
 
-def _tiles(vectors: DataFrame, fan: int, tile: int) -> tuple[DataFrame, DataFrame]:
-    """Tiles, one row each with its vectors as bytes and its tree, and the pairs of tiles that are near enough."""
-    kind = dict(vectors.dtypes)["v"]
-    reach = math.sqrt(2.0 - 2.0 * COSINE)
-    root = F.concat(F.lit("d"), F.size("v").cast("string"))
-    rows = written(vectors.select("vec_id", "v", "copies", F.size("v").alias("dim"), root.alias("cell")))
-    pairs = rows.select(F.col("cell").alias("a"), F.col("cell").alias("b")).distinct()
-    finished, spread = [], []  # rows whose cell is a tile; rows of cells that cannot be cut
-    level = None  # all cells but roots: their centres and radii
-    for _ in range(ROUNDS):
-        sizes = rows.groupBy("cell").agg(F.count("*").alias("n"))
-        large = written(sizes.where(F.col("n") > tile))
-        if large.isEmpty():
-            break
-        finished.append(rows.join(large, "cell", "left_anti").select("vec_id", "v", "copies", "dim", "cell"))
-        dealt, centres = _cut(rows.join(large, "cell", "left_semi"), large, kind, fan, tile)
-        cells = dealt.groupBy("parent", "cell").agg(F.count("*").alias("m"), F.max("apart").alias("radius"))
-        cells = written(cells.join(centres, ["parent", "cell"]).join(large.withColumnRenamed("cell", "parent"), "parent"))
-        # Down to the children of both cells; a cell that was not cut is its own child.
-        below = cells.select("parent", "cell", "radius", "centre")
-        if level is not None:
-            uncut = level.join(large, "cell", "left_anti")
-            below = below.union(uncut.select(F.col("cell").alias("parent"), "cell", "radius", "centre"))
-        level = below = written(below)
-        left = below.toDF("a", "ca", "ra", "va")
-        right = below.toDF("b", "cb", "rb", "vb")
-        both = pairs.join(left, "a", "left").join(right, "b", "left")
-        one, two = F.coalesce("ca", "a"), F.coalesce("cb", "b")
-        near = F.col("va").isNull() | F.col("vb").isNull() | (_distance("va", "vb") <= F.col("ra") + F.col("rb") + reach + SLACK)
-        once = (F.col("a") != F.col("b")) | (one <= two)
-        pairs = written(both.where(once & near).select(one.alias("a"), two.alias("b")))
-        # One child has all of its parent: its vectors cannot be told apart by their centres.
-        stuck = cells.where("m = n").select("cell")
-        spread.append(dealt.join(stuck, "cell", "left_semi").select("vec_id", "v", "copies", "dim", "cell"))
-        rows = dealt.join(stuck, "cell", "left_anti").select("vec_id", "v", "copies", "dim", "cell")
-    spread.append(rows)
-    every = reduce(DataFrame.union, finished + spread)
-    # Cells that are still too large are dealt by hash.
-    parts = F.ceil(F.col("n") / tile)
-    dealt = every.join(every.groupBy("cell").agg(F.count("*").alias("n")), "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), parts))
-    width = np.dtype("<f4" if "float" in kind else "<f8")
+def _tiles(vectors: DataFrame, reach: float) -> DataFrame:
+    """A row for each cell, with its vectors as bytes in the order of its nodes."""
+    width = np.dtype("<f4" if "float" in dict(vectors.dtypes)["v"] else "<f8")
 
     def build(table: pa.Table) -> pa.Table:
-        dim = table.column("dim")[0].as_py()
-        v = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(width)
-        tree = Tree(unit(v))
+        table = table.sort_by("own")
+        dim = table.column("cell")[0].as_py() >> 32
+        v = _matrix(table.column("v"), dim).astype(width)
+        u = unit(v)
+        runs = nodes(u, reach)
+        order, sizes = np.concatenate(runs), np.array([len(r) for r in runs])
+        centre, radius = Tile(u[order], np.cumsum(sizes) - sizes).ball()
         held = {
-            "ids": table.column("vec_id").to_numpy()[tree.order].astype("<i8"), "copies": table.column("copies").to_numpy()[tree.order].astype("<i8"),
-            "vectors": v[tree.order],
+            "ids": table.column("own").to_numpy()[order].astype("<i8"), "copies": table.column("copies").to_numpy()[order].astype("<i8"),
+            "vectors": v[order], "low": (np.cumsum(sizes) - sizes).astype("<i4"), "centre": centre.astype("<f8"),
         }
         columns = {name: pa.array([x.tobytes()], pa.binary()) for name, x in held.items()}
-        return pa.table(
-            {"cell": table.column("cell").slice(0, 1), "part": table.column("part").slice(0, 1), "dim": pa.array([dim], pa.int32()), **columns, "levels": pa.array([tree.levels()], pa.binary())}
-        )
+        return pa.table({"cell": table.column("cell").slice(0, 1), "n": pa.array([len(u)]), "radius": pa.array([radius]), **columns})
 
-    tiles = dealt.select("cell", "part", "dim", "vec_id", "copies", "v").groupBy("cell", "part").applyInArrow(
-        build, "cell string, part bigint, dim int, ids binary, copies binary, vectors binary, levels binary"
+    return vectors.select("cell", "own", "copies", "v").groupBy("cell").applyInArrow(
+        build, "cell bigint, n bigint, radius double, ids binary, copies binary, vectors binary, low binary, centre binary"
     )
-    tiles = written(tiles.withColumn("tile", F.concat_ws("#", "cell", "part")))
-    names = tiles.select("cell", "tile")
-    near = pairs.join(names.toDF("a", "ta"), "a").join(names.toDF("b", "tb"), "b")
-    near = near.where("a <> b OR ta <= tb").select(F.col("ta").alias("a"), F.col("tb").alias("b"))
-    return tiles, near
 
 
-def links(vectors: DataFrame, fan: int = FAN, tile: int = TILE) -> DataFrame:
-    """``vec_id, n, other`` per vector and pair of tiles with links: how many vectors it is linked with
-    there, copies counted, and the smallest vector it is connected with.
+def _tasks(heads: pa.Table, width: int, reach: float) -> tuple[dict[int, int], dict[int, list[int]], int]:
+    """Of each tile its group, and the tasks it takes part in; a task is a pair of groups. And how many tasks there are.
 
-    ``vectors`` has different vectors: ``vec_id``, ``v`` (finite, not zero), ``copies``.
+    ``heads`` has ``cell, n, radius, centre``. Tiles of one length go together, neighbours first.
     """
-    tiles, near = _tiles(vectors, fan, tile)
-    pair = F.concat_ws("|", "a", "b").alias("pair")
-    members = near.select(pair, F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"))
-    both = members.join(tiles.select("tile", "dim", "ids", "copies", "vectors", "levels"), "tile")
-    width = np.dtype("<f4" if "float" in dict(vectors.dtypes)["v"] else "<f8")
+    group, tasks, numbers, first = {}, {}, {}, 0
+    heads = heads.sort_by("cell")
+    lengths = heads.column("cell").to_numpy() >> 32
+    for dim in np.unique(lengths):
+        some = heads.filter(pa.array(lengths == dim))
+        cell, n, radius = (some.column(c).to_numpy() for c in ("cell", "n", "radius"))
+        centre = np.frombuffer(b"".join(some.column("centre").to_pylist()), "<f8").reshape(-1, int(dim))
+        count = min(len(cell), max(GROUPS, math.ceil(n.sum() * int(dim) * width / GROUP_BYTES)))
+        place = np.minimum((np.cumsum(n) - n // 2 - 1) * count // n.sum(), count - 1)
+        place = np.unique(place, return_inverse=True)[1]
+        tiles = [np.flatnonzero(place == g) for g in range(place.max() + 1)]
+        for g, left in enumerate(tiles):
+            for h, right in enumerate(tiles[g:], g):
+                near = np.zeros((len(left), len(right)), bool)
+                for k, t in enumerate(left):
+                    near[k] = np.sqrt(((centre[right] - centre[t]) ** 2).sum(axis=1)) <= reach + radius[right] + radius[t] + SLACK
+                if near.any():
+                    number = numbers.setdefault((first + g, first + h), len(numbers))
+                    for t in {*left[near.any(axis=1)].tolist(), *right[near.any(axis=0)].tolist()}:
+                        tasks.setdefault(int(cell[t]), []).append(number)
+        group |= dict(zip(cell.tolist(), (place + first).tolist(), strict=True))
+        first += len(tiles)
+    return group, tasks, len(numbers)
+
+
+def links(tiles: DataFrame, width: int) -> DataFrame:
+    """``own, n, other`` per vector and task with links: how many vectors it is linked with
+    there, copies counted, and the smallest vector it is connected with.
+    """
+    reach = math.sqrt(2.0 - 2.0 * COSINE)
+    group, tasks, n = _tasks(tiles.select("cell", "n", "radius", "centre").toArrow(), width, reach)
+    spark, shape = tiles.sparkSession, "own bigint, n bigint, other bigint"
+    if not tasks:
+        return spark.createDataFrame([], shape)
+    number = np.dtype(f"<f{width}")
 
     def compare(table: pa.Table) -> pa.Table:
-        trees, ids, copies = [], [], []
-        for row in table.select(["dim", "ids", "copies", "vectors", "levels"]).to_pylist():
-            trees.append(Tree.from_levels(row["levels"], unit(np.frombuffer(row["vectors"], width).reshape(-1, row["dim"]))))
-            ids.append(np.frombuffer(row["ids"], "<i8"))
-            copies.append(np.frombuffer(row["copies"], "<i8").astype(np.float64))
-        a, b = trees[0], trees[-1]
-        count_a, count_b, i, j = linked(a, b, copies[0], copies[-1])
-        if a is b:
-            every, count = ids[0], count_a
-        else:
-            every, count, j = np.concatenate(ids), np.concatenate([count_a, count_b]), j + len(ids[0])
-        label = _lowest(len(every), i, j)
-        least = np.full(len(every), np.iinfo(np.int64).max)
-        np.minimum.at(least, label, every)
+        sides: dict[int, tuple[list, list, list]] = {}
+        for row in table.sort_by("cell").select(["cell", "group", "ids", "copies", "vectors", "low"]).to_pylist():
+            u = unit(np.frombuffer(row["vectors"], number).reshape(-1, row["cell"] >> 32))
+            held = sides.setdefault(row["group"], ([], [], []))
+            held[0].append(Tile(u, np.frombuffer(row["low"], "<i4").astype(np.int64)))
+            held[1].append(np.frombuffer(row["copies"], "<i8"))
+            held[2].append(np.frombuffer(row["ids"], "<i8"))
+        both = [Side(t, w) for _, (t, w, _) in sorted(sides.items())]
+        label = linked(both[0], both[-1])
+        ids = np.concatenate([x for _, (_, _, held) in sorted(sides.items()) for x in held])
+        label = np.repeat(label, np.concatenate([s.sizes for s in both]))
+        least = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(least, label, ids)
+        count = np.rint(np.concatenate([s.counts() for s in both])).astype(np.int64)
         hit = count > 0
-        return pa.table({"vec_id": every[hit], "n": count[hit], "other": least[label][hit]})
+        return pa.table({"own": ids[hit], "n": count[hit], "other": least[label][hit]})
 
-    return both.groupBy("pair").applyInArrow(compare, "vec_id bigint, n bigint, other bigint")
+    numbers = pa.array([group[c] for c in tasks], pa.int32())
+    members = spark.createDataFrame(pa.table({"cell": list(tasks), "group": numbers, "tasks": pa.array(tasks.values(), pa.list_(pa.int32()))}))
+    dealt_out = tiles.join(F.broadcast(members), "cell").select(
+        F.explode("tasks").alias("task"), "cell", "group", "ids", "copies", "vectors", "low"
+    )
+    # By range: a hash would put several tasks into one partition and none into another.
+    return dealt_out.repartitionByRange(n, "task").groupBy("task").applyInArrow(compare, shape)
 
 
 def digest(embeddings: DataFrame, fan: int = FAN, tile: int = TILE) -> DataFrame:
@@ -419,19 +559,23 @@ def digest(embeddings: DataFrame, fan: int = FAN, tile: int = TILE) -> DataFrame
     rows = embeddings.select(F.col("vec_id").cast("bigint"), F.col("embedding").alias("v"), fine.alias("fine"))
     distinct = rows.where("fine").groupBy("v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
     # Two vectors may have one id: inside, each is known by a number of its own.
-    distinct = written(distinct.select(F.xxhash64("vec_id", "v").alias("own"), "vec_id", "v", "copies"))
-    found = written(links(distinct.select(F.col("own").alias("vec_id"), "v", "copies"), fan, tile))
-    counts = found.groupBy(F.col("vec_id").alias("own")).agg(F.sum("n").alias("n"))
-    roots = components(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
+    distinct = distinct.select(F.xxhash64("v").alias("own"), "vec_id", "v", "copies")
+    distinct = written(dealt(distinct, cut(rows, fan, tile)))
+    width = 4 if "float" in dict(distinct.dtypes)["v"] else 8
+    found = written(links(written(_tiles(distinct, math.sqrt(2.0 - 2.0 * COSINE))), width))
+    counts = found.groupBy("own").agg(F.sum("n").alias("n"))
+    roots = components(found.select(F.col("own").alias("a"), F.col("other").alias("b")))
     known = (
         distinct.join(counts, "own", "left")
         .join(roots.withColumnRenamed("node", "own"), "own", "left")
-        .select("v", "vec_id", "copies", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("root", "own").alias("root"))
+        .select("own", F.xxhash64(F.lit("more"), "v").alias("more"), "vec_id", "copies", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("root", "own").alias("root"))
     )
     known = written(known)
     least = known.groupBy("root").agg(F.min("vec_id").alias("component"))
-    known = known.join(least, "root").select("v", F.lit(True).alias("fine"), "component", (F.col("n") + F.col("copies") - 1).alias("n_links"))
-    out = rows.join(known, ["v", "fine"], "left")
+    known = known.join(least, "root").select("own", "more", "component", (F.col("n") + F.col("copies") - 1).alias("n_links"))
+    # Equal vectors are as fine as each other, so a row with an id needs no other look at its values; it is known by 128 bits of them.
+    hashed = [F.when(F.col("vec_id").isNotNull(), h).alias(name) for name, h in (("own", F.xxhash64("v")), ("more", F.xxhash64(F.lit("more"), "v")))]
+    out = rows.select("vec_id", *hashed).join(known, ["own", "more"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), component.alias("component_id"),

@@ -389,6 +389,99 @@ def test_embeddings_against_brute_force(spark):
     assert covertree.digest(df.limit(0)).count() == 0
 
 
+def test_spread_vectors_in_many_cells(spark):
+    """Cells of vectors that lie far from each other are cut and paired without a job per round and without a copy of a tile per partner."""
+    rng = np.random.default_rng(23)
+    v = rng.normal(size=(2000, 64)).astype(np.float32)
+    v[1500:] = v[:500] * 3 + rng.normal(size=(500, 64)) * 0.2
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id bigint, embedding array<float>")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in covertree.digest(df, fan=4, tile=32).collect()}
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 80
+    u = covertree.unit(v)
+    near = u @ u.T >= covertree.COSINE
+    np.fill_diagonal(near, False)
+    label = covertree._lowest(len(v), *np.nonzero(near))
+    assert got == {i: (int(near[i].sum()), int(label[i])) for i in range(len(v))}
+
+
+def test_zeros_of_either_sign_are_equal(spark):
+    df = spark.createDataFrame([(1, [0.0, 2.0]), (2, [-0.0, 2.0]), (3, [0.0, 2.0]), (None, [0.0, 2.0]), (4, [2.0, 0.0])], "vec_id bigint, embedding array<float>")
+    got = sorted((tuple(r) for r in covertree.digest(df).collect()), key=repr)
+    assert got == sorted([(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (None, 0, None, True), (4, 0, 4, True)], key=repr)
+
+
+def test_tiles_are_copied_once_a_group():
+    rng = np.random.default_rng(29)
+    centre = rng.normal(size=(200, 8))
+    heads = pa.table({"cell": [(8 << 32) + i for i in range(200)], "n": [4000] * 200, "radius": [9.0] * 200, "centre": [c.tobytes() for c in centre]})
+    group, tasks, n = covertree._tasks(heads, 4, 0.3)
+    groups = len(set(group.values()))
+    assert groups == 4 and n == groups * (groups + 1) // 2 and all(len(set(t)) == len(t) == groups for t in tasks.values())
+    # Far apart, a tile meets itself alone.
+    heads = heads.set_column(2, "radius", pa.array([0.0] * 200)).set_column(3, "centre", pa.array([(9.0 * i + 0 * c).tobytes() for i, c in enumerate(centre)]))
+    group, tasks, n = covertree._tasks(heads, 4, 0.3)
+    assert n == 4 and all(len(t) == 1 for t in tasks.values())
+
+
+def test_bounds_never_leave_near_pairs():
+    rng = np.random.default_rng(31)
+    for spread in (np.ones(40), 2.0 ** -np.arange(40), np.r_[np.ones(4), np.zeros(36)]):
+        x = covertree.unit(rng.normal(size=(600, 40)) * spread + rng.normal(size=40))
+        x[300:] = covertree.unit(x[:300] + rng.normal(size=(300, 40)) * rng.uniform(0, 0.08, (300, 1)))
+        for far in (0.05, 0.3, 0.9):
+            bound = covertree.Bound(x, far)
+            apart = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+            kept = bound.of(x, True) @ bound.of(x, False).T >= np.float32(-0.5 * far * far - bound.rounding)
+            assert kept[apart <= far].all()
+            # In double precision it is at most the distance.
+            assert (-2.0 * (bound.of(x, True).astype(float) @ bound.of(x, False).T.astype(float)) <= apart**2 + 2.0 * bound.rounding).all()
+
+
+@pytest.mark.parametrize(("dense", "crowd"), [(0.02, 32), (0.0, 1e9), (2.0, 32)])
+def test_nodes_against_brute_force(monkeypatch, dense, crowd):
+    """Crowds of all widths in several tiles, weighted: within a side and between two."""
+    monkeypatch.setattr(covertree, "DENSE", dense)
+    monkeypatch.setattr(covertree, "CROWD", crowd)
+    monkeypatch.setattr(covertree, "BLOCK", (32, 64))
+    rng = np.random.default_rng(37)
+    centre = rng.normal(size=(6, 10))
+    v = np.concatenate([centre[i % 6] + rng.normal(size=(150, 10)) * s for i, s in enumerate((0.01, 0.1, 0.2, 0.25, 0.3, 0.4, 0.05, 0.15))])
+    u, weight = covertree.unit(v), rng.integers(1, 4, len(v))
+    reach = np.sqrt(2.0 - 2.0 * covertree.COSINE)
+
+    def side(rows):
+        tiles, weights, order = [], [], []
+        for some in np.array_split(rows, 3):
+            runs = covertree.nodes(u[some], reach)
+            at = some[np.concatenate(runs)]
+            sizes = np.array([len(r) for r in runs])
+            tiles.append(covertree.Tile(u[at], np.cumsum(sizes) - sizes))
+            weights.append(weight[at])
+            order.append(at)
+        return covertree.Side(tiles, weights), np.concatenate(order)
+
+    near = u @ u.T >= covertree.COSINE
+    np.fill_diagonal(near, False)
+    rows = rng.permutation(len(u))
+    a, left = side(rows)
+    label = np.repeat(covertree.linked(a, a), a.sizes)
+    assert (a.sizes > 8).any() and (a.sizes == 1).any()
+    assert (a.counts() == (near @ weight)[left]).all()
+    want = covertree._lowest(len(u), *np.nonzero(near))[left]
+    assert len(set(zip(label.tolist(), want.tolist(), strict=True))) == len(set(label.tolist())) == len(set(want.tolist()))
+    (a, left), (b, right) = side(rows[:700]), side(rows[700:])
+    label = covertree.linked(a, b)
+    between = near[np.ix_(left, right)]
+    assert (a.counts() == between @ weight[right]).all() and (b.counts() == weight[left] @ between).all()
+    # Connected through the other side, or as rows of a node.
+    own = np.concatenate([np.repeat(np.arange(len(a.sizes)), a.sizes), len(a.sizes) + np.repeat(np.arange(len(b.sizes)), b.sizes)])
+    i, j = np.nonzero(between)
+    want = covertree._lowest(len(label), own[i], own[len(left) + j])
+    assert len(set(zip(label.tolist(), want.tolist(), strict=True))) == len(set(label.tolist())) == len(set(want.tolist()))
+
+
 def test_packing_round_trip(odd, real):
     for docs in (odd, real):
         rows = packing.digest(docs).collect()
