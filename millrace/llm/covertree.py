@@ -31,7 +31,7 @@ SAMPLE = 64  # vectors of a tile that the driver sees to place the centres
 SAMPLE_BYTES = 64 << 20  # of all vectors of a length there
 ROUNDS = 16  # after which a cell that is still too large is dealt by hash
 BALLS = (0.22, 0.15)  # radii of balls around a member: whether a ball of the first is all linked is looked up, of the second it is sure
-GROUP_BYTES = 24 << 20  # of the vectors of a group of tiles
+GROUP_BYTES = 16 << 20  # of the vectors of a group of tiles
 GROUPS = 4  # groups at least, if there are as many tiles
 BLOCK = (256, 2048)  # pairs of nodes bounded at once
 DENSE = 0.02  # of these, left open, from which all vectors of theirs are compared by one product
@@ -150,28 +150,31 @@ class Tile:
         gap = self.u - centre
         return centre, math.sqrt(np.einsum("ij,ij->i", gap, gap).max())
 
-    def centres(self) -> np.ndarray:
-        return np.concatenate([self.u[: self.single], self.balls])
-
-
 class Side:
-    """Tiles as one table of rows and one of nodes."""
-
-    def __init__(self, tiles: list[Tile], weights: list[np.ndarray]):
-        self.tiles, self.weight = tiles, np.concatenate(weights).astype(np.float64)
-        self.rows = np.cumsum([0] + [len(t.u) for t in tiles])
-        self.nodes = np.cumsum([0] + [len(t.low) for t in tiles])
-        self.low = np.concatenate([t.low + first for t, first in zip(tiles, self.rows, strict=False)])
-        self.sizes = np.concatenate([t.sizes for t in tiles])
-        self.radius = np.concatenate([t.radius for t in tiles])
-        # Single vectors are their own centres, those of balls lie behind the rows.
-        balls = np.cumsum([self.rows[-1]] + [len(t.balls) for t in tiles])
-        self.at = np.concatenate(
-            [np.concatenate([t.low[: t.single] + first, np.arange(b, b + len(t.balls))]) for t, first, b in zip(tiles, self.rows, balls, strict=False)]
-        )
-        self.x = np.concatenate([t.u for t in tiles] + [t.balls for t in tiles])
+    """Tiles as one table of rows and one of nodes. ``parts`` has the vectors of each tile, the first rows of its nodes, and its weights."""
+
+    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        self.weight = np.concatenate([w for _, _, w in parts]).astype(np.float64)
+        self.rows = np.cumsum([0] + [len(v) for v, _, _ in parts])
+        self.nodes = np.cumsum([0] + [len(low) for _, low, _ in parts])
+        many = [int((np.diff(np.append(low, len(v))) > 1).sum()) for v, low, _ in parts]
+        # Single vectors are their own centres, those of balls lie behind the rows. The table is filled in place: tiles are views.
+        balls = np.cumsum([self.rows[-1]] + many)
+        self.x = np.empty((balls[-1], parts[0][0].shape[1]))
+        self.tiles, at, ends = [], [], []
+        for (v, low, _), first, b in zip(parts, self.rows, balls, strict=False):
+            self.x[first : first + len(v)] = unit(v)
+            tile = Tile(self.x[first : first + len(v)], low)
+            self.x[b : b + len(tile.balls)] = tile.balls
+            tile.balls = self.x[b : b + len(tile.balls)]
+            self.tiles.append(tile)
+            at += [low[: tile.single] + first, np.arange(b, b + len(tile.balls))]
+            ends.append(tile.ball())
+        self.at = np.concatenate(at)
+        self.low = np.concatenate([t.low + first for t, first in zip(self.tiles, self.rows, strict=False)])
+        self.sizes = np.concatenate([t.sizes for t in self.tiles])
+        self.radius = np.concatenate([t.radius for t in self.tiles])
         self.node_weight = np.add.reduceat(self.weight, self.low)
-        ends = [t.ball() for t in tiles]
         self.middle, self.wide = np.stack([c for c, _ in ends]), np.array([r for _, r in ends])
         self.row_count, self.node_count = np.zeros(self.rows[-1]), np.zeros(self.nodes[-1])
 
@@ -519,16 +522,20 @@ def links(tiles: DataFrame, width: int) -> DataFrame:
     number = np.dtype(f"<f{width}")
 
     def compare(table: pa.Table) -> pa.Table:
-        sides: dict[int, tuple[list, list, list]] = {}
-        for row in table.sort_by("cell").select(["cell", "group", "ids", "copies", "vectors", "low"]).to_pylist():
-            u = unit(np.frombuffer(row["vectors"], number).reshape(-1, row["cell"] >> 32))
-            held = sides.setdefault(row["group"], ([], [], []))
-            held[0].append(Tile(u, np.frombuffer(row["low"], "<i4").astype(np.int64)))
-            held[1].append(np.frombuffer(row["copies"], "<i8"))
-            held[2].append(np.frombuffer(row["ids"], "<i8"))
-        both = [Side(t, w) for _, (t, w, _) in sorted(sides.items())]
+        cells, groups = table.column("cell").to_numpy(), table.column("group").to_numpy()
+        sides: dict[int, list[int]] = {}
+        for k in np.lexsort((cells, groups)).tolist():
+            sides.setdefault(int(groups[k]), []).append(k)
+
+        def held(k: int, name: str, kind: str | np.dtype) -> np.ndarray:
+            return np.frombuffer(table.column(name)[k].as_buffer(), kind)
+
+        both = [
+            Side([(held(k, "vectors", number).reshape(-1, int(cells[k]) >> 32), held(k, "low", "<i4").astype(np.int64), held(k, "copies", "<i8")) for k in some])
+            for some in sides.values()
+        ]
+        ids = np.concatenate([held(k, "ids", "<i8") for some in sides.values() for k in some])
         label = linked(both[0], both[-1])
-        ids = np.concatenate([x for _, (_, _, held) in sorted(sides.items()) for x in held])
         label = np.repeat(label, np.concatenate([s.sizes for s in both]))
         least = np.full(len(ids), np.iinfo(np.int64).max)
         np.minimum.at(least, label, ids)

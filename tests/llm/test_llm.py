@@ -452,15 +452,14 @@ def test_nodes_against_brute_force(monkeypatch, dense, crowd):
     reach = np.sqrt(2.0 - 2.0 * covertree.COSINE)
 
     def side(rows):
-        tiles, weights, order = [], [], []
+        parts, order = [], []
         for some in np.array_split(rows, 3):
             runs = covertree.nodes(u[some], reach)
             at = some[np.concatenate(runs)]
             sizes = np.array([len(r) for r in runs])
-            tiles.append(covertree.Tile(u[at], np.cumsum(sizes) - sizes))
-            weights.append(weight[at])
+            parts.append((v[at], np.cumsum(sizes) - sizes, weight[at]))
             order.append(at)
-        return covertree.Side(tiles, weights), np.concatenate(order)
+        return covertree.Side(parts), np.concatenate(order)
 
     near = u @ u.T >= covertree.COSINE
     np.fill_diagonal(near, False)
